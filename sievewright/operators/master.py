@@ -80,6 +80,11 @@ def _order(df: DataFrame, order_by: Sequence[str], key: Sequence[str]) -> list[C
     return [F.col(c) for c in names] or [F.lit(0)]
 
 
+def _bookkeeping(order_by: Sequence[str]) -> list[str]:
+    """Order columns of ours, such as the ingest id, that no join should add."""
+    return [c for c in order_by if c.startswith("_")]
+
+
 def dimension_rows(
     df: DataFrame, spec: DimensionJoin, order_by: Sequence[str] = (), scope: Sequence[str] = ()
 ) -> DataFrame:
@@ -87,7 +92,7 @@ def dimension_rows(
     order = _order(df, order_by, key)
     if spec.keep == "last":
         order = [c.desc_nulls_first() for c in order]
-    kept = dedupe.first_per_key(df, key, order).drop(*[c for c in order_by if c not in key])
+    kept = dedupe.first_per_key(df, key, order).drop(*_bookkeeping(order_by))
     return kept.withColumnsRenamed(dict(spec.rename))
 
 
@@ -99,7 +104,7 @@ def snapshot_rows(
     order = _order(df, order_by, key)
     if spec.latest_by and spec.latest_by in df.columns:
         order = [F.col(spec.latest_by).desc_nulls_last(), *order]
-    kept = dedupe.first_per_key(df, key, order).drop(*[c for c in order_by if c not in key])
+    kept = dedupe.first_per_key(df, key, order).drop(*_bookkeeping(order_by))
     return kept.withColumnsRenamed(dict(spec.rename))
 
 

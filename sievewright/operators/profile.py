@@ -12,7 +12,6 @@ from pyspark.sql.window import Window
 from sievewright.functions import columns as X
 from sievewright.operators import quantiles
 
-ONES = F.lit(1)
 
 
 def _missing(df: DataFrame, name: str) -> Column:
@@ -30,7 +29,7 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, exact: b
     names = list(columns or df.columns)
     count_distinct = F.count_distinct if exact else F.approx_count_distinct
     wide = df.agg(
-        F.count(ONES).alias("rows"),
+        F.count("*").alias("rows"),
         *[F.count_if(~_missing(df, c)).alias(f"_p{i}") for i, c in enumerate(names)],
         *[count_distinct(F.col(f"`{c}`")).alias(f"_d{i}") for i, c in enumerate(names)],
     )
@@ -58,7 +57,7 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, exact: b
 
 def null_profile(df: DataFrame) -> DataFrame:
     """``(column, nulls, null_percent)`` of every column, one pass, no shuffle of rows."""
-    wide = df.agg(F.count(ONES).alias("_sw_rows"), *[F.count_if(_missing(df, c)).alias(c) for c in df.columns])
+    wide = df.agg(F.count("*").alias("_sw_rows"), *[F.count_if(_missing(df, c)).alias(c) for c in df.columns])
     long = wide.unpivot(["_sw_rows"], df.columns, "column", "nulls")
     return long.select("column", "nulls", X.ratio(F.col("nulls"), F.col("_sw_rows")).alias("null_percent"))
 
@@ -73,7 +72,7 @@ def duplicate_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFr
 
     Nulls count as equal. Also serves for the duplicates of one key.
     """
-    per_kind = df.groupBy(*(subset or df.columns)).agg(F.count(ONES).alias("n"))
+    per_kind = df.groupBy(*(subset or df.columns)).agg(F.count("*").alias("n"))
     totals = per_kind.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates")
     )
@@ -88,7 +87,7 @@ def duplicate_key_counts(tables: dict[str, tuple[DataFrame, Sequence[str]]]) ->
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows per value, null included, with their share in percent."""
-    counts = df.groupBy(column).agg(F.count(ONES).alias("rows"))
+    counts = df.groupBy(column).agg(F.count("*").alias("rows"))
     # counts are summed beforehand, so the total is one number per task
     total = counts.agg(F.sum("rows")).scalar()
     return counts.withColumn("percent", X.ratio(F.col("rows"), total))
@@ -96,7 +95,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def top_values(df: DataFrame, column: str, n: int) -> DataFrame:
     """The ``n`` most frequent values; ties to the smaller value."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(ONES).alias("rows"))
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows"))
     return counts.orderBy(F.desc("rows"), column).limit(n)
 
 
@@ -142,15 +141,15 @@ def missing_keys(child: DataFrame, column: str, parent: DataFrame, parent_column
 
 def cardinalities(df: DataFrame, key: str) -> DataFrame:
     """How many keys have 1, 2, 3, ... rows."""
-    per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(ONES).alias("rows_per_key"))
-    return per_key.groupBy("rows_per_key").agg(F.count(ONES).alias("keys"))
+    per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows_per_key"))
+    return per_key.groupBy("rows_per_key").agg(F.count("*").alias("keys"))
 
 
 def cardinality_summary(df: DataFrame, key: str) -> DataFrame:
     """Describe the rows per key."""
-    per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(ONES).cast("double").alias("rows_per_key"))
+    per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").cast("double").alias("rows_per_key"))
     aggregates = [
-        F.count(ONES).alias("keys"),
+        F.count("*").alias("keys"),
         F.avg("rows_per_key").alias("mean"),
         F.stddev_samp("rows_per_key").alias("std"),
         F.min("rows_per_key").alias("min"),
@@ -225,7 +224,7 @@ def key_overlap(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def date_ranges(df: DataFrame, version: str, column: str) -> DataFrame:
     return df.groupBy(version).agg(
-        F.count(ONES).alias("rows"), F.min(column).alias("earliest"), F.max(column).alias("latest")
+        F.count("*").alias("rows"), F.min(column).alias("earliest"), F.max(column).alias("latest")
     )
 
 
@@ -238,7 +237,7 @@ def in_several_versions(df: DataFrame, key: Sequence[str], version: str) -> Data
 def version_statistics(df: DataFrame, version: str, value: str) -> DataFrame:
     """Rows, share of rows with a value, and its median per version."""
     present = F.avg(F.col(value).isNotNull().cast("double")).alias("available_rate")
-    return quantiles.group_statistics(df, [version], value, {"median": 0.5}, [F.count(ONES).alias("rows"), present])
+    return quantiles.group_statistics(df, [version], value, {"median": 0.5}, [F.count("*").alias("rows"), present])
 
 
 # ------------------------------------------------------------------- structure
@@ -247,7 +246,7 @@ def version_statistics(df: DataFrame, version: str, value: str) -> DataFrame:
 def presence_combinations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per combination of set and unset columns (at most 2^n rows)."""
     flags = [(~_missing(df, c)).alias(f"has_{c}") for c in columns]
-    return df.select(*flags).groupBy(*[f"has_{c}" for c in columns]).agg(F.count(ONES).alias("rows"))
+    return df.select(*flags).groupBy(*[f"has_{c}" for c in columns]).agg(F.count("*").alias("rows"))
 
 
 def presence_disagreement(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -261,7 +260,7 @@ def cross_table(df: DataFrame, a: str, b: str) -> DataFrame:
     Long form needs no list of the values of ``b`` before the plan is built; see
     :func:`pivot_counts` where the values are known.
     """
-    counts = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count(ONES).alias("rows"))
+    counts = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count("*").alias("rows"))
     return counts.withColumn("row_share", F.col("rows") / F.sum("rows").over(Window.partitionBy(a)))
 
 

@@ -71,7 +71,7 @@ def cumulative_counts(df: DataFrame, by: Sequence[str], value: str, ranges: int
     """``(*by, value, rows, below, total)``: rows with the value, rows with a
     smaller value, and rows in all, per group."""
     counts = value_counts(df, by, value)
-    if is_small(df):
+    if is_small(df.select(*by, value)):
         order = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
         run = counts.withColumns(
             {

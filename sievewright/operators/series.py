@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-ONES = F.lit(1)
 PERIODS = {"day": "interval 1 day", "week": "interval 7 days", "month": "interval 1 month"}
 
 
@@ -41,7 +40,7 @@ def _dense(counts: DataFrame, period: str, by: Sequence[str] = ()) -> DataFrame:
 def counts_per_period(df: DataFrame, time: str, period: str = "day") -> DataFrame:
     """``(date, rows)`` for every period from the first to the last."""
     present = df.filter(F.col(time).isNotNull())
-    counts = present.groupBy(period_start(F.col(time), period).alias("start")).agg(F.count(ONES).alias("rows"))
+    counts = present.groupBy(period_start(F.col(time), period).alias("start")).agg(F.count("*").alias("rows"))
     return _dense(counts, period).select(period_label(F.col("start"), period).alias("date"), "rows")
 
 
@@ -55,7 +54,7 @@ def rolling_mean(series: DataFrame, size: int = 7) -> DataFrame:
 def weekday_counts(df: DataFrame, time: str) -> DataFrame:
     """Rows per day of the week, Monday first, days without rows included."""
     counts = (
-        df.filter(F.col(time).isNotNull()).groupBy(F.weekday(time).alias("weekday")).agg(F.count(ONES).alias("rows"))
+        df.filter(F.col(time).isNotNull()).groupBy(F.weekday(time).alias("weekday")).agg(F.count("*").alias("rows"))
     )
     # The names of the days.
     names = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
@@ -79,7 +78,7 @@ def calendar_parts(time: Column) -> dict[str, Column]:
 
 
 def top_categories(df: DataFrame, category: str, k: int) -> DataFrame:
-    counts = df.filter(F.col(category).isNotNull()).groupBy(category).agg(F.count(ONES).alias("n"))
+    counts = df.filter(F.col(category).isNotNull()).groupBy(category).agg(F.count("*").alias("n"))
     return counts.orderBy(F.desc("n"), category).limit(k).select(category)
 
 
@@ -90,7 +89,7 @@ def category_counts(df: DataFrame, time: str, category: str, period: str, k: int
     top categories.
     """
     present = df.filter(F.col(time).isNotNull() & F.col(category).isNotNull())
-    counts = present.groupBy(period_start(F.col(time), period).alias("start"), category).agg(F.count(ONES).alias("rows"))
+    counts = present.groupBy(period_start(F.col(time), period).alias("start"), category).agg(F.count("*").alias("rows"))
     if k is not None:
         counts = counts.join(top_categories(df, category, k), category, "left_semi")
     return _dense(counts, period, [category])
@@ -112,7 +111,7 @@ def growth(df: DataFrame, time: str, category: str, k: int) -> DataFrame:
     midpoint = limits.select((ends[0] + (ends[1] - ends[0]) / 2).alias("m")).scalar()
     halves = df.filter(F.col(category).isNotNull()).withColumn("_sw_mid", midpoint)
     counts = halves.groupBy(category).agg(
-        F.count(ONES).alias("_sw_n"),
+        F.count("*").alias("_sw_n"),
         F.count_if(micros < F.col("_sw_mid")).alias("first_half"),
         F.count_if(micros >= F.col("_sw_mid")).alias("second_half"),
     )
@@ -134,7 +133,7 @@ def forecast_target(df: DataFrame, time: str, category: str | None = None) -> Da
     if category is None:
         return counts_per_period(df, time)
     present = df.filter(F.col(time).isNotNull() & F.col(category).isNotNull())
-    return present.groupBy(F.to_date(time).alias("date"), category).agg(F.count(ONES).alias("rows"))
+    return present.groupBy(F.to_date(time).alias("date"), category).agg(F.count("*").alias("rows"))
 
 
 def decompose(series: DataFrame, period: int = 7) -> DataFrame:

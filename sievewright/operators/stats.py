@@ -13,7 +13,6 @@ from pyspark.sql.window import Window
 from sievewright.functions import columns as X
 from sievewright.operators import quantiles
 
-ONES = F.lit(1)
 QUARTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
 
 
@@ -34,7 +33,7 @@ def rate_by_group(df: DataFrame, by: str, condition: Column, top: int | None = N
 
     ``top`` keeps the groups with the most rows.
     """
-    rates = df.groupBy(by).agg(F.count(ONES).alias("rows"), F.count_if(condition).alias("hits"))
+    rates = df.groupBy(by).agg(F.count("*").alias("rows"), F.count_if(condition).alias("hits"))
     rates = rates.withColumns(
         {"misses": F.col("rows") - F.col("hits"), "rate_percent": X.ratio(F.col("hits"), F.col("rows"))}
     )
@@ -65,7 +64,7 @@ def ranked_medians(df: DataFrame, by: str, value: str) -> DataFrame:
 def group_first(df: DataFrame, by: str, values: Sequence[str], order_by: str) -> DataFrame:
     """Rows per group and the first non-null value of each column in row order."""
     first = [F.min_by(v, F.when(F.col(v).isNotNull(), F.col(order_by))).alias(v) for v in values]
-    return df.filter(F.col(by).isNotNull()).groupBy(by).agg(F.count(ONES).alias("rows"), *first)
+    return df.filter(F.col(by).isNotNull()).groupBy(by).agg(F.count("*").alias("rows"), *first)
 
 
 # ----------------------------------------------------------------- correlation
@@ -99,10 +98,10 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     both = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).select(
         F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")
     )
-    pairs = both.groupBy("x", "y").agg(F.count(ONES).cast("double").alias("n"))
+    pairs = both.groupBy("x", "y").agg(F.count("*").cast("double").alias("n"))
     ranked = pairs.join(quantiles.average_ranks(both, "x", "rx"), "x").join(quantiles.average_ranks(both, "y", "ry"), "y")
     # ranks are centred at their known mean, which keeps the sums well conditioned
-    count = both.agg(F.count(ONES).cast("double")).scalar()
+    count = both.agg(F.count("*").cast("double")).scalar()
     middle = (F.col("_sw_count") + 1) / 2
     centred = ranked.withColumn("_sw_count", count).withColumns({"rx": F.col("rx") - middle, "ry": F.col("ry") - middle})
     n, x, y = F.col("n"), F.col("rx"), F.col("ry")
@@ -131,7 +130,7 @@ def anova(df: DataFrame, by: str, value: str) -> DataFrame:
     groups = stats.filter("n > 1")
     grand = groups.agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n"))).scalar()
     n, mean = F.col("n"), F.col("mean")
-    k = F.count(ONES)
+    k = F.count("*")
     placed = groups.withColumn("_sw_grand", grand)
     deviation = mean - F.col("_sw_grand")
     totals = placed.agg(
@@ -161,7 +160,7 @@ def iqr_outliers(df: DataFrame, value: str, factor: float = 1.5) -> DataFrame:
     return flagged.agg(
         F.max("_sw_f.low").alias("lower_fence"),
         F.max("_sw_f.high").alias("upper_fence"),
-        F.count(ONES).alias("rows"),
+        F.count("*").alias("rows"),
         F.count_if(outside).alias("outliers"),
         F.avg(outside.cast("double") * 100).alias("outlier_percent"),
     )
@@ -183,7 +182,7 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     placed = data.withColumn("b", row)
     share = F.try_divide(F.col("v") - F.col("b.lo"), F.col("b.hi") - F.col("b.lo"))
     bin_of = F.least(F.coalesce(F.floor(share * bins), F.lit(0)), F.lit(bins - 1)).cast("int")
-    counts = placed.groupBy(bin_of.alias("bin")).agg(F.count(ONES).alias("rows"))
+    counts = placed.groupBy(bin_of.alias("bin")).agg(F.count("*").alias("rows"))
     spine = limits.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     width = (F.col("hi") - F.col("lo")) / bins
     return spine.join(counts, "bin", "left").select(
@@ -210,14 +209,14 @@ def median_ratio(df: DataFrame, by: str, numerator: Column, denominator: Column)
     """Median of a ratio of two columns per category."""
     ratios = df.select(by, F.try_divide(numerator.cast("double"), denominator.cast("double")).alias("ratio"))
     present = ratios.filter("ratio is not null")
-    return quantiles.group_statistics(present, [by], "ratio", {"median_ratio": 0.5}, [F.count(ONES).alias("rows")])
+    return quantiles.group_statistics(present, [by], "ratio", {"median_ratio": 0.5}, [F.count("*").alias("rows")])
 
 
 def share_within(df: DataFrame, a: Column, b: Column, tolerance: float) -> DataFrame:
     """Share of rows, in percent, where two values differ by less than a tolerance."""
     both = df.filter(a.isNotNull() & b.isNotNull())
     return both.agg(
-        F.count(ONES).alias("rows"), F.avg((F.abs(a - b) < tolerance).cast("double") * 100).alias("close_percent")
+        F.count("*").alias("rows"), F.avg((F.abs(a - b) < tolerance).cast("double") * 100).alias("close_percent")
     )
 
 
@@ -226,7 +225,7 @@ def waterfall(df: DataFrame, stages: Mapping[str, Column]) -> DataFrame:
 
     Each stage names the rows it removes.
     """
-    aggregates = [F.count(ONES).alias("rows_in")]
+    aggregates = [F.count("*").alias("rows_in")]
     alive = F.lit(True)
     for name, lost in stages.items():
         hit = F.coalesce(lost, F.lit(False))

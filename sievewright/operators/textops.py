@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from sievewright.functions import columns as X
 from sievewright.operators import quantiles
 
-ONES = F.lit(1)
 
 
 def explode_list(df: DataFrame, column: str, keep: Sequence[str] = (), element: str = "element") -> DataFrame:
@@ -21,13 +20,13 @@ def explode_list(df: DataFrame, column: str, keep: Sequence[str] = (), element:
 
 def element_counts(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows per list element, overall or within groups."""
-    return explode_list(df, column, by).groupBy(*by, "element").agg(F.count(ONES).alias("rows"))
+    return explode_list(df, column, by).groupBy(*by, "element").agg(F.count("*").alias("rows"))
 
 
 def element_statistics(df: DataFrame, column: str, value: str, min_support: int = 30) -> DataFrame:
     """Count, mean and median of a value per list element with enough rows."""
     elements = explode_list(df, column, [value]).filter(F.col(value).isNotNull())
-    aggregates = [F.count(ONES).alias("count"), F.avg(value).alias("mean")]
+    aggregates = [F.count("*").alias("count"), F.avg(value).alias("mean")]
     stats = quantiles.group_statistics(elements, ["element"], value, {"median": 0.5}, aggregates)
     return stats.filter(F.col("count") >= min_support)
 
@@ -40,19 +39,19 @@ def keyword_statistics(df: DataFrame, text: str, value: str, keywords: Sequence[
     lower = F.lower(F.col(text))
     hits = F.array_compact(F.array(*[F.when(lower.rlike(rf"\b{k}\b"), F.lit(k)) for k in keywords]))
     found = df.select(F.explode(hits).alias("keyword"), F.col(value).cast("double").alias("value"))
-    aggregates = [F.count(ONES).alias("occurrences"), F.count("value").alias("values"), F.avg("value").alias("mean")]
+    aggregates = [F.count("*").alias("occurrences"), F.count("value").alias("values"), F.avg("value").alias("mean")]
     stats = quantiles.group_statistics(found, ["keyword"], "value", {"median": 0.5}, aggregates)
     # one row of the input carries the fixed list, so the result has every keyword
-    every = df.agg(F.count(ONES)).select(F.explode(F.array(*[F.lit(k) for k in keywords])).alias("keyword"))
+    every = df.agg(F.count("*")).select(F.explode(F.array(*[F.lit(k) for k in keywords])).alias("keyword"))
     joined = every.join(stats, "keyword", "left")
     return joined.fillna(0, subset=["occurrences", "values"])
 
 
 def frequency_tiers(df: DataFrame, column: str, tiers: Sequence[int] = (5, 10, 50)) -> DataFrame:
     """Distinct values, values seen once, and values seen at least n times."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(ONES).alias("n"))
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
     return counts.agg(
-        F.count(ONES).alias("distinct_values"),
+        F.count("*").alias("distinct_values"),
         F.count_if(F.col("n") == 1).alias("seen_once"),
         *[F.count_if(F.col("n") >= t).alias(f"at_least_{t}") for t in tiers],
     )
@@ -83,7 +82,7 @@ def top_bigrams(df: DataFrame, text: str, stop_words: Sequence[str], n: int) ->
 
 
 def _top_terms(terms: DataFrame, n: int) -> DataFrame:
-    counts = terms.groupBy("term").agg(F.count(ONES).alias("rows"))
+    counts = terms.groupBy("term").agg(F.count("*").alias("rows"))
     return counts.orderBy(F.desc("rows"), "term").limit(n)
 
 
@@ -91,7 +90,7 @@ def pattern_rates(df: DataFrame, text: str, patterns: Sequence[str], subset: Col
     """Share of texts, in percent, that match any pattern: overall and in a subset."""
     hit = F.coalesce(F.lower(F.col(text)).rlike("|".join(patterns)), F.lit(False))
     return df.agg(
-        F.count(ONES).alias("rows"),
+        F.count("*").alias("rows"),
         F.count_if(hit).alias("hits"),
         F.avg(hit.cast("double") * 100).alias("rate_percent"),
         F.avg(F.when(subset, hit.cast("double") * 100)).alias("subset_rate_percent"),

@@ -54,8 +54,7 @@ def planned_bytes(df: DataFrame) -> int | None:
     is safe for any size.
     """
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     except Exception:  # a remote session has no JVM handle
         return None
 
