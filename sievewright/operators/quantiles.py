@@ -27,7 +27,8 @@ from sievewright.session import is_small
 # ranges per group, looked up in blocks: 16 block ends, then 16 bounds
 _BLOCK = 16
 RANGES = _BLOCK * _BLOCK
-_N, _TOTAL, _BELOW, _BOUNDS, _RANGE, _START = "_sw_n", "_sw_total", "_sw_below", "_sw_bounds", "_sw_range", "_sw_start"
+_N, _TOTAL, _BELOW = "_sw_n", "_sw_total", "_sw_below"
+_BOUNDS, _ENDS, _RANGE, _START = "_sw_bounds", "_sw_ends", "_sw_range", "_sw_start"
 
 
 def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
@@ -44,17 +45,17 @@ def _ranged(counts: DataFrame, by: Sequence[str], value: str, ranges: int) -> tu
         F.percentile_approx(value, shares, F.lit(20 * ranges)).alias(_BOUNDS),
         F.sum(_N).alias(_TOTAL),
     ]
-    bounds = counts.groupBy(*by).agg(*sketch)
+    block_ends = F.filter(_BOUNDS, lambda _, i: i % _BLOCK == _BLOCK - 1)
+    bounds = counts.groupBy(*by).agg(*sketch).withColumn(_ENDS, block_ends)
     if by:
         placed = counts.join(bounds, list(by))
     else:
-        one = bounds.select(F.struct(_BOUNDS, _TOTAL)).scalar()
+        one = bounds.select(F.struct(_BOUNDS, _ENDS, _TOTAL)).scalar()
         placed = counts.withColumn("_sw_one", one).select(*counts.columns, "_sw_one.*")
-    ends = F.filter(_BOUNDS, lambda _, i: i % _BLOCK == _BLOCK - 1)
-    placed = placed.withColumn("_sw_block", F.size(F.filter(ends, lambda b: b < F.col(value))))
+    placed = placed.withColumn("_sw_block", F.size(F.filter(_ENDS, lambda b: b < F.col(value))))
     inside = F.slice(_BOUNDS, F.col("_sw_block") * _BLOCK + 1, F.lit(_BLOCK))
     number = F.col("_sw_block") * _BLOCK + F.size(F.filter(inside, lambda b: b < F.col(value)))
-    placed = placed.withColumn(_RANGE, number).drop(_BOUNDS, "_sw_block")
+    placed = placed.withColumn(_RANGE, number).drop(_BOUNDS, _ENDS, "_sw_block")
     sizes = placed.groupBy(*by, _RANGE).agg(F.sum(_N).alias("_sw_size"), F.first(_TOTAL).alias(_TOTAL))
     earlier = Window.partitionBy(*by).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn(_START, F.coalesce(F.sum("_sw_size").over(earlier), F.lit(0)))

@@ -31,13 +31,21 @@ def element_statistics(df: DataFrame, column: str, value: str, min_support: int
     return stats.filter(F.col("count") >= min_support)
 
 
+def whole_word(keyword: str) -> str:
+    """Pattern of a keyword between word boundaries; accented letters are letters.
+
+    The keyword comes first, so the boundaries are only looked at where it occurs.
+    """
+    return rf"{keyword}(?<![\p{{L}}\p{{N}}_]{keyword})(?![\p{{L}}\p{{N}}_])"
+
+
 def keyword_statistics(df: DataFrame, text: str, value: str, keywords: Sequence[str]) -> DataFrame:
     """Per keyword: texts that hold it as a whole word, and statistics of a value.
 
     Only hits are turned into rows; keywords without hits are kept with count 0.
     """
     lower = F.lower(F.col(text))
-    hits = F.array_compact(F.array(*[F.when(lower.rlike(rf"\b{k}\b"), F.lit(k)) for k in keywords]))
+    hits = F.array_compact(F.array(*[F.when(lower.contains(k) & lower.rlike(whole_word(k)), F.lit(k)) for k in keywords]))
     found = df.select(F.explode(hits).alias("keyword"), F.col(value).cast("double").alias("value"))
     aggregates = [F.count("*").alias("occurrences"), F.count("value").alias("values"), F.avg("value").alias("mean")]
     stats = quantiles.group_statistics(found, ["keyword"], "value", {"median": 0.5}, aggregates)
@@ -88,7 +96,7 @@ def _top_terms(terms: DataFrame, n: int) -> DataFrame:
 
 def pattern_rates(df: DataFrame, text: str, patterns: Sequence[str], subset: Column) -> DataFrame:
     """Share of texts, in percent, that match any pattern: overall and in a subset."""
-    hit = F.coalesce(F.lower(F.col(text)).rlike("|".join(patterns)), F.lit(False))
+    hit = F.coalesce(F.lower(F.col(text)).rlike("(?U)" + "|".join(patterns)), F.lit(False))
     return df.agg(
         F.count("*").alias("rows"),
         F.count_if(hit).alias("hits"),
