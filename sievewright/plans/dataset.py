@@ -56,10 +56,12 @@ DEFAULT_PLAN = DatasetPlan(
 )
 
 
+OWN = (readers.VERSION, readers.INGEST_ID)
+SCOPE, ORDER = (readers.VERSION,), (readers.INGEST_ID,)
+
+
 @dataclass(frozen=True)
 class DatasetRun:
-    aligned: dict[str, DataFrame]
-    alignment: dict[str, align.Alignment]
     validation: DataFrame
     cleaned: dict[str, clean.CleanedTable]
     failed: dict[str, str]
@@ -67,23 +69,39 @@ class DatasetRun:
     features: features.FeatureBuild
 
 
-def plan_dataset(tables: Mapping[str, DataFrame], plan: DatasetPlan = DEFAULT_PLAN) -> DatasetRun:
-    """Lazy plans of all stages over version-tagged tables; runs no job.
+def align_versions(
+    versions: Mapping[str, Mapping[str, DataFrame]], plan: DatasetPlan = DEFAULT_PLAN
+) -> tuple[dict[str, DataFrame], dict[str, dict[str, align.Alignment]]]:
+    """Align each version by its own column names, then unite the versions.
+
+    From here on every table is one DataFrame with a version column, so each rule
+    and join is planned once however many versions there are.
+    """
+    aligned: dict[str, dict[str, DataFrame]] = {}
+    reports: dict[str, dict[str, align.Alignment]] = {}
+    for version, tables in versions.items():
+        aligned[version], reports[version] = align.align_all(tables, plan.schemas, passthrough=OWN)
+    return readers.combine_versions(aligned), reports
+
+
+def plan_dataset(aligned: Mapping[str, DataFrame], plan: DatasetPlan = DEFAULT_PLAN) -> DatasetRun:
+    """Lazy plans of all stages over aligned tables; runs no job.
 
-    ``tables`` carry ``dataset_version`` and ``_ingest_id``. Keys, joins and
+    The tables carry ``dataset_version`` and ``_ingest_id``. Keys, joins and
     checks hold within a version.
     """
-    own = (readers.VERSION, readers.INGEST_ID)
-    scope, order = (readers.VERSION,), (readers.INGEST_ID,)
-    aligned, alignment = align.align_all(tables, plan.schemas, passthrough=own)
-    report = validate.validate(aligned, plan.validation, plan.schemas, scope)
-    cleaned, failed = clean.clean_all(aligned, plan.cleaning, plan.schemas, order, scope)
+    report = validate.validate(aligned, plan.validation, plan.schemas, SCOPE)
+    cleaned, failed = clean.clean_all(aligned, plan.cleaning, plan.schemas, ORDER, SCOPE)
     results = {name: c.result for name, c in cleaned.items()}
-    fact = results[plan.fact].drop(readers.INGEST_ID)
-    joined = master.build_master(
-        fact, results, plan.dimensions, plan.snapshots, plan.bridges, order_by=order, scope=scope
+    joined = _join(results, plan)
+    return DatasetRun(report, cleaned, failed, joined, features.build_features(joined.result, plan.features))
+
+
+def _join(tables: Mapping[str, DataFrame], plan: DatasetPlan) -> master.Joined:
+    fact = tables[plan.fact].drop(readers.INGEST_ID)
+    return master.build_master(
+        fact, tables, plan.dimensions, plan.snapshots, plan.bridges, order_by=ORDER, scope=SCOPE
     )
-    return DatasetRun(aligned, alignment, report, cleaned, failed, joined, features.build_features(joined.result, plan.features))
 
 
 def run_dataset(
@@ -91,36 +109,31 @@ def run_dataset(
 ) -> DataFrame:
     """Ingest a dump and write validation report, master table and feature store.
 
-    The cleaned tables and the master are written and read back, so each is
-    computed once although several outputs need it.
+    Aligned tables, cleaned tables and the master are written and read back, so
+    each is computed once although several outputs need it. The written copy also
+    fixes the ingest ids: a lost task cannot renumber rows.
     """
     versions = readers.load_all(spark, root, defaults.MANDATORY_FILES, defaults.OPTIONAL_FILES)
-    # one written copy fixes the ingest ids, so a lost task cannot renumber rows
-    tables = {
-        name: writers.write_parquet(df, f"{output}/ingested/{name}", partition_by=[readers.VERSION])
-        for name, df in readers.combine_versions(versions).items()
+    combined, _ = align_versions(versions, plan)
+    aligned = {
+        name: writers.write_parquet(df, f"{output}/aligned/{name}", partition_by=SCOPE)
+        for name, df in combined.items()
     }
-    run = plan_dataset(tables, plan)
-    writers.write_report(run.validation, f"{output}/reports/validation")
-    validate.enforce(validate.summary(spark.read.json(f"{output}/reports/validation")), plan.gate)
+    report = validate.validate(aligned, plan.validation, plan.schemas, SCOPE)
+    writers.write_report(report, f"{output}/reports/validation")
+    validate.enforce(validate.summary(spark.read.schema(report.schema).json(f"{output}/reports/validation"), SCOPE), plan.gate)
 
-    own, scope = (readers.VERSION, readers.INGEST_ID), (readers.VERSION,)
-    parents: dict[str, DataFrame] = {}
-    aligned, _ = align.align_all(tables, plan.schemas, passthrough=own)
+    tables: dict[str, DataFrame] = {}
     for name in clean.parents_first(list(aligned), plan.cleaning):
-        rule = plan.cleaning.get(name, CleaningRule())
-        cleaned = clean.clean_table(
-            aligned[name], name, rule, parents, plan.schemas.get(name), (readers.INGEST_ID,), scope
-        )
-        parents[name] = writers.write_parquet(cleaned.result, f"{output}/cleaned/{name}", partition_by=scope)
-    fact = parents[plan.fact].drop(readers.INGEST_ID)
-    joined = master.build_master(
-        fact, parents, plan.dimensions, plan.snapshots, plan.bridges, order_by=(readers.INGEST_ID,), scope=scope
-    )
-    stored = writers.write_parquet(joined.result, f"{output}/master_dataset", dataset_id, partition_by=scope)
-    master.enforce_integrity(master.integrity_counts(fact, stored, plan.fact_key, scope))
+        rule, schema = plan.cleaning.get(name, CleaningRule()), plan.schemas.get(name)
+        cleaned = clean.clean_table(aligned[name], name, rule, tables, schema, ORDER, SCOPE)
+        tables[name] = writers.write_parquet(cleaned.result, f"{output}/cleaned/{name}", partition_by=SCOPE)
+    joined = _join(tables, plan)
+    stored = writers.write_parquet(joined.result, f"{output}/master_dataset", dataset_id, partition_by=SCOPE)
+    counts = master.integrity_counts(tables[plan.fact], stored, plan.fact_key, SCOPE)
+    master.enforce_integrity(counts)
     store = features.build_features(stored, plan.features).result
-    written = writers.write_parquet(store, f"{output}/feature_store", dataset_id, partition_by=scope)
+    written = writers.write_parquet(store, f"{output}/feature_store", dataset_id, partition_by=SCOPE)
     features.validate_features(written, plan.features)
     return written
 
