@@ -24,11 +24,10 @@ from pyspark.sql.window import Window
 
 from sievewright.session import is_small
 
-# ranges per group, looked up in blocks: 16 block ends, then 16 bounds
-_BLOCK = 16
-RANGES = _BLOCK * _BLOCK
+# ranges per group: a power of two, found by binary search in the bounds
+RANGES = 128
 _N, _TOTAL, _BELOW = "_sw_n", "_sw_total", "_sw_below"
-_BOUNDS, _ENDS, _RANGE, _START = "_sw_bounds", "_sw_ends", "_sw_range", "_sw_start"
+_BOUNDS, _RANGE, _START = "_sw_bounds", "_sw_range", "_sw_start"
 
 
 def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
@@ -38,6 +37,21 @@ def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     return df.filter(present).groupBy(*names).agg(F.count(F.lit(1)).alias(_N))
 
 
+def _locate(df: DataFrame, value: str, ranges: int) -> DataFrame:
+    """Number of bounds below the value, by binary search.
+
+    One short expression per step stays inside generated code, where a lambda
+    over the array would be interpreted and copy the array for every row.
+    """
+    df = df.withColumn(_RANGE, F.lit(0))
+    step = ranges // 2
+    while step:
+        bound = F.get(F.col(_BOUNDS), F.col(_RANGE) + (step - 1))
+        df = df.withColumn(_RANGE, F.when(bound < F.col(value), F.col(_RANGE) + step).otherwise(F.col(_RANGE)))
+        step //= 2
+    return df
+
+
 def _ranged(counts: DataFrame, by: Sequence[str], value: str, ranges: int) -> tuple[DataFrame, DataFrame]:
     """Counts with their range number, and per range its start and group total."""
     shares = [(i + 1) / ranges for i in range(ranges - 1)]
@@ -45,17 +59,13 @@ def _ranged(counts: DataFrame, by: Sequence[str], value: str, ranges: int) -> tu
         F.percentile_approx(value, shares, F.lit(20 * ranges)).alias(_BOUNDS),
         F.sum(_N).alias(_TOTAL),
     ]
-    block_ends = F.filter(_BOUNDS, lambda _, i: i % _BLOCK == _BLOCK - 1)
-    bounds = counts.groupBy(*by).agg(*sketch).withColumn(_ENDS, block_ends)
+    bounds = counts.groupBy(*by).agg(*sketch)
     if by:
         placed = counts.join(bounds, list(by))
     else:
-        one = bounds.select(F.struct(_BOUNDS, _ENDS, _TOTAL)).scalar()
+        one = bounds.select(F.struct(_BOUNDS, _TOTAL)).scalar()
         placed = counts.withColumn("_sw_one", one).select(*counts.columns, "_sw_one.*")
-    placed = placed.withColumn("_sw_block", F.size(F.filter(_ENDS, lambda b: b < F.col(value))))
-    inside = F.slice(_BOUNDS, F.col("_sw_block") * _BLOCK + 1, F.lit(_BLOCK))
-    number = F.col("_sw_block") * _BLOCK + F.size(F.filter(inside, lambda b: b < F.col(value)))
-    placed = placed.withColumn(_RANGE, number).drop(_BOUNDS, _ENDS, "_sw_block")
+    placed = _locate(placed, value, ranges).drop(_BOUNDS)
     sizes = placed.groupBy(*by, _RANGE).agg(F.sum(_N).alias("_sw_size"), F.first(_TOTAL).alias(_TOTAL))
     earlier = Window.partitionBy(*by).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn(_START, F.coalesce(F.sum("_sw_size").over(earlier), F.lit(0)))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,33 +72,42 @@ def text_lengths(text: Column) -> dict[str, Column]:
 
 
 def tokens(text: Column, stop_words: Sequence[str]) -> Column:
-    """Lower-case runs of a-z without stop words."""
-    words = F.regexp_extract_all(F.lower(text), F.lit("([a-z]+)"), 1)
-    return F.filter(words, lambda w: ~w.isin(*stop_words)) if stop_words else words
+    """Lower-case runs of a-z without stop words, found by one pattern."""
+    skip = rf"(?!(?:{'|'.join(stop_words)})(?![a-z]))" if stop_words else ""
+    return F.regexp_extract_all(F.lower(text), F.lit(rf"(?<![a-z]){skip}([a-z]+)"), 1)
 
 
 def top_unigrams(df: DataFrame, text: str, stop_words: Sequence[str], n: int) -> DataFrame:
     words = df.select(F.explode(tokens(F.col(text), stop_words)).alias("term"))
-    return _top_terms(words, n)
+    counts = words.groupBy("term").agg(F.count("*").alias("rows"))
+    return counts.orderBy(F.desc("rows"), "term").limit(n)
 
 
 def top_bigrams(df: DataFrame, text: str, stop_words: Sequence[str], n: int) -> DataFrame:
     """Most frequent neighbours after stop words are gone (linear in the text)."""
-    split = df.select(tokens(F.col(text), stop_words).alias("t"))
-    heads = F.slice("t", F.lit(1), F.greatest(F.size("t") - 1, F.lit(0)))
-    tails = F.slice("t", F.lit(2), F.greatest(F.size("t") - 1, F.lit(0)))
-    pairs = F.zip_with(heads, tails, lambda a, b: F.concat_ws(" ", a, b))
-    return _top_terms(split.select(F.explode(pairs).alias("term")), n)
+    split = df.select(tokens(F.col(text), stop_words).alias("t")).filter(F.size("t") > 1)
+    pairs = F.arrays_zip(F.slice("t", F.lit(1), F.size("t") - 1).alias("a"), F.slice("t", F.lit(2), F.size("t") - 1).alias("b"))
+    counts = split.select(F.inline(pairs).alias("a", "b")).groupBy("a", "b").agg(F.count("*").alias("rows"))
+    terms = counts.select(F.concat_ws(" ", "a", "b").alias("term"), "rows")
+    return terms.orderBy(F.desc("rows"), "term").limit(n)
 
 
-def _top_terms(terms: DataFrame, n: int) -> DataFrame:
-    counts = terms.groupBy("term").agg(F.count("*").alias("rows"))
-    return counts.orderBy(F.desc("rows"), "term").limit(n)
+def matches(text: Column, pattern: str) -> Column:
+    """Whether a pattern occurs. Patterns without operators are searched as plain
+    text; word boundaries are Unicode-aware."""
+    bare = re.sub(r"\\([^\w\s])", r"\1", pattern)
+    if not set(re.sub(r"\\[^\w\s]", "", pattern)) & set(".^$*+?{}[]\\|()"):
+        return text.contains(bare)
+    word = re.fullmatch(r"\\b([\w ]+)\\b", pattern)
+    if word:
+        return text.contains(word.group(1)) & text.rlike(whole_word(word.group(1)))
+    return text.rlike(f"(?U){pattern}")
 
 
 def pattern_rates(df: DataFrame, text: str, patterns: Sequence[str], subset: Column) -> DataFrame:
     """Share of texts, in percent, that match any pattern: overall and in a subset."""
-    hit = F.coalesce(F.lower(F.col(text)).rlike("(?U)" + "|".join(patterns)), F.lit(False))
+    lower = F.lower(F.col(text))
+    hit = F.coalesce(reduce(lambda a, b: a | b, [matches(lower, p) for p in patterns]), F.lit(False))
     return df.agg(
         F.count("*").alias("rows"),
         F.count_if(hit).alias("hits"),

@@ -27,7 +27,7 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("small", [True, False])
-@pytest.mark.parametrize("ranges", [16, 256])
+@pytest.mark.parametrize("ranges", [4, 128])
 def test_group_quantiles(skewed, small, ranges):
     pdf, df = skewed
     got = quantiles.group_statistics(df, ["g"], "v", PROBS, small=small, ranges=ranges).toPandas().set_index("g")
