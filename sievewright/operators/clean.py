@@ -208,7 +208,7 @@ def cleaning_report(cleaned: CleanedTable) -> DataFrame:
     per key; orphans from the size of the result.
     """
     scope, rule = cleaned.scope, cleaned.rule
-    typed_keys = [*scope, *rule.key] if rule.key else [c for c in cleaned.bounded.columns if c not in cleaned.keep]
+    typed_keys = [*scope, *(rule.key or [c for c in cleaned.bounded.columns if c not in cleaned.keep])]
 
     def metrics(df: DataFrame, **values: Column) -> DataFrame:
         wide = df.groupBy(*scope).agg(*[v.cast("bigint").alias(k) for k, v in values.items()])

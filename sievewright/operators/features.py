@@ -102,10 +102,18 @@ def modes(df: DataFrame, names: Sequence[str], max_distinct: int | None) -> Data
     """``(column, mode)``: most frequent text, ties to the smallest.
 
     Columns with more than ``max_distinct`` values are left out. The columns are
-    stacked and counted together, so one shuffle serves them all.
+    stacked and counted together, so one shuffle serves them all. Columns that a
+    distinct-count sketch finds far beyond the limit are blanked before that
+    shuffle, so long free texts are never moved; near the limit the exact count
+    decides.
     """
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in names])
-    long = long.unpivot([], list(names), "column", "value").filter("value is not null")
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in names])
+    if max_distinct is not None:
+        sketch = texts.agg(*[F.approx_count_distinct(c).alias(c) for c in names]).select(F.struct(*names)).scalar()
+        sketched = texts.withColumn("_sw_sketch", sketch)
+        near = 2 * max_distinct
+        texts = sketched.select(*[F.when(F.col(f"_sw_sketch.{c}") <= near, F.col(c)).alias(c) for c in names])
+    long = texts.unpivot([], list(names), "column", "value").filter("value is not null")
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     best = F.min(F.struct((-F.col("n")).alias("n"), F.col("value").alias("v")))["v"]
     per_column = counts.groupBy("column").agg(best.alias("mode"), F.count(F.lit(1)).alias("distinct"))

@@ -6,8 +6,10 @@ read back, which also cuts the lineage.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,17 +126,28 @@ def run_dataset(
     validate.enforce(validate.summary(spark.read.schema(report.schema).json(f"{output}/reports/validation"), SCOPE), plan.gate)
 
     tables: dict[str, DataFrame] = {}
+    reports: list[DataFrame] = []
     for name in clean.parents_first(list(aligned), plan.cleaning):
         rule, schema = plan.cleaning.get(name, CleaningRule()), plan.schemas.get(name)
         cleaned = clean.clean_table(aligned[name], name, rule, tables, schema, ORDER, SCOPE)
         tables[name] = writers.write_parquet(cleaned.result, f"{output}/cleaned/{name}", partition_by=SCOPE)
+        # the written result is counted, not the plan that made it
+        reports.append(clean.cleaning_report(replace(cleaned, result=tables[name])))
+    writers.write_report(reduce(DataFrame.unionByName, reports), f"{output}/reports/cleaning")
+
+    # the match flags are stored with a working copy, so the joins run once
     joined = _join(tables, plan)
+    flagged = writers.write_parquet(joined.df, f"{output}/joined", partition_by=SCOPE)
+    joined = replace(joined, df=flagged)
+    writers.write_report(master.match_statistics(joined, SCOPE), f"{output}/reports/matches")
+    writers.write_report(master.column_coverage(joined, SCOPE), f"{output}/reports/coverage")
+    master.enforce_integrity(master.integrity_counts(tables[plan.fact], flagged, plan.fact_key, SCOPE))
     stored = writers.write_parquet(joined.result, f"{output}/master_dataset", dataset_id, partition_by=SCOPE)
-    counts = master.integrity_counts(tables[plan.fact], stored, plan.fact_key, SCOPE)
-    master.enforce_integrity(counts)
-    store = features.build_features(stored, plan.features).result
-    written = writers.write_parquet(store, f"{output}/feature_store", dataset_id, partition_by=SCOPE)
+
+    build = features.build_features(stored, plan.features)
+    written = writers.write_parquet(build.result, f"{output}/feature_store", dataset_id, partition_by=SCOPE)
     features.validate_features(written, plan.features)
+    writers.write_report(features.feature_summary(replace(build, result=written)), f"{output}/reports/features")
     return written
 
 
@@ -189,8 +202,6 @@ def _is_current(spark: SparkSession, current: DataFrame, state: str, by: list[st
 
 def hash_of(config: object) -> str:
     """Short stable hash of a frozen spec."""
-    import hashlib
-
     return hashlib.sha256(repr(config).encode()).hexdigest()[:16]
 
 

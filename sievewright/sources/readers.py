@@ -43,14 +43,15 @@ class SourceError(ValueError):
     """A dump is incomplete or empty."""
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = "Version_*/*") -> list[str]:
+def list_files(spark: SparkSession, root: str, pattern: str = "{Version_*/*,Version_*/*.csv/*}") -> list[str]:
     """Paths of the files below ``root``, by Spark's own listing.
 
-    Only names are read, so this works on any file system Spark can read.
+    Only names are read, so this works on any file system Spark can read. A table
+    may be one file or a directory of part files with the table's file name.
     """
     try:
-        files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{pattern}").select("path")
-        return [r["path"] for r in files.collect()]
+        files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{pattern}").select("path").distinct()
+        return sorted(r["path"] for r in files.collect())
     except AnalysisException as error:
         raise SourceError(f"no files found in {root}: {error}") from error
 
@@ -63,14 +64,16 @@ def discover_versions(paths: Sequence[str]) -> list[str]:
     return sorted(found, key=lambda v: int(v.rsplit("_", 1)[1]))
 
 
-def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """A CSV with header, all columns as text; types are given later.
 
-    Quoted cells may span lines; missing-value spellings become null.
+    Missing-value spellings become null. Quoted cells may span lines, which ties
+    each file to one task: deliver big tables as many part files, or switch
+    ``multi_line`` off where no cell holds a line break.
     """
     df = (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("enforceSchema", False)
         .csv(path)
@@ -84,7 +87,8 @@ def with_ingest_id(df: DataFrame) -> DataFrame:
     The id is only stable for a given set of input splits; write the ingested
     table once if it has to survive a re-read.
     """
-    position = F.format_string("%s#%020d", F.col("_metadata.file_path"), F.monotonically_increasing_id())
+    file, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    position = F.format_string("%s#%020d#%020d", file, start, F.monotonically_increasing_id())
     return df.withColumn(INGEST_ID, position)
 
 
@@ -99,7 +103,12 @@ def resolve_files(
     paths: Sequence[str], version: str, mandatory: Mapping[str, Sequence[str]], optional: Mapping[str, Sequence[str]]
 ) -> tuple[dict[str, str], list[str]]:
     """Path per table (first accepted name wins) and the optional tables missing."""
-    here = {p.rsplit("/", 1)[1]: p for p in paths if f"/{version}/" in p}
+    here: dict[str, str] = {}
+    for path in paths:
+        before, found, inside = path.partition(f"/{version}/")
+        if found:
+            name = inside.split("/")[0]
+            here[name] = f"{before}/{version}/{name}"
     chosen: dict[str, str] = {}
     absent: list[str] = []
     for name, accepted in {**mandatory, **optional}.items():

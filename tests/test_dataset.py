@@ -179,6 +179,30 @@ def test_validation_report_was_written(spark, store):
     assert validate.summary(report, ("dataset_version",)).first()["tables"] == 13
 
 
+def test_reports_were_written(spark, store):
+    output, df = store
+    cleaning = {(r["dataset_version"], r["table"]): r for r in spark.read.json(str(output / "reports" / "cleaning")).collect()}
+    postings = cleaning[("Version_10", "postings")]
+    assert (postings["rows_before"], postings["duplicates_removed"]) == (201, 1)
+    assert postings["rows_before"] - postings["rows_after"] == (
+        postings["null_rows_dropped"] + postings["duplicates_removed"] + postings["orphan_rows_removed"]
+    )
+    matches = {(r["dataset_version"], r["table"]): r["rows_matched"] for r in spark.read.json(str(output / "reports" / "matches")).collect()}
+    assert matches[("Version_10", "companies")] == postings["rows_after"]
+    assert matches[("Version_2", "job_skills")] == 0
+    summary = spark.read.json(str(output / "reports" / "features")).first()
+    assert summary["rows_after"] == df.count() and summary["cells_filled"] > 0
+
+
+def test_a_table_may_be_a_directory(spark, dump, tmp_path):
+    for i in range(3):
+        write(tmp_path / "Version_1" / "companies.csv" / f"part-{i}.csv", ["company_id", "name"], [[i, f"c{i}"]])
+    paths = readers.list_files(spark, str(tmp_path))
+    chosen, _ = readers.resolve_files(paths, "Version_1", {"companies": ("companies.csv",)}, {})
+    df = readers.with_ingest_id(readers.read_csv(spark, chosen["companies"]))
+    assert [r["name"] for r in df.orderBy(readers.INGEST_ID).collect()] == ["c0", "c1", "c2"]
+
+
 def test_gate_stops_the_run(spark, dump, tmp_path):
     import dataclasses
 
