@@ -222,7 +222,7 @@ _FULL_SQL = f"""
     latest AS (SELECT * FROM lineitem QUALIFY row_number() OVER (
       PARTITION BY l_orderkey ORDER BY l_shipdate DESC NULLS LAST, l_extendedprice, l_partkey) = 1),
     full_master AS (
-      SELECT fact.*, c_custkey, c_name, c_mktsegment, l_orderkey, l_shipdate, k, part_count, top_part, part_list
+      SELECT fact.*, c_custkey, c_name, c_mktsegment, l_orderkey, l_shipdate, l_extendedprice, l_partkey, k, part_count, top_part, part_list
       FROM fact LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 10 <> 3) ON o_custkey = c_custkey
       LEFT JOIN latest ON l_orderkey = o_orderkey LEFT JOIN bridge ON k = o_orderkey)
 """
@@ -277,6 +277,8 @@ def master_match_statistics(spark: SparkSession, folder: str) -> DataFrame:
       SELECT 'customer_name' AS "column", count(c_name) AS filled, count(*) AS n FROM full_master
       UNION ALL SELECT 'c_mktsegment', count(c_mktsegment), count(*) FROM full_master
       UNION ALL SELECT 'l_shipdate', count(l_shipdate), count(*) FROM full_master
+      UNION ALL SELECT 'last_line_price', count(l_extendedprice), count(*) FROM full_master
+      UNION ALL SELECT 'l_partkey', count(l_partkey), count(*) FROM full_master
       UNION ALL SELECT 'part_count', count(*), count(*) FROM full_master
       UNION ALL SELECT 'top_part', count(top_part), count(*) FROM full_master
       UNION ALL SELECT 'part_list', count(part_list), count(*) FROM full_master)
