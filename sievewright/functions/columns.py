@@ -147,9 +147,20 @@ def text_to_timestamp(c: Column) -> Column:
     return c.try_cast("timestamp")
 
 
+def wall_micros(time: Column) -> Column:
+    """Microseconds since 1970 on the clock the time shows, in any session zone.
+
+    Times without a zone have no daylight saving, so they must not be converted
+    through the session's.
+    """
+    days = F.datediff(F.to_date(time), F.lit("1970-01-01").cast("date")).cast("bigint")
+    seconds = (days * 24 + F.hour(time)) * 3600 + F.minute(time) * 60
+    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), time) * 1_000_000).cast("bigint")
+
+
 def elapsed_days(start: Column, end: Column) -> Column:
     """Whole 24-hour periods between two times, floored (not calendar days)."""
-    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
+    micros = wall_micros(end) - wall_micros(start)
     return F.floor(micros / F.lit(86_400_000_000)).cast("bigint")
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sievewright.functions import columns as X
+
 PERIODS = {"day": "interval 1 day", "week": "interval 7 days", "month": "interval 1 month"}
 
 
@@ -105,9 +107,9 @@ def category_shares(df: DataFrame, time: str, category: str, period: str) -> Dat
 def growth(df: DataFrame, time: str, category: str, k: int) -> DataFrame:
     """Rows before and after the midpoint of time for the ``k`` largest categories,
     and the growth in percent (null if there were none before)."""
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    micros = X.wall_micros(F.col(time))
     limits = df.agg(F.min(time).alias("lo"), F.max(time).alias("hi"))
-    ends = [F.unix_micros(F.col(c).cast("timestamp")) for c in ("lo", "hi")]
+    ends = [X.wall_micros(F.col(c)) for c in ("lo", "hi")]
     midpoint = limits.select((ends[0] + (ends[1] - ends[0]) / 2).alias("m")).scalar()
     halves = df.filter(F.col(category).isNotNull()).withColumn("_sw_mid", midpoint)
     counts = halves.groupBy(category).agg(

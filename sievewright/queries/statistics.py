@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from sievewright.operators import quantiles, stats
 from sievewright.queries.registry import query, rounded, table
 
-_QUARTILES = """round(quantile_cont({x}, 0.25), 4) AS p25, round(quantile_cont({x}, 0.5), 4) AS median,
-           round(quantile_cont({x}, 0.75), 4) AS p75"""
+_QUARTILES = """round(quantile_cont({x}, 0.25), {d}) AS p25, round(quantile_cont({x}, 0.5), {d}) AS median,
+           round(quantile_cont({x}, 0.75), {d}) AS p75"""
 
 
-def _moments(x: str) -> str:
-    return f"count({x}) AS count, round(avg({x}), 4) AS mean, round(stddev_samp({x}), 4) AS std, " + _QUARTILES.format(x=x)
+def _moments(x: str, d: int = 4) -> str:
+    return f"count({x}) AS count, round(avg({x}), {d}) AS mean, round(stddev_samp({x}), {d}) AS std, " + _QUARTILES.format(x=x, d=d)
 
 
 @query(
@@ -44,7 +44,7 @@ def group_statistics_large_path(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "overall_quantiles_large_path",
-    f"SELECT count(*) AS rows, {_QUARTILES.format(x='l_quantity')} FROM lineitem",
+    f"SELECT count(*) AS rows, {_QUARTILES.format(x='l_quantity', d=4)} FROM lineitem",
 )
 def overall_quantiles_large_path(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem")
@@ -57,13 +57,13 @@ def overall_quantiles_large_path(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "group_statistics_supported",
     f"""
-    SELECT l_partkey, {_moments('l_extendedprice')},
-           round(quantile_cont(l_extendedprice, 0.75) - quantile_cont(l_extendedprice, 0.25), 4) AS iqr
+    SELECT l_partkey, {_moments('l_extendedprice', 8)},
+           round(quantile_cont(l_extendedprice, 0.75) - quantile_cont(l_extendedprice, 0.25), 8) AS iqr
     FROM lineitem GROUP BY l_partkey HAVING count(*) >= 30
     """,
 )
 def group_statistics_supported(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(stats.supported_group_stats(table(spark, folder, "lineitem"), ["l_partkey"], "l_extendedprice", 30), 4)
+    return rounded(stats.supported_group_stats(table(spark, folder, "lineitem"), ["l_partkey"], "l_extendedprice", 30), 8)
 
 
 @query(
