@@ -179,7 +179,7 @@ def clean_texts(df: DataFrame, config: FeatureConfig) -> DataFrame:
     types = dict(df.dtypes)
 
     def source(c: str) -> Column:
-        # the reference turns missing text into the word for it
+        # parity mode turns missing text into the word for it
         return F.coalesce(F.col(c), F.lit("<NA>")) if config.parity else F.col(c)
 
     changes = {c: X.normal_text(source(c)) for c in config.texts if types.get(c) == "string"}

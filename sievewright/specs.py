@@ -181,9 +181,8 @@ class FeatureConfig:
     list_counts: Mapping[str, str] = field(default_factory=dict)
     drop_duplicates: bool = True
     duplicate_subset: tuple[str, ...] | None = None
-    # Follow the reference result exactly where it is surprising: flags taken
-    # after the text cleanup, list lengths over the uncapped counts, and
-    # booleans filled before they are converted.
+    # The surprising variants: flags taken after the text cleanup, list lengths
+    # written over the uncapped counts, booleans filled before conversion.
     parity: bool = False
 
 
