@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm import decontamination, line_dedup, mixing, repetition, simhash
+from sievewright.llm import (
+    compression_quality,
+    decontamination,
+    hmm,
+    language_id,
+    line_dedup,
+    mixing,
+    repetition,
+    simhash,
+    toxicity,
+    url_rules,
+)
+from sievewright.llm.common import is_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +39,21 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+URL_RULES = [
+    url_rules.UrlRule("allow", "com"),
+    url_rules.UrlRule("block", "example.com", "/en/"),
+    url_rules.UrlRule("allow", "www.example.com", "/en/"),
+    url_rules.UrlRule("block", "net", "/es/"),
+    url_rules.UrlRule("block", "net", "/fr/"),
+]
+
+
+@query("op1_url_filters")
+def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    judged = url_rules.judge(_table(spark, folder, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", *[F.col(f"judged.{c}").alias(c) for c in ("host", "path", "rule", "verdict", "mined")])
+
+
 def _coverage_sql() -> str:
     """Coverage by repeated word n-grams, a window per length."""
     tables, columns = [], []
@@ -81,6 +108,32 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def _labelled(spark: SparkSession, folder: str, label: str, folds: int, held_out: int) -> DataFrame:
+    """(doc_id, label) of the labelled ids outside the held-out fold."""
+    labels = _table(spark, folder, "labels").filter(~is_fold("doc_id", folds, held_out))
+    return labels.select("doc_id", F.col(label).alias("label"))
+
+
+def _predicted(scored: DataFrame, folds: int, held_out: int) -> DataFrame:
+    held = is_fold("doc_id", folds, held_out).alias("held_out")
+    return scored.select("doc_id", held, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op4_quality_classifier")
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = compression_quality.train(docs, _labelled(spark, folder, "quality", 5, 0))
+    return _predicted(compression_quality.score(docs, model), 5, 0)
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language_id.train(docs.filter(~is_fold("doc_id", 4, 2)))
+    found = language_id.predict(docs, model)
+    return found.select("doc_id", is_fold("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def mixed_sql(documents: str = "documents") -> str:
     """Rates and copies of the mix, as common table expressions that end in ``mixed``."""
     weights = ", ".join(map(str, mixing.WEIGHTS))
@@ -114,6 +167,13 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", *parts, (F.col("mix.size") * F.col("mix.copies")).alias("taken"), F.col("mix.copies").alias("copies"))
 
 
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _labelled(spark, folder, "toxic", 4, 2))
+    return _predicted(toxicity.score(docs, model), 4, 2)
+
+
 @query(
     "op8_line_dedup",
     f"""
@@ -135,6 +195,15 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "lines.n_lines", "lines.n_dropped", F.sha2("lines.text", 256).alias("kept_sha256"))
 
 
+@query("op9_lm_scoring")
+def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    counts, words, model = hmm.train(docs.filter(~is_fold("doc_id", 5, 1)))
+    scored = hmm.score(docs, counts, words, model)
+    held, total = is_fold("doc_id", 5, 1).alias("held_out"), F.lit(words.total).cast("long").alias("train_tokens")
+    return scored.select("doc_id", held, "n_tokens", "n_known", total, "base_score", "score")
+
+
 @query("op10_simhash")
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
