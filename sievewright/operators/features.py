@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sievewright.functions import columns as X
 from sievewright.operators import quantiles
@@ -83,11 +84,26 @@ def datetime_losses(df: DataFrame, config: FeatureConfig) -> DataFrame:
 # ------------------------------------------------------------------ fill values
 
 
+# a mode is found in the column's own type: the slot its type goes to
+_SLOTS = {"whole": "bigint", "number": "double", "text": "string", "time": "timestamp"}
+
+
+def _slot(dtype: str) -> str | None:
+    if X.is_numeric(dtype):
+        return "whole" if dtype in X.INTEGRAL else "number"
+    if dtype in ("timestamp", "timestamp_ntz", "date"):
+        return "time"
+    return "text" if dtype == "string" else None
+
+
 def fill_plan(df: DataFrame, config: FeatureConfig) -> dict[str, str]:
-    """Strategy per column: ``median``, ``mode``, ``constant``; others stay."""
+    """Strategy per column: ``median``, ``mode``, ``constant``; others stay.
+
+    Times are filled like texts, unless their strategy is named.
+    """
     chosen: dict[str, str] = {}
     for name, dtype in df.dtypes:
-        if name in config.lists or not (X.is_numeric(dtype) or dtype == "string"):
+        if name in config.lists or _slot(dtype) is None:
             continue
         default = config.numeric_strategy if X.is_numeric(dtype) else config.text_strategy
         strategy = config.fill_strategies.get(name, default)
@@ -98,34 +114,54 @@ def fill_plan(df: DataFrame, config: FeatureConfig) -> dict[str, str]:
     return chosen
 
 
+def _few_values(df: DataFrame, names: Sequence[str], most: int) -> DataFrame:
+    """``names`` of ``df``, blank where a column surely has more than ``most`` values.
+
+    Hashes are dealt to buckets: more full buckets than ``most`` prove more
+    values. A task holds its full buckets only, and free texts are never moved.
+    """
+    buckets = 16 * (most + 1)
+    full = [F.size(F.collect_set(F.pmod(F.xxhash64(c), F.lit(buckets)))).alias(c) for c in names]
+    checked = df.withColumn("_sw_full", df.agg(*full).select(F.struct(*names)).scalar())
+    return checked.withColumns({c: F.when(F.col(f"_sw_full.{c}") <= most, F.col(c)) for c in names}).drop("_sw_full")
+
+
 def modes(df: DataFrame, names: Sequence[str], max_distinct: int | None) -> DataFrame:
-    """``(column, mode)``: most frequent text, ties to the smallest.
+    """``(column, whole, number, text, time)``: the most frequent value, in the slot of the column's type.
 
-    Columns with more than ``max_distinct`` values are left out. The columns are
-    stacked and counted together, so one shuffle serves them all. Columns that a
-    distinct-count sketch finds far beyond the limit are blanked before that
-    shuffle, so long free texts are never moved; near the limit the exact count
-    decides.
+    Ties go to the smallest value of that type. Texts and times with more than
+    ``max_distinct`` values are left out; numbers never are. The columns are
+    stacked and counted together, so one shuffle serves them all.
     """
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in names])
-    if max_distinct is not None:
-        sketch = texts.agg(*[F.approx_count_distinct(c).alias(c) for c in names]).select(F.struct(*names)).scalar()
-        sketched = texts.withColumn("_sw_sketch", sketch)
-        near = 2 * max_distinct
-        texts = sketched.select(*[F.when(F.col(f"_sw_sketch.{c}") <= near, F.col(c)).alias(c) for c in names])
-    long = texts.unpivot([], list(names), "column", "value").filter("value is not null")
-    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    best = F.min(F.struct((-F.col("n")).alias("n"), F.col("value").alias("v")))["v"]
-    per_column = counts.groupBy("column").agg(best.alias("mode"), F.count(F.lit(1)).alias("distinct"))
-    if max_distinct is not None:
-        per_column = per_column.filter(F.col("distinct") <= max_distinct)
-    return per_column.select("column", "mode")
-
-
-def _as_row(long: DataFrame, value: str, names: Sequence[str]) -> Column:
-    """``(column, value)`` rows as one struct, read as a scalar subquery."""
-    picked = [F.max(F.when(F.col("column") == c, F.col(value))).alias(c) for c in names]
-    return long.agg(*picked).select(F.struct(*names)).scalar()
+    slots = {c: _slot(t) for c, t in df.dtypes if c in set(names)}
+    limited = [c for c in names if slots[c] in ("text", "time")]
+    data = df.select(*names)
+    if max_distinct is not None and limited:
+        data = _few_values(data, limited, max_distinct)
+    stacked = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column"),
+                *[(F.col(c) if slots[c] == s else F.lit(None)).cast(t).alias(s) for s, t in _SLOTS.items()],
+            )
+            for c in names
+        ]
+    )
+    long = data.select(F.inline(stacked)).filter(F.coalesce(*[F.col(s).cast("string") for s in _SLOTS]).isNotNull())
+    counts = long.groupBy("column", *_SLOTS).agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("column").orderBy(F.desc("n"), *_SLOTS)
+    best = counts.withColumn("_sw_place", F.row_number().over(order)).filter("_sw_place = 1")
+    if max_distinct is not None and limited:
+        distinct = counts.groupBy("column").agg(F.count(F.lit(1)).alias("_sw_distinct"))
+        best = best.join(distinct, "column")
+        best = best.filter(~F.col("column").isin(limited) | (F.col("_sw_distinct") <= max_distinct))
+    return best.select("column", *_SLOTS)
+
+
+def _as_row(long: DataFrame, values: dict[str, str]) -> Column:
+    """``(column, ...)`` rows as one struct, each column's value from the named one, read as a scalar subquery."""
+    picked = [F.max(F.when(F.col("column") == c, F.col(value))).alias(c) for c, value in values.items()]
+    return long.agg(*picked).select(F.struct(*values)).scalar()
 
 
 def fill_missing(df: DataFrame, config: FeatureConfig) -> DataFrame:
@@ -137,13 +173,14 @@ def fill_missing(df: DataFrame, config: FeatureConfig) -> DataFrame:
     by_mode = [c for c, s in plan.items() if s == "mode"]
     fills: dict[str, Column] = {}
     if by_median:
-        row = _as_row(quantiles.medians(df, by_median), "median", by_median)
+        row = _as_row(quantiles.medians(df, by_median), dict.fromkeys(by_median, "median"))
         df = df.withColumn("_sw_medians", row)
         for c in by_median:
             # a median may have a fraction, so filled columns are doubles
             fills[c] = F.coalesce(F.col(c).cast("double"), F.col(f"_sw_medians.{c}"))
     if by_mode:
-        df = df.withColumn("_sw_modes", _as_row(modes(df, by_mode, config.mode_max_distinct), "mode", by_mode))
+        slots = {c: _slot(types[c]) for c in by_mode}
+        df = df.withColumn("_sw_modes", _as_row(modes(df, by_mode, config.mode_max_distinct), slots))
         fills |= {c: F.coalesce(F.col(c), F.col(f"_sw_modes.{c}").try_cast(types[c])) for c in by_mode}
     for c, strategy in plan.items():
         if strategy == "constant":

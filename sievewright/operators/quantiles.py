@@ -1,12 +1,13 @@
 """Exact order statistics that hold for groups of any size.
 
-Spark's ``percentile`` keeps every distinct value of a group in one buffer. That
-is fine for small inputs and used there. Beyond :data:`SMALL_INPUT_BYTES` (by
-Catalyst's size estimate) a group is cut into value ranges instead:
+Spark's ``percentile`` keeps every distinct value of a group in one buffer. Here
+a group is cut into value ranges instead, by one plan for all sizes:
 
 1. count each ``(group, value)`` (partial sums per task),
 2. take range bounds per group from a bounded sketch (``percentile_approx``),
-3. sum the counts per ``(group, range)`` and run them up: at most ``RANGES`` + 1
+   and place the values by them; both sides are dealt out by group and salt, so
+   a group's values meet its bounds in :data:`SALTS` tasks,
+3. sum the counts per ``(group, range)`` and run them up: at most ``RANGES``
    small rows per group,
 4. order only inside ``(group, range)``, which spreads one hot group over many tasks.
 
@@ -22,12 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sievewright.session import is_small
-
 # ranges per group: a power of two, found by binary search in the bounds
 RANGES = 128
+# tasks in which the values of one group meet its bounds
+SALTS = 32
 _N, _TOTAL, _BELOW = "_sw_n", "_sw_total", "_sw_below"
-_BOUNDS, _RANGE, _START = "_sw_bounds", "_sw_range", "_sw_start"
+_BOUNDS, _RANGE, _START, _SALT = "_sw_bounds", "_sw_range", "_sw_start", "_sw_salt"
 
 
 def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
@@ -53,45 +54,35 @@ def _locate(df: DataFrame, value: str, ranges: int) -> DataFrame:
 
 
 def _ranged(counts: DataFrame, by: Sequence[str], value: str, ranges: int) -> tuple[DataFrame, DataFrame]:
-    """Counts with their range number, and per range its start and group total."""
+    """Counts with their range number and group total, and the start and size of each range."""
     shares = [(i + 1) / ranges for i in range(ranges - 1)]
-    sketch = [
-        F.percentile_approx(value, shares, F.lit(20 * ranges)).alias(_BOUNDS),
-        F.sum(_N).alias(_TOTAL),
-    ]
-    bounds = counts.groupBy(*by).agg(*sketch)
+    # a group of few values has few bounds
+    sketch = F.array_distinct(F.percentile_approx(value, shares, F.lit(20 * ranges))).alias(_BOUNDS)
+    bounds = counts.groupBy(*by).agg(sketch, F.sum(_N).alias(_TOTAL))
     if by:
-        placed = counts.join(bounds, list(by))
+        salted = counts.withColumn(_SALT, F.pmod(F.hash(value), F.lit(SALTS)))
+        copies = bounds.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        placed = salted.join(copies, [*by, _SALT]).drop(_SALT)
     else:
         one = bounds.select(F.struct(_BOUNDS, _TOTAL)).scalar()
         placed = counts.withColumn("_sw_one", one).select(*counts.columns, "_sw_one.*")
     placed = _locate(placed, value, ranges).drop(_BOUNDS)
-    sizes = placed.groupBy(*by, _RANGE).agg(F.sum(_N).alias("_sw_size"), F.first(_TOTAL).alias(_TOTAL))
+    # the total is kept on both branches, so that they are one exchange to Spark
+    sizes = placed.groupBy(*by, _RANGE, _TOTAL).agg(F.sum(_N).alias("_sw_size"))
     earlier = Window.partitionBy(*by).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn(_START, F.coalesce(F.sum("_sw_size").over(earlier), F.lit(0)))
-    return placed.drop(_TOTAL), starts
+    return placed, sizes.withColumn(_START, F.coalesce(F.sum("_sw_size").over(earlier), F.lit(0)))
 
 
 def _run_up(placed: DataFrame, starts: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     inside = Window.partitionBy(*by, _RANGE).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    joined = placed.join(starts, [*by, _RANGE])
+    joined = placed.join(starts.select(*by, _RANGE, _START), [*by, _RANGE])
     return joined.withColumn(_BELOW, F.col(_START) + F.coalesce(F.sum(_N).over(inside), F.lit(0)))
 
 
 def cumulative_counts(df: DataFrame, by: Sequence[str], value: str, ranges: int = RANGES) -> DataFrame:
     """``(*by, value, rows, below, total)``: rows with the value, rows with a
     smaller value, and rows in all, per group."""
-    counts = value_counts(df, by, value)
-    if is_small(df.select(*by, value)):
-        order = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-        run = counts.withColumns(
-            {
-                _BELOW: F.coalesce(F.sum(_N).over(order), F.lit(0)),
-                _TOTAL: F.sum(_N).over(Window.partitionBy(*by)),
-            }
-        )
-    else:
-        run = _run_up(*_ranged(counts, by, value, ranges), by, value)
+    run = _run_up(*_ranged(value_counts(df, by, value), by, value, ranges), by, value)
     return run.select(
         *by, value, F.col(_N).alias("rows"), F.col(_BELOW).alias("below"), F.col(_TOTAL).alias("total")
     )
@@ -103,7 +94,7 @@ def average_ranks(df: DataFrame, value: str, rank: str) -> DataFrame:
     return run.select(value, (F.col("below") + (F.col("rows") + 1) / F.lit(2.0)).alias(rank))
 
 
-def _large_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float], ranges: int) -> DataFrame:
+def _quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float], ranges: int) -> DataFrame:
     placed, starts = _ranged(value_counts(df, by, value), by, value, ranges)
 
     def position(p: float) -> Column:
@@ -139,25 +130,19 @@ def group_statistics(
     aggregates: Sequence[Column] = (),
     *,
     ranges: int = RANGES,
-    small: bool | None = None,
 ) -> DataFrame:
     """``(*by, *aggregates, *quantiles)``, quantiles interpolated linearly.
 
     Groups with a null key are left out. ``aggregates`` are ordinary aliased
-    aggregates over the same rows. ``small`` overrides the size check.
+    aggregates over the same rows.
     """
     data = df.withColumn(value, F.col(value).cast("double")) if dict(df.dtypes)[value] != "double" else df
     if by:
         data = data.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in by]))
     needed = data.select(*by, value)
-    if small if small is not None else is_small(needed):
-        # all points of one column in one aggregate share one buffer
-        points = [float(p) for p in probs.values()]
-        quantiles = [F.percentile(value, F.lit(points)).alias("_sw_q")] if points else []
-        stats = data.groupBy(*by).agg(*aggregates, *quantiles)
-        names = [c for c in stats.columns if c != "_sw_q"]
-        return stats.select(*names, *[F.col("_sw_q")[i].alias(n) for i, n in enumerate(probs)])
-    quantiles = _large_quantiles(needed, by, value, probs, ranges)
+    if not probs:
+        return data.groupBy(*by).agg(*aggregates)
+    quantiles = _quantiles(needed, by, value, probs, ranges)
     if not aggregates:
         return quantiles
     stats = data.groupBy(*by).agg(*aggregates)

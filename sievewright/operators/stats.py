@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -233,7 +232,3 @@ def waterfall(df: DataFrame, stages: Mapping[str, Column]) -> DataFrame:
         alive = alive & ~hit
     aggregates += [F.count_if(alive).alias("kept"), F.avg(alive.cast("double") * 100).alias("kept_percent")]
     return df.agg(*aggregates)
-
-
-def all_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

@@ -513,7 +513,41 @@ def features_fill_missing(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def features_modes(spark: SparkSession, folder: str) -> DataFrame:
-    return features.modes(_gappy_orders(spark, folder), ["status", "priority", "level", "note"], 100)
+    found = features.modes(_gappy_orders(spark, folder), ["status", "priority", "level", "note"], 100)
+    return found.select("column", F.coalesce("text", F.col("whole").cast("string")).alias("mode"))
+
+
+# two-digit ties, more than a hundred numbers with a clear mode, times with few and with many values
+@query(
+    "features_modes_of_numbers",
+    """
+    WITH gappy AS (
+      SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN CASE o_orderkey % 4 WHEN 0 THEN 9.0 WHEN 1 THEN 9.0 ELSE 10.0 END END::DOUBLE AS tied,
+             CASE WHEN o_orderkey % 7 <> 0 THEN CASE WHEN o_orderkey % 3 = 0 THEN 12345678901234567 ELSE o_orderkey END END AS number,
+             CASE WHEN o_orderkey % 6 <> 0 THEN date_trunc('year', o_orderdate) END AS year,
+             CASE WHEN o_orderkey % 6 <> 1 THEN o_orderdate END AS day FROM orders)
+    SELECT o_orderkey,
+           coalesce(tied, (SELECT tied FROM gappy WHERE tied IS NOT NULL GROUP BY tied ORDER BY count(*) DESC, tied LIMIT 1)) AS tied,
+           coalesce(number, (SELECT number FROM gappy WHERE number IS NOT NULL GROUP BY number ORDER BY count(*) DESC, number LIMIT 1)) AS number,
+           strftime(coalesce(year, (SELECT year FROM gappy WHERE year IS NOT NULL GROUP BY year ORDER BY count(*) DESC, year LIMIT 1)), '%Y-%m-%d') AS year,
+           coalesce(strftime(day, '%Y-%m-%d'), '-') AS day
+    FROM gappy
+    """,
+)
+def features_modes_of_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    gappy = table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.when(key % 5 != 0, F.when(key % 4 < 2, 9.0).otherwise(10.0)).alias("tied"),
+        F.when(key % 7 != 0, F.when(key % 3 == 0, F.lit(12345678901234567)).otherwise(key)).alias("number"),
+        F.when(key % 6 != 0, F.date_trunc("year", "o_orderdate")).alias("year"),
+        F.when(key % 6 != 1, F.col("o_orderdate")).alias("day"),
+    )
+    config = FeatureConfig(fill_strategies={"o_orderkey": "leave"}, numeric_strategy="mode")
+    filled = features.fill_missing(gappy, config)
+    # day has too many values for a mode and keeps its gaps
+    texts = {c: F.coalesce(F.date_format(c, "yyyy-MM-dd"), F.lit("-")) for c in ("year", "day")}
+    return filled.withColumns(texts)
 
 
 @query(

@@ -25,32 +25,28 @@ def group_statistics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    "group_statistics_large_path",
+    "group_statistics_of_few_groups",
     f"SELECT l_returnflag, {_moments('l_extendedprice')} FROM lineitem GROUP BY l_returnflag",
 )
-def group_statistics_large_path(spark: SparkSession, folder: str) -> DataFrame:
-    """The same statistics by value ranges, as taken for large inputs."""
+def group_statistics_of_few_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """A quarter of all lines in a group."""
     aggregates = [
         F.count("l_extendedprice").alias("count"),
         F.avg("l_extendedprice").alias("mean"),
         F.stddev_samp("l_extendedprice").alias("std"),
     ]
     lines = table(spark, folder, "lineitem")
-    result = quantiles.group_statistics(
-        lines, ["l_returnflag"], "l_extendedprice", stats.QUARTILES, aggregates, small=False
-    )
+    result = quantiles.group_statistics(lines, ["l_returnflag"], "l_extendedprice", stats.QUARTILES, aggregates)
     return rounded(result, 4)
 
 
 @query(
-    "overall_quantiles_large_path",
+    "overall_quantiles",
     f"SELECT count(*) AS rows, {_QUARTILES.format(x='l_quantity', d=4)} FROM lineitem",
 )
-def overall_quantiles_large_path(spark: SparkSession, folder: str) -> DataFrame:
+def overall_quantiles(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem")
-    result = quantiles.group_statistics(
-        lines, [], "l_quantity", stats.QUARTILES, [F.count("*").alias("rows")], small=False
-    )
+    result = quantiles.group_statistics(lines, [], "l_quantity", stats.QUARTILES, [F.count("*").alias("rows")])
     return rounded(result, 4)
 
 

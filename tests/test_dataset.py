@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from sievewright import defaults
 from sievewright.operators import validate
 from sievewright.plans import dataset
-from sievewright.session import checkpoint
 from sievewright.sources import readers, writers
 from sievewright.specs import QualityGate, SplitConfig
 
@@ -254,6 +253,3 @@ def test_nan_is_null_after_reading(spark, tmp_path):
     spark.createDataFrame([(float("nan"),), (1.0,)], "x double").write.parquet(str(tmp_path / "n"))
     assert readers.read_parquet(spark, str(tmp_path / "n")).filter("x is null").count() == 1
 
-
-def test_checkpoint_keeps_rows(spark):
-    assert checkpoint(spark.range(10)).count() == 10

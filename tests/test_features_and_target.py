@@ -5,6 +5,8 @@ import math
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from sievewright import defaults
 from sievewright.operators import features, fingerprint, target
 from sievewright.specs import FeatureConfig, SalaryConfig
@@ -47,6 +49,20 @@ def test_mode_is_skipped_over_many_values(spark):
     assert features.fill_missing(df, FeatureConfig(mode_max_distinct=200)).filter("c is null").count() == 0
 
 
+def test_modes_keep_the_type_of_their_column(spark):
+    """Ties by value, not by text; the limit is for texts and times only."""
+    rows = [(9.0, i, f"2024-01-{1 + i % 28:02}", f"t{i % 7}") for i in range(150)]
+    rows += [(10.0, 7, "2024-01-05", "t3")] * 150 + [(None, None, None, None)]
+    df = spark.createDataFrame(rows, "tied double, many long, day string, text string").withColumn("day", F.to_timestamp("day"))
+    config = FeatureConfig(numeric_strategy="mode")
+    filled = features.fill_missing(df, config)
+    assert filled.dtypes == df.dtypes
+    last = [r for r in filled.collect() if r.tied is not None][-1]
+    assert (last.tied, last.many, str(last.day)[:10], last.text) == (9.0, 7, "2024-01-05", "t3")
+    few = features.fill_missing(df, FeatureConfig(numeric_strategy="mode", mode_max_distinct=10))
+    assert few.filter("day is null").count() == 1 and few.filter("text is null or many is null or tied is null").count() == 0
+
+
 def test_constants_and_unknown_strategy(spark):
     df = spark.createDataFrame([(None, None, None), (1.0, 2.0, "x")], "size double, n double, t string")
     config = FeatureConfig(

@@ -26,21 +26,19 @@ def skewed(spark):
     return pdf, spark.createDataFrame(data, "g string, v double")
 
 
-@pytest.mark.parametrize("small", [True, False])
 @pytest.mark.parametrize("ranges", [4, 128])
-def test_group_quantiles(skewed, small, ranges):
+def test_group_quantiles(skewed, ranges):
     pdf, df = skewed
-    got = quantiles.group_statistics(df, ["g"], "v", PROBS, small=small, ranges=ranges).toPandas().set_index("g")
+    got = quantiles.group_statistics(df, ["g"], "v", PROBS, ranges=ranges).toPandas().set_index("g")
     want = pdf.groupby("g")["v"].quantile(list(PROBS.values())).unstack()
     assert set(got.index) == set(want.index)
     for name, p in PROBS.items():
         np.testing.assert_allclose(got[name], want[p].reindex(got.index), rtol=1e-12)
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_overall_quantiles(skewed, small):
+def test_overall_quantiles(skewed):
     pdf, df = skewed
-    row = quantiles.group_statistics(df, [], "v", PROBS, small=small).first()
+    row = quantiles.group_statistics(df, [], "v", PROBS).first()
     for name, p in PROBS.items():
         assert row[name] == pytest.approx(pdf["v"].quantile(p), rel=1e-12)
 
@@ -49,7 +47,7 @@ def test_overall_quantiles(skewed, small):
 @given(st.lists(st.integers(-5, 5), min_size=1, max_size=30))
 def test_any_values(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    row = quantiles.group_statistics(df, [], "v", PROBS, small=False, ranges=16).first()
+    row = quantiles.group_statistics(df, [], "v", PROBS, ranges=16).first()
     for name, p in PROBS.items():
         assert row[name] == pytest.approx(np.quantile(values, p))
 
@@ -58,16 +56,12 @@ def test_group_without_values(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", None)], "g string, v double")
     from pyspark.sql import functions as F
 
-    for small in (True, False):
-        got = quantiles.group_statistics(df, ["g"], "v", {"m": 0.5}, [F.count("*").alias("n")], small=small)
-        assert sorted(tuple(r) for r in got.collect()) == [("a", 1, 1.0), ("b", 1, None)]
+    got = quantiles.group_statistics(df, ["g"], "v", {"m": 0.5}, [F.count("*").alias("n")])
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 1, 1.0), ("b", 1, None)]
 
 
-@pytest.mark.parametrize("large", [True, False])
-def test_cumulative_counts(skewed, large, monkeypatch):
+def test_cumulative_counts(skewed):
     pdf, df = skewed
-    if large:
-        monkeypatch.setattr(quantiles, "is_small", lambda df: False)
     got = quantiles.cumulative_counts(df, ["g"], "v").toPandas()
     present = pdf.dropna()
     want = present.groupby(["g", "v"]).size().rename("rows").reset_index().sort_values(["g", "v"])
@@ -78,10 +72,7 @@ def test_cumulative_counts(skewed, large, monkeypatch):
     assert (merged["total"] == merged["g"].map(present.groupby("g").size())).all()
 
 
-@pytest.mark.parametrize("large", [True, False])
-def test_ranks_and_spearman(spark, skewed, large, monkeypatch):
-    if large:
-        monkeypatch.setattr(quantiles, "is_small", lambda df: False)
+def test_ranks_and_spearman(spark, skewed):
     pdf, df = skewed
     got = quantiles.average_ranks(df, "v", "r").toPandas().set_index("v")["r"]
     want = pd.Series(pdf["v"].dropna().rank().values, index=pdf["v"].dropna().values)
