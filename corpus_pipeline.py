@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sievewright.llm import decontamination, line_dedup, mixing, repetition, simhash
-from sievewright.llm.common import materialize
+from sievewright.llm.common import materialize, ship
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,6 +43,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage's result is written to the shared folder and read by the next."""
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir))

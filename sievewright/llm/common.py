@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import functools
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Tables of up to this many narrow rows may be sent to all tasks.
+BROADCAST_ROWS = 10_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -32,6 +37,27 @@ def _local_folder() -> str:
     return "file://" + tempfile.mkdtemp(prefix="sievewright-")
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once, if nothing tells them where it is."""
+    root = Path(__file__).resolve().parents[2]
+    told = {Path(p).resolve() for p in [*os.environ.get("PYTHONPATH", "").split(":"), os.getcwd()] if p}
+    context = spark.sparkContext
+    if root in told or getattr(context, "_sievewright_shipped", False):
+        return
+    folder = tempfile.mkdtemp(prefix="sievewright-")
+    context.addPyFile(shutil.make_archive(f"{folder}/sievewright", "zip", root, "sievewright"))
+    context._sievewright_shipped = True
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of few texts: by default 10,000 texts of any length travel together."""
+    for key, most in (("maxRecordsPerBatch", 2000), ("maxBytesPerBatch", 1 << 24)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(key, None)
+        if now is None or not now.isdigit() or int(now) > most or int(now) <= 0:
+            spark.conf.set(key, str(most))
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` into the shared folder and read it back (runs a job).
 
@@ -43,6 +69,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` as a side of a join: sent to all tasks if it is counted to be small, else joined by sorting.
+
+    Spark's own estimate ignores how many rows an explode makes, so it would
+    also send out the other, exploded side. ``df`` should be a written table.
+    """
+    return F.broadcast(df) if df.count() <= rows else df.hint("merge")
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it (in any case)."""
     taken = {c.lower() for c in df.columns}
@@ -63,6 +98,7 @@ def is_fold(key: str, folds: int, number: int) -> Column:
 
 def texts_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Only id and text, so that no other column can clash with a result."""
+    bound_batches(docs.sparkSession)
     return docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
 
 

@@ -15,13 +15,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import WORD, fresh, materialize
+from sievewright.llm.common import WORD, fresh, materialize, sized
 
 WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
 SEED = "mix-1"
-#: Tables of sources up to this many rows are sent to all tasks, larger ones are joined by shuffling.
-BROADCAST_ROWS = 10_000
 _HASH_DIGITS = 13
 
 
@@ -86,9 +84,7 @@ def with_copies(
     size = token_count(F.col(f"`{text_column}`"))
     rates = materialize(targets(docs.select(F.col(f"`{source_column}`").alias("source"), size.alias("size")), weights, most))
     source, share = fresh(docs, "_sw_source"), fresh(docs, "_sw_share")
-    rates = rates.select(F.col("source").alias(source), F.struct("source_size", "target", "rate").alias(share))
-    if rates.count() <= BROADCAST_ROWS:
-        rates = F.broadcast(rates)
+    rates = sized(rates.select(F.col("source").alias(source), F.struct("source_size", "target", "rate").alias(share)))
     joined = docs.join(rates, F.col(f"`{source_column}`").eqNullSafe(F.col(source)), "left")
     rate = F.col(f"{share}.rate")
     made = F.struct(

@@ -19,7 +19,7 @@ from sievewright.llm import (
     toxicity,
     url_rules,
 )
-from sievewright.llm.common import is_fold
+from sievewright.llm.common import is_fold, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import fresh, map_texts, materialize, texts_of
+from sievewright.llm.common import fresh, map_texts, materialize, sized, texts_of
 from sievewright.llm.components import components
 
 MOST_BITS = 4
@@ -85,9 +85,14 @@ def _words(values: list[int]):
 
 
 def _postings(fps: DataFrame) -> DataFrame:
-    """(choice, bytes, fp): the 70 index entries of every fingerprint."""
+    """(choice, bytes, fp): the 70 index entries of every fingerprint.
+
+    Fingerprints are few bytes, so a task would read millions; they are dealt
+    out first, to as many tasks as shuffles have.
+    """
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in _masks()])
-    return fps.select("fp", F.posexplode(keys).alias("choice", "bytes"))
+    return fps.repartition(tasks, "fp").select("fp", F.posexplode(keys).alias("choice", "bytes"))
 
 
 def _near(a: str, b: str):
@@ -102,11 +107,11 @@ def links(fps: DataFrame, most_pairwise: int = 16) -> DataFrame:
     sizes = materialize(sizes.filter("n > 1"))
     twos = sizes.filter("n = 2").filter(_near("a", "b")).select("a", "b")
     larger = materialize(sizes.filter("n > 2").select(*key, (F.col("n") > most_pairwise).alias("dense")))
-    members = materialize(postings.join(larger, key).select(*key, "fp", "dense"))
+    members = materialize(postings.join(sized(larger), key).select(*key, "fp", "dense"))
     few = members.filter("not dense").drop("dense")
     pairs = (
         few.withColumnRenamed("fp", "a")
-        .join(few.withColumnRenamed("fp", "b"), key)
+        .join(few.withColumnRenamed("fp", "b").hint("merge"), key)
         .filter((F.col("a") < F.col("b")) & _near("a", "b"))
         .select("a", "b")
     )
@@ -115,7 +120,7 @@ def links(fps: DataFrame, most_pairwise: int = 16) -> DataFrame:
     middles = dense.select("fp", F.explode(around).alias("middle"))
     met = middles.groupBy("middle").agg(F.min("fp").alias("least"), F.count("*").alias("n")).filter("n > 1")
     met = materialize(met.select("middle", "least"))
-    stars = middles.join(met, "middle").filter("fp > least").select(F.col("least").alias("a"), F.col("fp").alias("b"))
+    stars = middles.join(sized(met), "middle").filter("fp > least").select(F.col("least").alias("a"), F.col("fp").alias("b"))
     return materialize(twos.union(pairs).union(stars).distinct())
 
 

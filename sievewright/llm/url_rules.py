@@ -24,7 +24,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import fresh, materialize
+from sievewright.llm.common import fresh, materialize, sized
 
 LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _LABEL = "verdict="
@@ -118,7 +118,7 @@ def mine(labelled: DataFrame, rules: MiningRules = MINING) -> DataFrame:
     smaller = posted.select(F.col("items").alias("s_items"), F.col("verdict").alias("s_verdict"), F.col("confidence").alias("s_confidence"), "token")
     contained = (
         posted.select("items", "verdict", "confidence", F.explode("items").alias("token"))
-        .join(smaller, "token")
+        .join(sized(smaller), "token")
         .filter("s_verdict = verdict and s_confidence >= confidence and size(s_items) < size(items)")
         .filter(F.size(F.array_except("s_items", "items")) == 0)
     )
@@ -129,7 +129,7 @@ def mine(labelled: DataFrame, rules: MiningRules = MINING) -> DataFrame:
 def matches(urls: DataFrame, mined: DataFrame) -> DataFrame:
     """(url, mined): the best rule (confidence, support, items, verdict) of every url (url, tokens) that has one."""
     exploded = urls.select("url", "tokens", F.explode("tokens").alias("token"))
-    held = exploded.join(mined, "token").filter(F.size(F.array_except("items", "tokens")) == 0)
+    held = exploded.join(sized(mined), "token").filter(F.size(F.array_except("items", "tokens")) == 0)
     best = F.max(F.struct("confidence", "support", F.array_join("items", " ").alias("items"), "verdict"))
     return held.groupBy("url").agg(best.alias("mined"))
 
