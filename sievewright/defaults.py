@@ -20,8 +20,7 @@ from sievewright.specs import (
 
 # ---------------------------------------------------------------------------
 # Table and file names, column names, aliases and types of the
-# dump format. One line per table, then one line per column:
-# name, type, accepted source names (only where there is a choice), "required".
+# dump format.
 # ---------------------------------------------------------------------------
 
 MANDATORY_FILES = {
@@ -31,97 +30,116 @@ MANDATORY_FILES = {
     "job_industries": ("job_industries.csv",),
 }
 OPTIONAL_FILES = {
-    name: (f"{name}.csv",)
-    for name in ("benefits", "company_specialities", "employee_counts", "job_skills", "skills", "salaries")
+    "benefits": ("benefits.csv",),
+    "company_specialities": ("company_specialities.csv",),
+    "employee_counts": ("employee_counts.csv",),
+    "job_skills": ("job_skills.csv",),
+    "skills": ("skills.csv",),
+    "salaries": ("salaries.csv",),
 }
 
-_TABLES = """
-postings:
-  job_id bigint job_id|id required
-  company_id bigint
-  title string title|job_title
-  description string description|job_description
-  location string
-  views bigint
-  applies bigint
-  min_salary double
-  med_salary double
-  max_salary double
-  pay_period string
-  currency string
-  compensation_type string
-  normalized_salary double
-  formatted_work_type string formatted_work_type|work_type_name
-  work_type string
-  remote_allowed double
-  formatted_experience_level string formatted_experience_level|experience_level
-  listed_time double
-  original_listed_time double
-  expiry double
-  closed_time double
-  sponsored bigint
-  zip_code string
-  fips double
-companies:
-  company_id bigint required
-  name string name|company_name
-  description string
-  company_size double
-  state string
-  country string
-  city string
-  zip_code string
-  address string
-  url string
-industries:
-  industry_id bigint required
-  industry_name string
-job_industries:
-  job_id bigint required
-  industry_id bigint required
-benefits:
-  job_id bigint required
-  inferred bigint
-  type string
-company_specialities:
-  company_id bigint required
-  speciality string
-employee_counts:
-  company_id bigint required
-  employee_count bigint
-  follower_count bigint
-  time_recorded double
-job_skills:
-  job_id bigint required
-  skill_abr string
-skills:
-  skill_abr string required
-  skill_name string
-salaries:
-  salary_id bigint
-  job_id bigint required
-  max_salary double
-  med_salary double
-  min_salary double
-  pay_period string
-  currency string
-  compensation_type string
-"""
-
-
-def _read_tables(text: str) -> dict[str, CanonicalSchema]:
-    tables: dict[str, list[CanonicalColumn]] = {}
-    for line in text.strip().splitlines():
-        if not line.startswith(" "):
-            columns = tables.setdefault(line.rstrip(":"), [])
-            continue
-        name, dtype, *rest = line.split()
-        aliases = next((tuple(r.split("|")) for r in rest if "|" in r), ())
-        columns.append(CanonicalColumn(name, dtype, aliases, "required" in rest))
-    return {table: CanonicalSchema(tuple(columns)) for table, columns in tables.items()}
-
-
-SCHEMAS = _read_tables(_TABLES)
+SCHEMAS = {
+    "postings": CanonicalSchema(
+        (
+            CanonicalColumn("job_id", "bigint", ("job_id", "id"), required=True),
+            CanonicalColumn("company_id", "bigint"),
+            CanonicalColumn("title", "string", ("title", "job_title")),
+            CanonicalColumn("description", "string", ("description", "job_description")),
+            CanonicalColumn("location", "string"),
+            CanonicalColumn("views", "bigint"),
+            CanonicalColumn("applies", "bigint"),
+            CanonicalColumn("min_salary", "double"),
+            CanonicalColumn("med_salary", "double"),
+            CanonicalColumn("max_salary", "double"),
+            CanonicalColumn("pay_period", "string"),
+            CanonicalColumn("currency", "string"),
+            CanonicalColumn("compensation_type", "string"),
+            CanonicalColumn("normalized_salary", "double"),
+            CanonicalColumn("formatted_work_type", "string", ("formatted_work_type", "work_type_name")),
+            CanonicalColumn("work_type", "string"),
+            CanonicalColumn("remote_allowed", "double"),
+            CanonicalColumn("formatted_experience_level", "string", ("formatted_experience_level", "experience_level")),
+            CanonicalColumn("listed_time", "double"),
+            CanonicalColumn("original_listed_time", "double"),
+            CanonicalColumn("expiry", "double"),
+            CanonicalColumn("closed_time", "double"),
+            CanonicalColumn("sponsored", "bigint"),
+            CanonicalColumn("zip_code", "string"),
+            CanonicalColumn("fips", "double"),
+        )
+    ),
+    "companies": CanonicalSchema(
+        (
+            CanonicalColumn("company_id", "bigint", required=True),
+            CanonicalColumn("name", "string", ("name", "company_name")),
+            CanonicalColumn("description", "string"),
+            CanonicalColumn("company_size", "double"),
+            CanonicalColumn("state", "string"),
+            CanonicalColumn("country", "string"),
+            CanonicalColumn("city", "string"),
+            CanonicalColumn("zip_code", "string"),
+            CanonicalColumn("address", "string"),
+            CanonicalColumn("url", "string"),
+        )
+    ),
+    "industries": CanonicalSchema(
+        (
+            CanonicalColumn("industry_id", "bigint", required=True),
+            CanonicalColumn("industry_name", "string"),
+        )
+    ),
+    "job_industries": CanonicalSchema(
+        (
+            CanonicalColumn("job_id", "bigint", required=True),
+            CanonicalColumn("industry_id", "bigint", required=True),
+        )
+    ),
+    "benefits": CanonicalSchema(
+        (
+            CanonicalColumn("job_id", "bigint", required=True),
+            CanonicalColumn("inferred", "bigint"),
+            CanonicalColumn("type", "string"),
+        )
+    ),
+    "company_specialities": CanonicalSchema(
+        (
+            CanonicalColumn("company_id", "bigint", required=True),
+            CanonicalColumn("speciality", "string"),
+        )
+    ),
+    "employee_counts": CanonicalSchema(
+        (
+            CanonicalColumn("company_id", "bigint", required=True),
+            CanonicalColumn("employee_count", "bigint"),
+            CanonicalColumn("follower_count", "bigint"),
+            CanonicalColumn("time_recorded", "double"),
+        )
+    ),
+    "job_skills": CanonicalSchema(
+        (
+            CanonicalColumn("job_id", "bigint", required=True),
+            CanonicalColumn("skill_abr", "string"),
+        )
+    ),
+    "skills": CanonicalSchema(
+        (
+            CanonicalColumn("skill_abr", "string", required=True),
+            CanonicalColumn("skill_name", "string"),
+        )
+    ),
+    "salaries": CanonicalSchema(
+        (
+            CanonicalColumn("salary_id", "bigint"),
+            CanonicalColumn("job_id", "bigint", required=True),
+            CanonicalColumn("max_salary", "double"),
+            CanonicalColumn("med_salary", "double"),
+            CanonicalColumn("min_salary", "double"),
+            CanonicalColumn("pay_period", "string"),
+            CanonicalColumn("currency", "string"),
+            CanonicalColumn("compensation_type", "string"),
+        )
+    ),
+}
 
 # ---------------------------------------------------------------------------
 # Relations, vocabularies and bounds of the validation rules.
@@ -157,7 +175,10 @@ VALIDATION_RULES = {
         values={
             "min_salary": _NOT_NEGATIVE,
             "max_salary": _NOT_NEGATIVE,
-            **{c: _TIME for c in ("listed_time", "original_listed_time", "expiry", "closed_time")},
+            "listed_time": _TIME,
+            "original_listed_time": _TIME,
+            "expiry": _TIME,
+            "closed_time": _TIME,
             "remote_allowed": ValueRule(allowed=(0, 1)),
             "work_type": ValueRule(allowed=WORK_TYPES),
             "formatted_experience_level": ValueRule(allowed=EXPERIENCE_LEVELS),
@@ -260,8 +281,12 @@ SNAPSHOTS = (
         "job_id",
         "job_id",
         rename={
-            c: f"listed_{c}"
-            for c in ("min_salary", "max_salary", "med_salary", "pay_period", "currency", "compensation_type")
+            "min_salary": "listed_min_salary",
+            "max_salary": "listed_max_salary",
+            "med_salary": "listed_med_salary",
+            "pay_period": "listed_pay_period",
+            "currency": "listed_currency",
+            "compensation_type": "listed_compensation_type",
         },
     ),
 )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sievewright.functions import columns as X
 from sievewright.operators import features, fingerprint, master, profile
-from sievewright.queries.registry import query, rounded, table
+from sievewright.queries.registry import query, rounded, table, without_keys
 from sievewright.specs import BridgeJoin, DimensionJoin, FeatureConfig, SnapshotJoin
 
 # ---------------------------------------------------------------- master table
@@ -196,7 +196,7 @@ def master_bridge_without_top(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _full_master(spark: SparkSession, folder: str) -> master.Joined:
-    customer = table(spark, folder, "customer").filter("c_custkey % 10 <> 3")
+    customer = without_keys(table(spark, folder, "customer"), "c_custkey", "c_custkey % 10 = 3")
     latest_line = SnapshotJoin(
         "shipments", "o_orderkey", "l_orderkey", latest_by="l_shipdate", rename={"l_extendedprice": "last_line_price"}
     )
@@ -348,7 +348,7 @@ def master_by_version(spark: SparkSession, folder: str) -> DataFrame:
     customer = table(spark, folder, "customer").select("c_custkey", "c_name")
     names = master.union_versions(
         {
-            "Version_1": customer.filter("c_custkey % 2 = 0"),
+            "Version_1": without_keys(customer, "c_custkey", "c_custkey % 2 <> 0"),
             "Version_2": customer.withColumn("c_name", F.concat(F.lit("v2 "), "c_name")),
         }
     )
@@ -398,7 +398,7 @@ def join_keep_missing(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def missing_references(spark: SparkSession, folder: str) -> DataFrame:
-    part = table(spark, folder, "part").filter("p_size % 4 <> 1")
+    part = without_keys(table(spark, folder, "part"), "p_partkey", "p_size % 4 = 1")
     return profile.missing_keys(table(spark, folder, "lineitem"), "l_partkey", part, "p_partkey")
 
 

@@ -31,6 +31,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def without_keys(df: DataFrame, key: str, gone: str) -> DataFrame:
+    """Every row of ``df``, but the keys under ``gone`` negated, so that references to them are broken."""
+    return df.withColumn(key, F.when(F.expr(gone), -F.col(key)).otherwise(F.col(key)))
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round the doubles, as the SQL does: sums differ in their last bits."""
     return df.withColumns({c: F.round(F.col(c), digits) for c, t in df.dtypes if t == "double"})

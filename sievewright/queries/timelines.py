@@ -14,13 +14,25 @@ def _text_dates(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in names})
 
 
-# rare events leave days without any, so that the gaps have to be filled
+# events moved to the next day leave days without any, so that the gaps have to be filled
 def _rare_events(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").filter(F.dayofmonth("ts") % 4 != 2)
+    late = F.when(F.dayofmonth("ts") % 4 == 2, F.col("ts") + F.expr("INTERVAL 1 DAY"))
+    return table(spark, folder, "events").withColumn("ts", late.otherwise(F.col("ts")))
+
+
+# the same for orders and months
+def _late_orders(spark: SparkSession, folder: str) -> DataFrame:
+    late = F.when(F.month("o_orderdate") % 3 == 0, F.col("o_orderdate") + F.expr("INTERVAL 31 DAYS"))
+    return table(spark, folder, "orders").withColumn("o_orderdate", late.otherwise(F.col("o_orderdate")))
+
+
+_LATE_ORDERS = """
+    late AS (SELECT * REPLACE (CASE WHEN month(o_orderdate) % 3 = 0 THEN o_orderdate + INTERVAL 31 DAY ELSE o_orderdate END AS o_orderdate) FROM orders)
+"""
 
 
 _DAILY = """
-    rare AS (SELECT * FROM events WHERE day(ts) % 4 <> 2),
+    rare AS (SELECT * REPLACE (CASE WHEN day(ts) % 4 = 2 THEN ts + INTERVAL 1 DAY ELSE ts END AS ts) FROM events),
     spine AS (SELECT unnest(generate_series((SELECT min(ts)::DATE FROM rare), (SELECT max(ts)::DATE FROM rare), INTERVAL 1 DAY))::DATE AS d),
     daily AS (SELECT d, count(r.ts) AS rows FROM spine LEFT JOIN rare r ON r.ts::DATE = d GROUP BY d)
 """
@@ -33,28 +45,26 @@ def series_daily_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "series_weekly_counts",
-    """
-    WITH w AS (SELECT date_trunc('week', o_orderdate)::DATE AS w, count(*) AS n FROM orders WHERE month(o_orderdate) % 3 <> 0 GROUP BY 1),
+    f"""
+    WITH {_LATE_ORDERS}, w AS (SELECT date_trunc('week', o_orderdate)::DATE AS w, count(*) AS n FROM late GROUP BY 1),
     spine AS (SELECT unnest(generate_series((SELECT min(w) FROM w), (SELECT max(w) FROM w), INTERVAL 7 DAY))::DATE AS s)
     SELECT strftime(s + 6, '%Y-%m-%d') AS date, coalesce(n, 0) AS rows FROM spine LEFT JOIN w ON w.w = s
     """,
 )
 def series_weekly_counts(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders").filter(F.month("o_orderdate") % 3 != 0)
-    return _text_dates(series.counts_per_period(orders, "o_orderdate", "week"), "date")
+    return _text_dates(series.counts_per_period(_late_orders(spark, folder), "o_orderdate", "week"), "date")
 
 
 @query(
     "series_monthly_counts",
-    """
-    WITH m AS (SELECT date_trunc('month', o_orderdate)::DATE AS m, count(*) AS n FROM orders WHERE month(o_orderdate) % 3 <> 0 GROUP BY 1),
+    f"""
+    WITH {_LATE_ORDERS}, m AS (SELECT date_trunc('month', o_orderdate)::DATE AS m, count(*) AS n FROM late GROUP BY 1),
     spine AS (SELECT unnest(generate_series((SELECT min(m) FROM m), (SELECT max(m) FROM m), INTERVAL 1 MONTH))::DATE AS s)
     SELECT strftime(last_day(s), '%Y-%m-%d') AS date, coalesce(n, 0) AS rows FROM spine LEFT JOIN m ON m.m = s
     """,
 )
 def series_monthly_counts(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders").filter(F.month("o_orderdate") % 3 != 0)
-    return _text_dates(series.counts_per_period(orders, "o_orderdate", "month"), "date")
+    return _text_dates(series.counts_per_period(_late_orders(spark, folder), "o_orderdate", "month"), "date")
 
 
 @query(
@@ -120,19 +130,19 @@ def series_elapsed_days(spark: SparkSession, folder: str) -> DataFrame:
     """
     SELECT days, count(*) AS rows FROM (
       SELECT floor((epoch_us(e.ts) - epoch_us(f.first_ts)) / 86400000000)::BIGINT AS days
-      FROM events e JOIN (SELECT user_id, max(ts) AS first_ts FROM events WHERE event_id % 7 = 0 GROUP BY user_id) f USING (user_id))
+      FROM events e JOIN (SELECT user_id, max(ts) AS first_ts FROM events GROUP BY user_id) f USING (user_id))
     GROUP BY days
     """,
 )
 def series_elapsed_days_of_events(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
-    marks = events.filter("event_id % 7 = 0").groupBy("user_id").agg(F.max("ts").alias("mark"))
+    marks = events.groupBy("user_id").agg(F.max("ts").alias("mark"))
     days = events.join(marks, "user_id").select(X.elapsed_days(F.col("mark"), F.col("ts")).alias("days"))
     return days.groupBy("days").agg(F.count("*").alias("rows"))
 
 
 _TOP3 = """
-    top AS (SELECT event_type FROM rare WHERE value > 60 GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 3)
+    top AS (SELECT event_type FROM rare GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 3)
 """
 
 
@@ -140,15 +150,14 @@ _TOP3 = """
     "series_top_category_counts",
     f"""
     WITH {_DAILY}, {_TOP3},
-    c AS (SELECT ts::DATE AS d, event_type, count(*) AS n FROM rare WHERE value > 60
-          AND event_type IN (SELECT event_type FROM top) GROUP BY ALL),
+    c AS (SELECT ts::DATE AS d, event_type, count(*) AS n FROM rare WHERE event_type IN (SELECT event_type FROM top) GROUP BY ALL),
     s AS (SELECT unnest(generate_series((SELECT min(d) FROM c), (SELECT max(d) FROM c), INTERVAL 1 DAY))::DATE AS d)
     SELECT strftime(s.d, '%Y-%m-%d') AS start, top.event_type, coalesce(n, 0) AS rows
     FROM s CROSS JOIN top LEFT JOIN c ON c.d = s.d AND c.event_type = top.event_type
     """,
 )
 def series_top_category_counts(spark: SparkSession, folder: str) -> DataFrame:
-    events = _rare_events(spark, folder).filter("value > 60")
+    events = _rare_events(spark, folder)
     return _text_dates(series.category_counts(events, "ts", "event_type", "day", 3), "start")
 
 
