@@ -328,7 +328,7 @@ def clean_all(
             rule = rules.get(name, CleaningRule())
             schema = (schemas or {}).get(name)
             cleaned[name] = clean_table(tables[name], name, rule, parents, schema, order_by, scope, options)
-        except (AnalysisException, ValueError, AttributeError, KeyError) as error:
+        except (AnalysisException, ValueError) as error:
             if not continue_on_error:
                 raise
             failed[name] = str(error)

@@ -29,10 +29,10 @@ def last_per_key(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) ->
 def only_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows whose key occurs once.
 
-    Each task sends one combined row per key, not the copies themselves.
+    Each task sends at most two rows of a key, enough to tell; the count over
+    the same partitioning needs no further shuffle.
     """
-    payload = [c for c in df.columns if c not in key]
-    row = F.any_value(F.struct(*payload)) if payload else F.lit(None)
-    grouped = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_sw_n"), row.alias("_sw_row"))
-    single = grouped.filter("_sw_n = 1")
-    return single.select(*[F.col(f"_sw_row.{c}").alias(c) if c in payload else F.col(c) for c in df.columns])
+    window = Window.partitionBy(*key)
+    two = df.withColumn(_RANK, F.row_number().over(window.orderBy(*key))).filter(F.col(_RANK) <= 2)
+    counted = two.withColumn("_sw_n", F.count(F.lit(1)).over(window))
+    return counted.filter("_sw_n = 1").drop(_RANK, "_sw_n")

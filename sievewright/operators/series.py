@@ -97,9 +97,9 @@ def category_counts(df: DataFrame, time: str, category: str, period: str, k: int
     return _dense(counts, period, [category])
 
 
-def category_shares(df: DataFrame, time: str, category: str, period: str) -> DataFrame:
-    """Share of each category in its period."""
-    counts = category_counts(df, time, category, period)
+def category_shares(df: DataFrame, time: str, category: str, period: str, k: int) -> DataFrame:
+    """Share of each of the ``k`` largest categories in their period."""
+    counts = category_counts(df, time, category, period, k)
     total = F.sum("rows").over(Window.partitionBy("start"))
     return counts.withColumn("share", F.try_divide(F.col("rows"), total))
 

@@ -84,8 +84,10 @@ def top_unigrams(df: DataFrame, text: str, stop_words: Sequence[str], n: int) ->
 
 def top_bigrams(df: DataFrame, text: str, stop_words: Sequence[str], n: int) -> DataFrame:
     """Most frequent neighbours after stop words are gone (linear in the text)."""
-    split = df.select(tokens(F.col(text), stop_words).alias("t")).filter(F.size("t") > 1)
-    pairs = F.arrays_zip(F.slice("t", F.lit(1), F.size("t") - 1).alias("a"), F.slice("t", F.lit(2), F.size("t") - 1).alias("b"))
+    split = df.select(tokens(F.col(text), stop_words).alias("t"))
+    # no filter on the size: it would be pushed below the projection and tokenise every text twice
+    last = F.greatest(F.size("t") - 1, F.lit(0))
+    pairs = F.arrays_zip(F.slice("t", F.lit(1), last).alias("a"), F.slice("t", F.lit(2), last).alias("b"))
     counts = split.select(F.inline(pairs).alias("a", "b")).groupBy("a", "b").agg(F.count("*").alias("rows"))
     terms = counts.select(F.concat_ws(" ", "a", "b").alias("term"), "rows")
     return terms.orderBy(F.desc("rows"), "term").limit(n)
@@ -107,11 +109,17 @@ def pattern_rates(df: DataFrame, text: str, patterns: Sequence[str], subset: Col
     """Share of texts, in percent, that match any pattern: overall and in a subset."""
     lower = F.lower(F.col(text))
     hit = F.coalesce(reduce(lambda a, b: a | b, [matches(lower, p) for p in patterns]), F.lit(False))
-    return df.agg(
+    counted = df.select(hit.alias("hit"), subset.alias("inside")).agg(
         F.count("*").alias("rows"),
-        F.count_if(hit).alias("hits"),
-        F.avg(hit.cast("double") * 100).alias("rate_percent"),
-        F.avg(F.when(subset, hit.cast("double") * 100)).alias("subset_rate_percent"),
+        F.count_if("hit").alias("hits"),
+        F.count_if("inside").alias("_sw_inside"),
+        F.count_if(F.col("hit") & F.col("inside")).alias("_sw_both"),
+    )
+    return counted.select(
+        "rows",
+        "hits",
+        X.ratio(F.col("hits"), F.col("rows")).alias("rate_percent"),
+        X.ratio(F.col("_sw_both"), F.col("_sw_inside")).alias("subset_rate_percent"),
     )
 
 

@@ -83,7 +83,7 @@ def row_checks(
     schema: CanonicalSchema | None = None,
     scope: Sequence[str] = (),
 ) -> DataFrame:
-    """Row count, null, value and type violations in one pass (zeros included)."""
+    """Row count, missing columns, null, value and type violations in one pass (zeros included)."""
     types = dict(df.dtypes)
     flags: list[tuple[str, str | None, Column]] = []
     flags += [("null", c, _is_null(df[c], types[c])) for c in rules.not_null if c in types]
@@ -97,6 +97,8 @@ def row_checks(
     )
     entries = [_entry("rows", None, F.col("_rows"))]
     entries += [_entry(check, c, F.col(f"_{i}")) for i, (check, c, _) in enumerate(flags)]
+    # findings of the plan are literals of the same rows
+    entries += [_entry("structure", f"{kind}.{c}", F.lit(1)) for kind, c in structural_issues(df.columns, rules, schema)]
     return counts.select(*scope, F.lit(table).alias("table"), F.inline(F.array(*entries)))
 
 
@@ -150,11 +152,6 @@ def table_report(
         return counts.select(*scope, F.lit(table).alias("table"), F.inline(entries))
     # zero rows are dropped after the union, so each part stays a plain aggregate
     parts = [row_checks(df, table, rules, schema, scope)]
-    issues = structural_issues(df.columns, rules, schema)
-    if issues:
-        found = F.array(*[_entry("structure", f"{kind}.{c}", F.lit(1)) for kind, c in issues])
-        counts = df.groupBy(*scope).agg(F.count(F.lit(1)).alias("_rows"))
-        parts.append(counts.select(*scope, F.lit(table).alias("table"), F.inline(found)))
     if rules.unique_key and all(c in df.columns for c in rules.unique_key):
         parts.append(_total(duplicate_keys(df, rules.unique_key, scope), table, "duplicate_key", ",".join(rules.unique_key), scope))
     for reference in rules.references:

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Mapping
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +46,9 @@ class DatasetPlan:
     fact: str = "postings"
     fact_key: str = "job_id"
     gate: QualityGate = QualityGate()
+    # accepted file names of each table
+    mandatory_files: Mapping[str, tuple[str, ...]] = field(default_factory=lambda: defaults.MANDATORY_FILES)
+    optional_files: Mapping[str, tuple[str, ...]] = field(default_factory=lambda: defaults.OPTIONAL_FILES)
 
 
 DEFAULT_PLAN = DatasetPlan(
@@ -109,14 +113,23 @@ def _join(tables: Mapping[str, DataFrame], plan: DatasetPlan) -> master.Joined:
 def run_dataset(
     spark: SparkSession, root: str, output: str, dataset_id: str, plan: DatasetPlan = DEFAULT_PLAN
 ) -> DataFrame:
-    """Ingest a dump and write validation report, master table and feature store.
+    """Ingest a dump and write its reports, master table and feature store.
+
+    Reports: alignment, validation, cleaning (and the tables it had to leave out),
+    matches, coverage, the build as a whole, and features.
 
     Aligned tables, cleaned tables and the master are written and read back, so
     each is computed once although several outputs need it. The written copy also
     fixes the ingest ids: a lost task cannot renumber rows.
     """
-    versions = readers.load_all(spark, root, defaults.MANDATORY_FILES, defaults.OPTIONAL_FILES)
-    combined, _ = align_versions(versions, plan)
+    versions = readers.load_all(spark, root, plan.mandatory_files, plan.optional_files)
+    combined, alignments = align_versions(versions, plan)
+    found = [
+        align.alignment_report(versions[version][name], name, alignment).withColumn(readers.VERSION, F.lit(version))
+        for version, tables in alignments.items()
+        for name, alignment in tables.items()
+    ]
+    writers.write_report(reduce(DataFrame.unionByName, found), f"{output}/reports/alignment")
     aligned = {
         name: writers.write_parquet(df, f"{output}/aligned/{name}", partition_by=SCOPE)
         for name, df in combined.items()
@@ -127,13 +140,24 @@ def run_dataset(
 
     tables: dict[str, DataFrame] = {}
     reports: list[DataFrame] = []
+    failed: list[tuple[str, str]] = []
     for name in clean.parents_first(list(aligned), plan.cleaning):
         rule, schema = plan.cleaning.get(name, CleaningRule()), plan.schemas.get(name)
-        cleaned = clean.clean_table(aligned[name], name, rule, tables, schema, ORDER, SCOPE)
+        try:
+            cleaned = clean.clean_table(aligned[name], name, rule, tables, schema, ORDER, SCOPE)
+        except (AnalysisException, ValueError) as error:
+            # a table that cannot be cleaned is left out; without the fact there is nothing to build
+            if name == plan.fact:
+                raise
+            failed.append((name, str(error)))
+            continue
         tables[name] = writers.write_parquet(cleaned.result, f"{output}/cleaned/{name}", partition_by=SCOPE)
         # the written result is counted, not the plan that made it
         reports.append(clean.cleaning_report(replace(cleaned, result=tables[name])))
     writers.write_report(reduce(DataFrame.unionByName, reports), f"{output}/reports/cleaning")
+    writers.write_report(
+        spark.createDataFrame(failed, "table string, error string"), f"{output}/reports/cleaning_failures"
+    )
 
     # the match flags are stored with a working copy, so the joins run once
     joined = _join(tables, plan)
@@ -143,6 +167,7 @@ def run_dataset(
     writers.write_report(master.column_coverage(joined, SCOPE), f"{output}/reports/coverage")
     master.enforce_integrity(master.integrity_counts(tables[plan.fact], flagged, plan.fact_key, SCOPE))
     stored = writers.write_parquet(joined.result, f"{output}/master_dataset", dataset_id, partition_by=SCOPE)
+    writers.write_report(master.master_summary(stored, joined), f"{output}/reports/master")
 
     build = features.build_features(stored, plan.features)
     written = writers.write_parquet(build.result, f"{output}/feature_store", dataset_id, partition_by=SCOPE)
@@ -168,6 +193,9 @@ def run_salary(
 ) -> SalaryRun:
     """Build and split the salary table, unless neither input nor config changed.
 
+    Beside the two tables it writes reports: funnel, description and coverage of
+    the target, sizes and statistics of the parts.
+
     The decision compares content fingerprints with those stored last time; they
     are stored only after both outputs were written.
     """
@@ -182,12 +210,17 @@ def run_salary(
         )
     built = target.build_salary_table(feature_store, config)
     table = writers.write_parquet(built.result, f"{output}/salary", dataset_id)
+    writers.write_report(target.funnel(built.staged), f"{output}/reports/salary_funnel")
+    writers.write_report(target.describe(table, target.ANNUAL), f"{output}/reports/salary_description")
+    writers.write_report(target.coverage(built.staged), f"{output}/reports/salary_coverage")
     target.enforce_integrity(target.integrity(table, config))
     split.validate_input(table, split_config)
     parts = writers.write_parquet(
         split.group_split(table, split_config), f"{output}/split", dataset_id, partition_by=[split.SPLIT]
     )
     split.check_split(table, parts, split_config)
+    writers.write_report(split.part_sizes(parts, split_config), f"{output}/reports/split_sizes")
+    writers.write_report(split.part_statistics(parts, target.ANNUAL), f"{output}/reports/split_statistics")
     current.write.mode("overwrite").parquet(state)
     return SalaryRun(table, parts, True)
 
@@ -195,8 +228,10 @@ def run_salary(
 def _is_current(spark: SparkSession, current: DataFrame, state: str, by: list[str]) -> bool:
     try:
         stored = spark.read.parquet(state)
-    except Exception:  # first run: nothing stored yet
-        return False
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False  # first run: nothing stored yet
     return fingerprint.is_unchanged(current, stored, by)
 
 

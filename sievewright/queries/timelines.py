@@ -176,7 +176,7 @@ def series_top_category_counts(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def series_category_shares(spark: SparkSession, folder: str) -> DataFrame:
-    shares = series.category_shares(table(spark, folder, "orders"), "o_orderdate", "o_orderpriority", "month")
+    shares = series.category_shares(table(spark, folder, "orders"), "o_orderdate", "o_orderpriority", "month", 5)
     return _text_dates(rounded(shares), "start")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,13 +45,16 @@ class SourceError(ValueError):
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "{Version_*/*,Version_*/*.csv/*}") -> list[str]:
-    """Paths of the files below ``root``, by Spark's own listing.
+    """Paths of the tables below ``root``, by Spark's own listing.
 
     Only names are read, so this works on any file system Spark can read. A table
-    may be one file or a directory of part files with the table's file name.
+    may be one file or a directory of part files with the table's file name; its
+    parts are one path, so the driver gets a row per table and version.
     """
     try:
-        files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{pattern}").select("path").distinct()
+        files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{pattern}")
+        table = F.regexp_extract("path", r"^(.*/Version_\d+/[^/]+)", 1)
+        files = files.select(F.coalesce(F.nullif(table, F.lit("")), "path").alias("path")).distinct()
         return sorted(r["path"] for r in files.collect())
     except AnalysisException as error:
         raise SourceError(f"no files found in {root}: {error}") from error
@@ -130,7 +134,9 @@ def load_version(
     optional: Mapping[str, Sequence[str]],
     check_empty: bool = True,
 ) -> dict[str, DataFrame]:
-    chosen, _ = resolve_files(paths, version, mandatory, optional)
+    chosen, absent = resolve_files(paths, version, mandatory, optional)
+    for name in absent:
+        warnings.warn(f"{version}: optional table {name} not found", stacklevel=2)
     tables = {name: with_ingest_id(read_csv(spark, path)) for name, path in chosen.items()}
     if check_empty:
         for name, df in tables.items():

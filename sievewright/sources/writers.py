@@ -1,10 +1,11 @@
-"""Writing results. Spark's committers make each write all-or-nothing."""
+"""Writing results. A new ``latest`` is written beside the old one and then takes its place."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_parquet(
@@ -20,11 +21,21 @@ def write_parquet(
         archive = f"{root}/archive/{dataset_id}"
         df.write.mode("errorifexists").partitionBy(*partition_by).parquet(archive)
         df = spark.read.schema(df.schema).parquet(archive)
-    latest = f"{root}/latest"
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(latest)
+    latest, new = f"{root}/latest", f"{root}/_latest_{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(new)
+    _replace(spark, new, latest)
     return spark.read.schema(df.schema).parquet(latest)
 
 
+def _replace(spark: SparkSession, new: str, old: str) -> None:
+    """Move the folder ``new`` to ``old``; a write that fails leaves ``old`` as it was."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(new).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path(old), True)
+    if not files.rename(path(new), path(old)):
+        raise OSError(f"{new} could not be moved to {old}")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
