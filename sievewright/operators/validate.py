@@ -233,8 +233,8 @@ class QualityGateFailed(ValueError):
     """One or more gated kinds of finding occurred."""
 
 
-def enforce(summary_row: DataFrame, gate: QualityGate) -> None:
-    """Raise one error that names every gated finding. Runs the summary."""
+def gate_findings(summary_row: DataFrame, gate: QualityGate) -> DataFrame:
+    """``(finding, violations, gated, stops)`` per kind of finding."""
     gated = {
         "structural_issues": gate.structure,
         "null_violations": gate.nulls,
@@ -243,9 +243,25 @@ def enforce(summary_row: DataFrame, gate: QualityGate) -> None:
         "dtype_issues": gate.dtype_conformance,
         "broken_references": gate.broken_references,
     }
-    if not any(gated.values()):
+    count = {name: F.coalesce(F.col(name), F.lit(0)).cast("bigint") for name in gated}
+    rows = [
+        F.struct(
+            F.lit(name).alias("finding"),
+            count[name].alias("violations"),
+            F.lit(on).alias("gated"),
+            (F.lit(on) & (count[name] > 0)).alias("stops"),
+        )
+        for name, on in gated.items()
+    ]
+    return summary_row.select(F.inline(F.array(*rows)))
+
+
+def enforce(summary_row: DataFrame, gate: QualityGate) -> None:
+    """Raise one error that names every gated finding. Runs the summary if anything is gated."""
+    if gate == QualityGate():
         return
-    row = summary_row.first()
-    found = [f"{row[name]} {name.replace('_', ' ')}" for name, on in gated.items() if on and row[name]]
+    found = [
+        f"{r.violations} {r.finding.replace('_', ' ')}" for r in gate_findings(summary_row, gate).filter("stops").collect()
+    ]
     if found:
         raise QualityGateFailed("validation failed: " + "; ".join(found))
