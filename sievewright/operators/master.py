@@ -1,14 +1,18 @@
 """Master table: one row per fact row, whatever is joined to it.
 
 All joins are left equi-joins of the fact with a right side reduced to one row
-per key. No side is broadcast by hint: Spark compares the sizes it measured and
-AQE splits skewed join partitions.
+per key. Joins on the same key of the fact follow each other, and each key gets
+one salt: rows of its heavy keys (and null keys) are dealt to :data:`SALTS`
+tasks, and only the right rows of heavy keys are copied for them. So the fact is
+shuffled once per key, however many tables are joined on it, and a hot key is
+split in every one of these joins.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +22,12 @@ from sievewright.operators import dedupe
 from sievewright.specs import BridgeJoin, DimensionJoin, SnapshotJoin
 
 
+# tasks among which the rows of one heavy key are dealt
+SALTS = 32
+# a key is heavy if it holds more than this share of the rows, so there are fewer than its inverse
+HEAVY_SHARE = 0.002
+
+
 @dataclass(frozen=True)
 class Joined:
     """A fact with its joins so far. ``matches`` maps a join to its flag column."""
@@ -34,44 +44,75 @@ class Joined:
         return self.df.drop(*self.matches.values())
 
 
-def left_join(
-    state: Joined,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    name: str,
-    kind: str,
-    output: Sequence[str] | None = None,
-    scope: Sequence[str] = (),
-    null_safe: bool = False,
-) -> Joined:
-    """Left join that never renames or overwrites a column of the fact.
+@dataclass(frozen=True)
+class _Right:
+    """One table to join, reduced to a row per key; ``new`` are the columns it adds."""
+
+    name: str
+    kind: str
+    left_key: str
+    right_key: str
+    rows: DataFrame
+    new: tuple[str, ...]
+    dropped: tuple[str, ...]
+    flag: str
+
 
-    Incoming columns the fact already has are left out and reported. ``right``
-    must hold one row per key. Null keys match nothing unless ``null_safe``.
+def _heavy_keys(fact: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Values of ``by`` that hold more than :data:`HEAVY_SHARE` of the rows: a bounded table.
+
+    Counted in partial aggregates over the key columns alone.
     """
-    left = state.df
-    if left_key not in left.columns:
-        raise ValueError(f"cannot join {name}: the fact has no column {left_key}")
-    incoming = [c for c in right.columns if c not in (right_key, *scope) and (output is None or c in output)]
-    new = [c for c in incoming if c not in left.columns]
-    flag = f"_sw_match_{len(state.matches)}"
-    keys = {s: f"_sw_scope_{s}" for s in scope}
-    side = right.select(
-        F.col(right_key).alias("_sw_key"), *[F.col(s).alias(k) for s, k in keys.items()], *new, F.lit(True).alias(flag)
-    )
-    on = left[left_key].eqNullSafe(side["_sw_key"]) if null_safe else left[left_key] == side["_sw_key"]
-    for s, k in keys.items():
-        on = on & (left[s] == side[k])
-    joined = left.join(side, on, "left").drop("_sw_key", *keys.values())
-    return replace(
-        state,
-        df=joined,
-        matches={**state.matches, name: flag},
-        kinds={**state.kinds, name: kind},
-        created=(*state.created, *new),
-        dropped=(*state.dropped, *[f"{name}.{c}" for c in incoming if c not in new]),
-    )
+    rows = fact.agg(F.count(F.lit(1)).alias("n")).scalar()
+    counts = fact.groupBy(*by).agg(F.count(F.lit(1)).alias("_sw_n"))
+    return counts.filter(F.col("_sw_n") > rows * HEAVY_SHARE).select(*by)
+
+
+def _with_salt(df: DataFrame, heavy: DataFrame, by: Sequence[str], salt: str) -> DataFrame:
+    """``df`` with a salt: spread for heavy keys and for null ones, 0 for all others."""
+    mark = heavy.select(*[F.col(c).alias(f"_sw_heavy_{i}") for i, c in enumerate(by)], F.lit(True).alias("_sw_is_heavy"))
+    on = reduce(lambda a, b: a & b, [df[c].eqNullSafe(mark[f"_sw_heavy_{i}"]) for i, c in enumerate(by)])
+    marked = df.join(F.broadcast(mark), on, "left")
+    # any value of the row will do, as long as a repeated task finds the same
+    spread = F.pmod(F.xxhash64(*[c for c, t in df.dtypes if "map" not in t]), F.lit(SALTS)).cast("int")
+    wide = F.col("_sw_is_heavy") | F.col(by[-1]).isNull()
+    return marked.withColumn(salt, F.when(wide, spread).otherwise(0)).drop(*mark.columns)
+
+
+def _copies(rows: DataFrame, heavy: DataFrame, by: Sequence[str], salt: str) -> DataFrame:
+    """``rows`` with the salt 0, and with every salt where the key is heavy."""
+    mark = heavy.withColumn("_sw_is_heavy", F.lit(True))
+    on = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(mark[c]) for c in by])
+    marked = rows.join(F.broadcast(mark), on, "left").select(*[rows[c] for c in rows.columns], "_sw_is_heavy")
+    wide = F.col("_sw_is_heavy") | F.col(by[-1]).isNull()
+    salts = F.when(wide, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return marked.withColumn(salt, F.explode(salts)).drop("_sw_is_heavy")
+
+
+def _join_on_key(
+    df: DataFrame, fact: DataFrame, key: str, rights: Sequence[_Right], scope: Sequence[str], null_safe: bool
+) -> DataFrame:
+    """All ``rights`` that join on ``key`` of the fact, over one salted partitioning of it."""
+    by = [*scope, key]
+    source = fact if all(c in fact.columns for c in by) else df
+    heavy = _heavy_keys(source.select(*by), by)
+    salt = "_sw_salt"
+    joined = _with_salt(df, heavy, by, salt)
+    for i, right in enumerate(rights):
+        keyed = right.rows.select(
+            *[F.col(c) for c in scope],
+            F.col(right.right_key).alias(key),
+            *[F.col(c).alias(f"_sw_new_{j}") for j, c in enumerate(right.new)],
+            F.lit(True).alias(right.flag),
+        )
+        side = _copies(keyed, heavy, by, salt)
+        side = side.select(*[F.col(c).alias(f"_sw_on_{j}") for j, c in enumerate([*by, salt])], *keyed.columns[len(by) :])
+        on = [joined[c] == side[f"_sw_on_{j}"] for j, c in enumerate([*by, salt])]
+        if null_safe:
+            on[len(scope)] = joined[key].eqNullSafe(side[f"_sw_on_{len(scope)}"])
+        met = joined.join(side, reduce(lambda a, b: a & b, on), "left").drop(*[f"_sw_on_{j}" for j in range(len(on))])
+        joined = met.withColumnsRenamed({f"_sw_new_{j}": c for j, c in enumerate(right.new)})
+    return joined.drop(salt)
 
 
 def _order(df: DataFrame, order_by: Sequence[str], key: Sequence[str]) -> list[Column]:
@@ -149,36 +190,51 @@ def bridge_rows(
     if spec.with_list:
         window = Window.partitionBy(*by).orderBy("_sw_value")
         ranked = counts.withColumn("_sw_rank", F.row_number().over(window)).filter(F.col("_sw_rank") <= spec.list_size)
+        # the count of a pair is read here too, so that both branches are one exchange to Spark
+        ranked = ranked.filter(F.col("_sw_n") > 0)
         lists = ranked.groupBy(*by).agg(F.array_sort(F.collect_list("_sw_value")).alias(f"{spec.prefix}_list"))
         result = result.join(lists, by, "left")
     return result
 
 
-def add_dimension(state: Joined, tables: Mapping[str, DataFrame], spec: DimensionJoin, **how) -> Joined:
-    rows = dimension_rows(tables[spec.table], spec, how.get("order_by", ()), how.get("scope", ()))
-    key = spec.rename.get(spec.right_key, spec.right_key)
-    return left_join(
-        state, rows, spec.left_key, key, spec.table, "dimension", spec.output, how.get("scope", ()), how.get("null_safe", False)
-    )
-
-
-def add_snapshot(state: Joined, tables: Mapping[str, DataFrame], spec: SnapshotJoin, **how) -> Joined:
-    rows = snapshot_rows(tables[spec.table], spec, how.get("order_by", ()), how.get("scope", ()))
-    key = spec.rename.get(spec.right_key, spec.right_key)
-    return left_join(
-        state, rows, spec.left_key, key, spec.table, "snapshot", spec.output, how.get("scope", ()), how.get("null_safe", False)
-    )
-
-
-def add_bridge(state: Joined, tables: Mapping[str, DataFrame], spec: BridgeJoin, **how) -> Joined:
-    scope = how.get("scope", ())
-    rows = bridge_rows(tables[spec.table], spec, tables, scope)
-    state = left_join(state, rows, spec.key, spec.key, spec.table, "bridge", None, scope, how.get("null_safe", False))
-    count = f"{spec.prefix}_count"
-    if spec.with_count and count in state.created:
-        filled = state.df.withColumn(count, F.coalesce(F.col(count), F.lit(0)).cast("bigint"))
-        state = replace(state, df=filled)
-    return state
+def _rights(
+    fact: DataFrame,
+    tables: Mapping[str, DataFrame],
+    dimensions: Sequence[DimensionJoin],
+    snapshots: Sequence[SnapshotJoin],
+    bridges: Sequence[BridgeJoin],
+    order_by: Sequence[str],
+    scope: Sequence[str],
+) -> tuple[list[_Right], list[str]]:
+    """The tables to join in the order of the specs, and the names of those left out.
+
+    No column of the fact, or of an earlier table, is renamed or overwritten: an
+    incoming column of that name is left out and reported.
+    """
+    rights: list[_Right] = []
+    skipped: list[str] = []
+    taken = list(fact.columns)
+    for kind, specs in (("dimension", dimensions), ("snapshot", snapshots), ("bridge", bridges)):
+        for spec in specs:
+            if not spec.enabled or spec.table not in tables:
+                skipped.append(spec.table)
+                continue
+            output = None
+            if kind == "bridge":
+                rows = bridge_rows(tables[spec.table], spec, tables, scope)
+                left_key = right_key = spec.key
+            else:
+                reduced = dimension_rows if kind == "dimension" else snapshot_rows
+                rows = reduced(tables[spec.table], spec, order_by, scope)
+                left_key, right_key, output = spec.left_key, spec.rename.get(spec.right_key, spec.right_key), spec.output
+            if left_key not in taken:
+                raise ValueError(f"cannot join {spec.table}: the fact has no column {left_key}")
+            incoming = [c for c in rows.columns if c not in (right_key, *scope) and (output is None or c in output)]
+            new = tuple(c for c in incoming if c not in taken)
+            dropped = tuple(f"{spec.table}.{c}" for c in incoming if c not in new)
+            rights.append(_Right(spec.table, kind, left_key, right_key, rows, new, dropped, f"_sw_match_{len(rights)}"))
+            taken += new
+    return rights, skipped
 
 
 def build_master(
@@ -192,20 +248,30 @@ def build_master(
     scope: Sequence[str] = (),
     null_safe: bool = False,
 ) -> Joined:
-    """Fold all joins over the fact: dimensions, then snapshots, then bridges.
+    """Join dimensions, snapshots and bridges to the fact.
 
-    Disabled specs and absent tables are recorded as skipped. With ``scope`` (the
-    version column) all versions are joined in one plan.
+    Disabled specs and absent tables are recorded as skipped. Null keys match
+    nothing unless ``null_safe``. With ``scope`` (the version column) all versions
+    are joined in one plan.
     """
-    state = Joined(fact)
-    how = {"order_by": order_by, "scope": scope, "null_safe": null_safe}
-    for specs, add in ((dimensions, add_dimension), (snapshots, add_snapshot), (bridges, add_bridge)):
-        for spec in specs:
-            if not spec.enabled or spec.table not in tables:
-                state = replace(state, skipped=(*state.skipped, spec.table))
-            else:
-                state = add(state, tables, spec, **how)
-    return state
+    rights, skipped = _rights(fact, tables, dimensions, snapshots, bridges, order_by, scope)
+    df = fact
+    for key in dict.fromkeys(r.left_key for r in rights):
+        df = _join_on_key(df, fact, key, [r for r in rights if r.left_key == key], scope, null_safe)
+    counts = {f"{spec.prefix}_count" for spec in bridges if spec.with_count}
+    filled = {c for r in rights if r.kind == "bridge" for c in r.new if c in counts}
+    columns = [*fact.columns, *(c for r in rights for c in (*r.new, r.flag))]
+    df = df.select(
+        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) if c in filled else F.col(c) for c in columns]
+    )
+    return Joined(
+        df,
+        {r.name: r.flag for r in rights},
+        {r.name: r.kind for r in rights},
+        tuple(c for r in rights for c in r.new),
+        tuple(c for r in rights for c in r.dropped),
+        tuple(skipped),
+    )
 
 
 def match_statistics(state: Joined, scope: Sequence[str] = ()) -> DataFrame:
