@@ -8,7 +8,7 @@ projection and filter; duplicates and orphans shuffle on their keys.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -174,6 +174,7 @@ class CleanedTable:
     result: DataFrame
     scope: tuple[str, ...]
     keep: tuple[str, ...]
+    schema: CanonicalSchema | None = None
 
 
 def clean_table(
@@ -197,7 +198,7 @@ def clean_table(
     unique = remove_duplicates(bounded, rule, order_by, scope)
     result = remove_orphans(unique, rule, parents, scope)
     return CleanedTable(
-        table, df, rule, options, strings, filled, typed, bounded, unique, result, tuple(scope), keep
+        table, df, rule, options, strings, filled, typed, bounded, unique, result, tuple(scope), keep, schema
     )
 
 
@@ -216,8 +217,8 @@ def cleaning_report(cleaned: CleanedTable) -> DataFrame:
 
     ones = F.count(F.lit(1))
     changed = strings_changed(cleaned.source, rule, cleaned.options, cleaned.keep)
-    parts = [metrics(cleaned.source, rows_before=ones, strings_modified=F.sum(changed))]
-
+    staged = cleaned.source.withColumn("_sw_changed", changed)
+    staged = clean_strings(staged, rule, cleaned.options, cleaned.keep)
     drops = [c for c, p in rule.null_policies.items() if p == NullPolicy.DROP_ROW and c in cleaned.strings.columns]
     fills = [
         c
@@ -226,14 +227,20 @@ def cleaning_report(cleaned: CleanedTable) -> DataFrame:
     ]
     kept = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in drops], F.lit(True))
     filled = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in fills], F.lit(0))
-    parts.append(
+    staged = staged.withColumns({"_sw_kept": kept, "_sw_filled": filled})
+    # rows are flagged here, not dropped, so that one pass over the source counts every step
+    fill_only = {c: p for c, p in rule.null_policies.items() if p != NullPolicy.DROP_ROW}
+    staged = convert_types(handle_nulls(staged, replace(rule, null_policies=fill_only)), cleaned.schema)
+    parts = [
         metrics(
-            cleaned.strings,
-            null_rows_dropped=F.count_if(~kept),
-            nulls_filled=F.coalesce(F.sum(F.when(kept, filled)), F.lit(0)),
+            staged.withColumn("_sw_invalid", _invalid_values(staged, rule)),
+            rows_before=ones,
+            strings_modified=F.sum("_sw_changed"),
+            null_rows_dropped=F.count_if(~F.col("_sw_kept")),
+            nulls_filled=F.coalesce(F.sum(F.when(F.col("_sw_kept"), F.col("_sw_filled"))), F.lit(0)),
+            invalid_values_handled=F.coalesce(F.sum(F.when(F.col("_sw_kept"), F.col("_sw_invalid"))), F.lit(0)),
         )
-    )
-    parts.append(metrics(cleaned.typed, invalid_values_handled=_invalid_values(cleaned)))
+    ]
     # copies beyond the first (or all copies) of each key
     per_key = cleaned.bounded.groupBy(*typed_keys).agg(F.count(F.lit(1)).alias("_sw_n"))
     surplus = F.when(F.col("_sw_n") > 1, F.col("_sw_n")).otherwise(0)
@@ -266,16 +273,16 @@ _METRICS = (
 )
 
 
-def _invalid_values(cleaned: CleanedTable) -> Column:
-    rule, df = cleaned.rule, cleaned.typed
+def _invalid_values(df: DataFrame, rule: CleaningRule) -> Column:
+    """Values of a row that break their bound, as the rule counts them."""
     names = [c for c in rule.minimums if c in df.columns]
     if rule.invalid_values == InvalidValuePolicy.LEAVE or not names:
         return F.lit(0)
     flags = [below_minimum(df, c, rule.minimums[c]) for c in names]
     if rule.invalid_values == InvalidValuePolicy.NULLIFY:
-        return F.sum(reduce(lambda a, b: a + b, [f.cast("int") for f in flags]))
+        return reduce(lambda a, b: a + b, [f.cast("int") for f in flags])
     # a dropped row counts once, for the first bound it breaks
-    return F.count_if(reduce(lambda a, b: a | b, flags))
+    return reduce(lambda a, b: a | b, flags).cast("int")
 
 
 def cleaning_summary(reports: DataFrame) -> DataFrame:
