@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import warnings
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,6 +22,7 @@ from sievewright.specs import SplitConfig
 SPLIT = "split"
 PARTS = ("train", "validation", "test")
 _HASH, _BUCKET = "_sw_hash", "_sw_bucket"
+_FINE, _RANKS = "_sw_fine", ("test_rank", "validation_rank")
 
 
 class SplitInvalid(ValueError):
@@ -35,32 +38,43 @@ def _ceil(x: Column) -> Column:
     return F.ceil(F.round(x, 9)).cast("bigint")
 
 
+def _holding(sizes: DataFrame, by: Sequence[str], bucket: str) -> DataFrame:
+    """The buckets that hold a cut, with the number of groups before them as ``start``.
+
+    ``sizes`` has at most 4096 buckets per ``by``; ``start`` is that of ``by``.
+    """
+    running = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ended = sizes.withColumn("end", F.col("start") + F.sum("size").over(running))
+    started = ended.withColumn("start", F.col("end") - F.col("size"))
+    holds = [(F.col("start") < F.col(r)) & (F.col(r) <= F.col("end")) for r in _RANKS]
+    return started.filter(holds[0] | holds[1]).drop("size", "end")
+
+
 def cut_points(df: DataFrame, config: SplitConfig) -> DataFrame:
     """One row: group count and the hashes of the last test and validation group.
 
     Hashes are counted per 3-digit prefix (at most 4096 rows) to find the prefix
-    of each cut; only the groups of those two prefixes are then ordered.
+    of each cut, then per 6-digit prefix inside those two; only the groups that
+    share 6 digits with a cut, a 16-millionth of all, are ordered.
     """
     hashes = (
         df.select(order_hash(F.col(config.group), config.seed).alias(_HASH))
         .distinct()
-        .withColumn(_BUCKET, F.substring(_HASH, 1, 3))
+        .withColumns({_BUCKET: F.substring(_HASH, 1, 3), _FINE: F.substring(_HASH, 4, 3)})
     )
     sizes = hashes.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("size"))
-    running = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    starts = sizes.withColumn("end", F.sum("size").over(running)).withColumn(
-        "groups", F.sum("size").over(Window.partitionBy())
-    )
+    groups = sizes.withColumn("groups", F.sum("size").over(Window.partitionBy())).withColumn("start", F.lit(0))
     share = config.validation / (config.train + config.validation)
     test = _ceil(F.col("groups") * config.test)
-    placed = starts.withColumn("test_rank", test).withColumn(
+    placed = groups.withColumn("test_rank", test).withColumn(
         "validation_rank", F.col("test_rank") + _ceil((F.col("groups") - F.col("test_rank")) * share)
     )
-    start = F.col("end") - F.col("size")
-    holds = [(start < F.col(r)) & (F.col(r) <= F.col("end")) for r in ("test_rank", "validation_rank")]
-    picked = placed.filter(holds[0] | holds[1]).withColumn("start", start)
-    inside = Window.partitionBy(_BUCKET).orderBy(_HASH)
-    ranked = hashes.join(picked, _BUCKET).withColumn("rank", F.col("start") + F.row_number().over(inside))
+    coarse = _holding(placed, [], _BUCKET)
+    inside = hashes.join(coarse, _BUCKET)
+    sizes = inside.groupBy(*coarse.columns, _FINE).agg(F.count(F.lit(1)).alias("size"))
+    fine = _holding(sizes, [_BUCKET], _FINE)
+    order = Window.partitionBy(_BUCKET, _FINE).orderBy(_HASH)
+    ranked = hashes.join(fine, [_BUCKET, _FINE]).withColumn("rank", F.col("start") + F.row_number().over(order))
     return ranked.agg(
         F.max("groups").alias("groups"),
         F.max(F.when(F.col("rank") == F.col("test_rank"), F.col(_HASH))).alias("test_cut"),
