@@ -9,7 +9,6 @@ are labelled in place: nothing is joined back and no row is shuffled.
 from __future__ import annotations
 
 import warnings
-
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
