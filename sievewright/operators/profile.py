@@ -19,21 +19,41 @@ def _missing(df: DataFrame, name: str) -> Column:
     return c.isNull() | F.isnan(c) if dict(df.dtypes)[name] in X.FRACTIONAL else c.isNull()
 
 
+def _distinct_counts(df: DataFrame, names: Sequence[str]) -> Column:
+    """Distinct non-null values per column, as one struct read as a scalar subquery."""
+    types = dict(df.dtypes)
+
+    def text(c: str) -> Column:
+        # adding 0 makes the two zeros one value, as counting does
+        value = F.col(f"`{c}`") + 0.0 if types[c] in X.FRACTIONAL else F.col(f"`{c}`")
+        return value.cast("string")
+
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), text(c).alias("v")) for i, c in enumerate(names)])
+    values = df.select(F.inline(pairs)).filter("v is not null").distinct()
+    counts = values.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+    found = [F.coalesce(F.max(F.when(F.col("i") == i, F.col("n"))), F.lit(0)).alias(f"_d{i}") for i in range(len(names))]
+    return counts.agg(*found).select(F.struct(*[f"_d{i}" for i in range(len(names))])).scalar()
+
+
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Type, nulls and distinct values per column.
 
-    One pass. Exact distinct counts are spread by Spark over ``(column, value)``
-    pairs, which multiplies the shuffled rows by the columns; ``exact=False``
-    counts with sketches and shuffles one small row per task.
+    Exact distinct counts shuffle two narrow columns, ``(column, value)``, of which
+    every task sends each pair once; ``exact=False`` counts with sketches in one
+    pass and shuffles one small row per task.
     """
     names = list(columns or df.columns)
-    count_distinct = F.count_distinct if exact else F.approx_count_distinct
+    types = dict(df.dtypes)
+    if exact:
+        row = _distinct_counts(df, names)
+        distinct = [F.coalesce(F.any_value(row[f"_d{i}"]), F.lit(0)) for i in range(len(names))]
+    else:
+        distinct = [F.approx_count_distinct(F.col(f"`{c}`")) for c in names]
     wide = df.agg(
         F.count("*").alias("rows"),
         *[F.count_if(~_missing(df, c)).alias(f"_p{i}") for i, c in enumerate(names)],
-        *[count_distinct(F.col(f"`{c}`")).alias(f"_d{i}") for i, c in enumerate(names)],
+        *[d.alias(f"_d{i}") for i, d in enumerate(distinct)],
     )
-    types = dict(df.dtypes)
     entries = [
         F.struct(
             F.lit(c).alias("column"),
