@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sievewright.llm.common import as_bytes, map_texts, texts_of
+from sievewright.llm.common import as_bytes, bound_batches, map_texts, texts_of
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -144,6 +144,7 @@ def judge(docs: DataFrame, rules: RepetitionRules = RULES, id_column: str = "doc
 
 def keep(docs: DataFrame, rules: RepetitionRules = RULES, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns as they are."""
+    bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
