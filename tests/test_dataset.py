@@ -139,6 +139,11 @@ def test_versions_are_aligned_by_their_own_names(spark, dump):
 
 def test_dataset_run(spark, store):
     output, df = store
+    reports = {"alignment", "validation", "cleaning", "cleaning_failures", "matches", "coverage", "master", "features"}
+    assert reports <= {p.name for p in (output / "reports").iterdir()}
+    aligned = spark.read.json(str(output / "reports" / "alignment"))
+    assert {r[0] for r in aligned.select("dataset_version").distinct().collect()} == {"Version_2", "Version_10"}
+    assert not [p for p in (output / "feature_store").iterdir() if p.name.startswith("_latest")]
     master = spark.read.parquet(str(output / "master_dataset" / "latest"))
     # 150 and 200 postings, minus those without or with an unknown company
     expected = {v: sum(1 for i in range(n) if i % 19 != 7 and i % 23 != 5) for v, n in (("Version_2", 150), ("Version_10", 200))}
@@ -225,6 +230,8 @@ def test_salary_run_is_reused(spark, store, tmp_path):
     first = dataset.run_salary(df, str(tmp_path), "s1", split_config=config)
     assert first.rebuilt and first.table.count() == first.split.count() > 0
     assert {r[0] for r in first.split.select("split").distinct().collect()} == {"train", "validation", "test"}
+    reports = {"salary_funnel", "salary_description", "salary_coverage", "split_sizes", "split_statistics"}
+    assert reports <= {p.name for p in (tmp_path / "reports").iterdir()}
     again = dataset.run_salary(df, str(tmp_path), "s2", split_config=config)
     assert not again.rebuilt and again.split.count() == first.split.count()
     forced = dataset.run_salary(df, str(tmp_path), "s3", split_config=config, force_rebuild=True)
