@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import as_bytes, materialize
+from sievewright.llm.common import as_bytes, bound_batches, materialize
 
 #: The end's key in tables of counts; no word is empty.
 END = b""
@@ -41,7 +41,7 @@ CLASSES = 4 * (len(_LENGTHS) + 1) * 2 * 2
 class HmmRules:
     states: int = 8
     symbols: int = 1 << 14
-    frequent: int = 1 << 18
+    frequent: int = 1 << 18  # at most
     segment: int = 256
     sample_documents: int = 1500
     sample_iterations: int = 12
@@ -123,12 +123,31 @@ class Vocabulary:
         return symbols, places, rare
 
 
+def _least_count(counts: DataFrame, most: int) -> int:
+    """The count from which on there are at most ``most`` words.
+
+    Words are counted per step of their counts (64 to an octave), a few thousand
+    rows; a sort by count would send ``most`` words of every task to the driver.
+    """
+    steps = F.when(F.col("n") < 1024, F.col("n").cast("double")).otherwise(F.floor(F.log2("n") * 64) + 384)
+    sized = counts.groupBy(steps.alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("n"))
+    least, words = 1 << 62, 0
+    for r in sized.orderBy(F.desc("step")).collect():
+        words += r.words
+        if words > most:
+            break
+        least = r.n
+    return least
+
+
 def vocabulary(counts: DataFrame, rules: HmmRules) -> Vocabulary:
     """From the written table of counts; the end comes first, then words by falling count."""
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.col("word") == END, F.col("n"))).alias("ends")).first()
-    ranked = counts.filter(F.col("word") != END).orderBy(F.col("n").desc(), "word").limit(rules.frequent)
-    rows = ranked.collect()  # bounded by ``frequent``
-    words, numbers = [END, *(bytes(r.word) for r in rows)], [sums.ends or 0, *(r.n for r in rows)]
+    others = counts.filter(F.col("word") != END)
+    chosen = others.filter(F.col("n") >= _least_count(others, rules.frequent)).toArrow()  # bounded by ``frequent``
+    chosen = chosen.sort_by([("n", "descending"), ("word", "ascending")])
+    words = [END, *chosen.column("word").to_pylist()]
+    numbers = [sums.ends or 0, *chosen.column("n").to_pylist()]
     own = min(len(words), rules.symbols)
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,11 +315,14 @@ def _iteration(training: DataFrame, words: Vocabulary, model: Hmm, plain: np.nda
 
 def train(training: DataFrame, rules: HmmRules = RULES) -> tuple[DataFrame, Vocabulary, Hmm]:
     """Counts of all words, the vocabulary and the model, from ``training`` (doc_id, text)."""
+    bound_batches(training.sparkSession)
     counts = materialize(count_words(training))
     words = vocabulary(counts, rules)
     plain = (words.counts + 0.5) / (words.counts + 0.5).sum()
-    ordered = training.select("text", F.xxhash64("doc_id", "text").alias("h")).orderBy("h").limit(rules.sample_documents)
-    sample = [words.encode(t.encode() if t else None)[0] for (t, _) in ordered.collect()]  # bounded by sample_documents
+    # about sample_documents texts: there are as many documents as ends
+    share = min(1.0, rules.sample_documents / max(words.counts[0], 1))
+    drawn = training.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    sample = [words.encode(t.encode() if t else None)[0] for (t,) in drawn.select("text").toLocalIterator()]
     model = _first_model(sample, plain, rules)
     for _ in range(rules.iterations if words.total else 0):
         model = _iteration(training, words, model, plain, rules)

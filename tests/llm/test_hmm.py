@@ -109,6 +109,7 @@ def test_scores_equal_plain_python(spark):
 def test_all_symbols_of_a_state_sum_to_one(spark):
     docs = spark.createDataFrame(rows(), "doc_id long, text string")
     _, words, trained = hmm.train(docs, RULES)
+    assert words.own <= 6 and len(words.place) <= 10
     assert trained.emit.shape == (words.symbols, 2)
     assert np.allclose(trained.emit.sum(axis=0), 1) and np.allclose(trained.moves.sum(axis=1), 1) and trained.start.sum() == pytest.approx(1)
 
