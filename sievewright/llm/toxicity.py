@@ -15,6 +15,7 @@ of label 1 (0 if there are no labels).
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,6 +42,7 @@ SECOND_PERSON = frozenset(
 #: How far a second-person word may stand from a lexicon word.
 REACH = 5
 _PREFIXES = (4, 5, 6)
+_NOTHING = (False, 0.0, False, False, False)
 _TOKEN = re.compile(r"[^\W_]+(?:[@$!|*._'0-9-]+[^\W_]+)*")
 _LEET = str.maketrans("013457@$!|", "oieastasil", "*._-'")
 FEATURES = (
@@ -68,27 +70,36 @@ def _stems(word: str) -> list[str]:
     return [word, *(word[:n] + "-" for n in _PREFIXES if len(word) > n)]
 
 
+@functools.cache
+def _kinds() -> np.ndarray:
+    """Per code point: 1 for a letter, 2 for a capital, 4 for white space."""
+    points = map(chr, range(0x110000))
+    return np.fromiter((x.isalpha() | x.isupper() << 1 | x.isspace() << 2 for x in points), np.uint8, 0x110000)
+
+
 def features(data: bytes | None, lexicon: dict[str, float]) -> list[float]:
     text = (data or b"").decode("utf-8", "replace")
     tokens = _TOKEN.findall(text)
     n = len(tokens)
+    kinds = np.bincount(_kinds()[np.frombuffer(text.encode("utf-32-le"), np.uint32)], minlength=8)
+    letters, capitals, spaces = int(kinds[1::2].sum()), int(kinds[[2, 3, 6, 7]].sum()), int(kinds[4:].sum())
     if not n:
-        marks = len(text) - sum(map(str.isspace, text))
-        return [0.0] * (len(FEATURES) - 4) + [1.0 if marks else 0.0, 0.0, 0.0, 0.0]
-    lower = text.lower()
-    words = _TOKEN.findall(lower) if len(lower) == len(text) else [t.lower() for t in tokens]
-    known: dict[str, tuple[bool, float, bool, bool]] = {}
-    seed = obfuscated = hidden = second = 0
+        return [0.0] * (len(FEATURES) - 4) + [1.0 if len(text) > spaces else 0.0, 0.0, 0.0, 0.0]
+    known: dict[str, tuple[bool, float, bool, bool, bool]] = {}
+    seed = obfuscated = hidden = second = shouted = 0
     weight = largest = 0.0
     hits, persons = [], []
-    for i, word in enumerate(words):
-        found = known.get(word)
+    for i, token in enumerate(tokens):
+        found = known.get(token)
         if found is None:
+            word = token.lower()
             plain = word if word.isalpha() else word.translate(_LEET)
-            masked = plain != word
             value = max((lexicon.get(s, 0.0) for s in _stems(plain)), default=0.0)
-            found = known[word] = (plain in SEED_LEXICON, value, masked, word in SECOND_PERSON)
-        bad, value, masked, person = found
+            loud = len(token) > 1 and token.isupper()
+            found = known[token] = (plain in SEED_LEXICON, value, plain != word, word in SECOND_PERSON, loud)
+        if found == _NOTHING:
+            continue
+        bad, value, masked, person, loud = found
         if bad or value:
             hits.append(i)
             seed += bad
@@ -96,6 +107,7 @@ def features(data: bytes | None, lexicon: dict[str, float]) -> list[float]:
             largest = max(largest, value)
             hidden += masked
         obfuscated += masked
+        shouted += loud
         if person:
             persons.append(i)
             second += 1
@@ -104,13 +116,10 @@ def features(data: bytes | None, lexicon: dict[str, float]) -> list[float]:
         place = np.searchsorted(persons, hits)
         around = np.array([-(1 << 60), *persons, 1 << 60])
         near = int((np.minimum(np.array(hits) - around[place], around[place + 1] - np.array(hits)) <= REACH).sum())
-    letters = sum(map(str.isalpha, text))
-    capitals = sum(map(str.isupper, text))
-    shouted = sum(1 for t in tokens if len(t) > 1 and t.isupper())
     exclaimed, asked = text.count("!"), text.count("?")
-    marks = len(text) - letters - sum(map(str.isspace, text)) - exclaimed - asked
+    marks = len(text) - letters - spaces - exclaimed - asked
     return [
-        seed / n, len(hits) / n, weight / n, largest, np.log1p(len(hits)), near / n, second / n,
+        seed / n, len(hits) / n, weight / n, largest, float(np.log1p(len(hits))), near / n, second / n,
         capitals / max(letters, 1), shouted / n, exclaimed / n, asked / n, marks / n, obfuscated / n, hidden / n, float(np.log1p(n)),
     ]
 
