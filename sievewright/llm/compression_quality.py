@@ -30,8 +30,8 @@ from sievewright.llm.sampling import pick, picked_texts
 @dataclass(frozen=True)
 class CompressionRules:
     per_class: int = 3000
-    piece_bytes: int = 2048
-    pieces: int = 4
+    piece_bytes: int = 512
+    pieces: int = 8
     dictionary_bytes: int = 1 << 16
     level: int = 3
 
