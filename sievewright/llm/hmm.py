@@ -7,11 +7,12 @@ no word in it is frequent, none makes a hot key.
 
 The hidden states emit symbols: the ``symbols`` most frequent words and the
 end, and a class by shape for all others. A word's probability within its
-class follows its count. The parameters start from a bounded sample; then each
-iteration runs Baum-Welch over all training documents, in segments of at most
-``segment`` tokens, and its expected counts are summed across partitions. A
-document's likelihood is exact: the scaled forward recursion runs over its
-whole sequence, many documents at a time.
+class follows its count. The parameters start from the plain frequencies of the
+symbols with seeded noise; then every round of Baum-Welch runs over all
+training documents, in segments of at most ``segment`` tokens, and its expected
+counts are summed across partitions. Documents are written once as symbols, so
+that rounds do not read texts. A document's likelihood is exact: the scaled
+forward recursion runs over its whole sequence, many documents at a time.
 
 Null and empty texts are the end alone. Null doc_ids are learned from. Without
 training documents all counts are 0 and every symbol is as likely as any
@@ -43,12 +44,17 @@ class HmmRules:
     symbols: int = 1 << 14
     frequent: int = 1 << 18  # at most
     segment: int = 256
-    sample_documents: int = 1500
+    sample_documents: int = 1500  # no longer read: no round is held to a sample
+    # rounds over all training documents: the sum of both
     sample_iterations: int = 12
     iterations: int = 2
     smoothing: float = 50.0
     seed: int = 5
 
+    @property
+    def rounds(self) -> int:
+        return self.sample_iterations + self.iterations
+
 
 RULES = HmmRules()
 #: Different words a task holds before it hands their counts on.
@@ -190,14 +196,15 @@ class Hmm:
     def log10(self, sequences: list[np.ndarray]) -> np.ndarray:
         """Exact log10 likelihood of every sequence, by the scaled forward recursion."""
         tokens, owner, active, order = _layout(sequences)
+        emit, moves = np.ascontiguousarray(self.emit.T), np.ascontiguousarray(self.moves.T)
         scale = np.empty(len(tokens))
         at, forward = 0, None
         for n in active:
-            seen = self.emit[tokens[at : at + n]]
-            forward = self.start * seen if forward is None else (forward[:n] @ self.moves) * seen
-            total = forward.sum(axis=1)
+            seen = emit.take(tokens[at : at + n], axis=1)
+            forward = self.start[:, None] * seen if forward is None else (moves @ forward[:, :n]) * seen
+            total = forward.sum(axis=0)
             scale[at : at + n] = total
-            forward /= total[:, None]
+            forward /= total
             at += n
         found = np.empty(len(sequences))
         found[order] = np.bincount(owner, np.log10(scale), len(sequences))
@@ -226,37 +233,40 @@ class Expected:
         tokens, _, active, order = _layout(parts)
         opens = opens[order]
         k = len(model.start)
-        forward = np.empty((len(tokens), k))
+        moves = np.ascontiguousarray(model.moves.T)
+        # a row per state, so that steps run along memory
+        seen = np.ascontiguousarray(model.emit.T).take(tokens, axis=1)
+        forward = np.empty((k, len(tokens)))
         scale = np.empty(len(tokens))
         offsets = np.concatenate(([0], np.cumsum(active)))
         for t, n in enumerate(active):
             at = offsets[t]
-            seen = model.emit[tokens[at : at + n]]
             if t == 0:
-                step = np.where(opens[:, None], model.start, self.later) * seen
+                step = np.where(opens, model.start[:, None], self.later[:, None])
             else:
-                step = (forward[offsets[t - 1] : offsets[t - 1] + n] @ model.moves) * seen
-            total = step.sum(axis=1)
+                step = moves @ forward[:, offsets[t - 1] : offsets[t - 1] + n]
+            step *= seen[:, at : at + n]
+            total = step.sum(axis=0)
             scale[at : at + n] = total
-            forward[at : at + n] = step / total[:, None]
-        backward = np.ones((active[-1], k))
+            np.divide(step, total, out=forward[:, at : at + n])
+        seen /= scale
+        backward = np.ones((k, active[-1]))
         moved = np.zeros((k, k))
         for t in range(len(active) - 1, -1, -1):
             at, n = offsets[t], active[t]
-            here = forward[at : at + n]
+            here = forward[:, at : at + n]
             if t + 1 < len(active):
                 following, m = offsets[t + 1], active[t + 1]
-                weighted = model.emit[tokens[following : following + m]] * backward / scale[following : following + m, None]
-                moved += here[:m].T @ weighted
-                grown = np.ones((n, k))
-                grown[:m] = weighted @ model.moves.T
-                backward = grown
+                weighted = seen[:, following : following + m] * backward
+                moved += here[:, :m] @ weighted.T
+                backward = np.ones((k, n))
+                backward[:, :m] = model.moves @ weighted
             # the posterior takes the forward value's place; it is not needed again
-            forward[at : at + n] = here * backward
+            here *= backward
         self.moves += moved * model.moves
-        self.start += forward[: active[0]][opens].sum(axis=0)
+        self.start += forward[:, : active[0]][:, opens].sum(axis=1)
         for state in range(k):
-            self.emit[:, state] += np.bincount(tokens, forward[:, state], len(self.emit))
+            self.emit[:, state] += np.bincount(tokens, forward[state], len(self.emit))
 
 
 def _maximize(start: np.ndarray, moves: np.ndarray, emit: np.ndarray, plain: np.ndarray, smoothing: float) -> Hmm:
@@ -268,30 +278,45 @@ def _maximize(start: np.ndarray, moves: np.ndarray, emit: np.ndarray, plain: np.
     return Hmm(start, moves, emit)
 
 
-def _first_model(sample: list[np.ndarray], plain: np.ndarray, rules: HmmRules) -> Hmm:
-    """Baum-Welch on a bounded sample, from states that lean to random documents' words."""
+def _first_model(plain: np.ndarray, rules: HmmRules) -> Hmm:
+    """The plain frequencies ``plain`` with seeded noise in every state; states tend to last."""
     k, random = rules.states, np.random.default_rng(rules.seed)
     noise = random.gamma(2.0, size=(len(plain), k))
     emit = plain[:, None] * noise
-    model = Hmm(np.full(k, 1 / k), np.full((k, k), 0.2 / k) + 0.8 * np.eye(k), emit / emit.sum(axis=0))
-    for _ in range(rules.sample_iterations if sample else 0):
-        expected = Expected(model)
-        expected.add(sample, rules.segment)
-        model = _maximize(expected.start, expected.moves, expected.emit, plain, rules.smoothing)
-    return model
+    return Hmm(np.full(k, 1 / k), np.full((k, k), 0.2 / k) + 0.8 * np.eye(k), emit / emit.sum(axis=0))
+
+
+def _encoded(training: DataFrame, words: Vocabulary) -> DataFrame:
+    """(symbols): every document of ``training`` (text) as the bytes of its symbols' numbers; written once for all rounds."""
+    shared = training.sparkSession.sparkContext.broadcast(words)
+    kind = _number(words.symbols)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        for batch in batches:
+            made = [words.encode(t)[0].astype(kind).tobytes() for t in as_bytes(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["symbols"])
+
+    written = materialize(training.select("text").mapInArrow(run, "symbols binary"))
+    shared.unpersist()
+    return written
 
 
-def _iteration(training: DataFrame, words: Vocabulary, model: Hmm, plain: np.ndarray, rules: HmmRules) -> Hmm:
-    """One round of Baum-Welch over all of ``training`` (text)."""
+def _number(symbols: int) -> str:
+    return "<u2" if symbols <= 1 << 16 else "<i4"
+
+
+def _iteration(encoded: DataFrame, model: Hmm, plain: np.ndarray, rules: HmmRules) -> Hmm:
+    """One round of Baum-Welch over all of ``encoded`` (symbols)."""
     k = rules.states
-    shared = training.sparkSession.sparkContext.broadcast((words, model))
+    shared = encoded.sparkSession.sparkContext.broadcast(model)
     columns = [f"s{i}" for i in range(k)]
+    kind = _number(len(plain))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, model = shared.value
-        expected = Expected(model)
+        expected = Expected(shared.value)
         for batch in batches:
-            expected.add([words.encode(t)[0] for t in as_bytes(batch.column("text"))], rules.segment)
+            expected.add([np.frombuffer(s, kind) for s in batch.column("symbols").to_pylist()], rules.segment)
         found = np.flatnonzero(expected.emit.any(axis=1))
         # below 0: the start, then a row per state of the moves
         names = np.concatenate((found, -1 - np.arange(k + 1)))
@@ -300,15 +325,14 @@ def _iteration(training: DataFrame, words: Vocabulary, model: Hmm, plain: np.nda
         yield pa.RecordBatch.from_arrays(arrays, names=["symbol", *columns])
 
     schema = ", ".join(["symbol int", *(f"{c} double" for c in columns)])
-    summed = training.select("text").mapInArrow(run, schema).groupBy("symbol").agg(*[F.sum(c).alias(c) for c in columns])
-    start, moves, emit = np.zeros(k), np.zeros((k, k)), np.zeros((words.symbols, k))
-    for symbol, *values in summed.collect():  # a row per symbol
-        if symbol >= 0:
-            emit[symbol] = values
-        elif symbol == -1:
-            start[:] = values
-        else:
-            moves[-2 - symbol] = values
+    summed = encoded.mapInArrow(run, schema).groupBy("symbol").agg(*[F.sum(c).alias(c) for c in columns])
+    found = summed.toArrow()  # a row per symbol
+    names = found.column("symbol").to_numpy()
+    values = np.column_stack([found.column(c).to_numpy() for c in columns])
+    start, moves, emit = np.zeros(k), np.zeros((k, k)), np.zeros((len(plain), k))
+    emit[names[names >= 0]] = values[names >= 0]
+    start += values[names == -1].sum(axis=0)
+    moves[-2 - names[names < -1]] = values[names < -1]
     shared.unpersist()
     return _maximize(start, moves, emit, plain, rules.smoothing)
 
@@ -319,13 +343,11 @@ def train(training: DataFrame, rules: HmmRules = RULES) -> tuple[DataFrame, Voca
     counts = materialize(count_words(training))
     words = vocabulary(counts, rules)
     plain = (words.counts + 0.5) / (words.counts + 0.5).sum()
-    # about sample_documents texts: there are as many documents as ends
-    share = min(1.0, rules.sample_documents / max(words.counts[0], 1))
-    drawn = training.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    sample = [words.encode(t.encode() if t else None)[0] for (t,) in drawn.select("text").toLocalIterator()]
-    model = _first_model(sample, plain, rules)
-    for _ in range(rules.iterations if words.total else 0):
-        model = _iteration(training, words, model, plain, rules)
+    model = _first_model(plain, rules)
+    if words.total:
+        encoded = _encoded(training, words)
+        for _ in range(rules.rounds):
+            model = _iteration(encoded, model, plain, rules)
     return counts, words, model
 
 

@@ -114,6 +114,20 @@ def test_all_symbols_of_a_state_sum_to_one(spark):
     assert np.allclose(trained.emit.sum(axis=0), 1) and np.allclose(trained.moves.sum(axis=1), 1) and trained.start.sum() == pytest.approx(1)
 
 
+def test_every_round_covers_all_training_documents(spark):
+    docs = spark.createDataFrame(rows(), "doc_id long, text string")
+    _, words, trained = hmm.train(docs, RULES)
+    sequences = [words.encode(t.encode() if t else None)[0] for _, t in rows()]
+    plain = (words.counts + 0.5) / (words.counts + 0.5).sum()
+    emit = plain[:, None] * np.random.default_rng(RULES.seed).gamma(2.0, size=(len(plain), 2))
+    m = hmm.Hmm(np.full(2, 0.5), np.array([[0.9, 0.1], [0.1, 0.9]]), emit / emit.sum(axis=0))
+    for _ in range(RULES.sample_iterations + RULES.iterations):
+        counts = hmm.Expected(m)
+        counts.add(sequences, RULES.segment)
+        m = hmm._maximize(counts.start, counts.moves, counts.emit, plain, RULES.smoothing)
+    assert np.allclose(trained.start, m.start) and np.allclose(trained.moves, m.moves) and np.allclose(trained.emit, m.emit)
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     counts, words, trained = hmm.train(docs.limit(0), RULES)
