@@ -23,14 +23,17 @@ their fingerprint but never name it, unless it has no other ids (then null).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from sievewright.llm.common import fresh, map_texts, materialize, sized, texts_of
+from sievewright.llm.common import as_bytes, bound_batches, fresh, map_texts, materialize, sized, texts_of
 from sievewright.llm.components import components
 
 MOST_BITS = 4
@@ -124,13 +127,19 @@ def links(fps: DataFrame, most_pairwise: int = 16) -> DataFrame:
     return materialize(twos.union(pairs).union(stars).distinct())
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", most_pairwise: int = 16) -> DataFrame:
-    """(doc_id, fp, component_id) for every row; component_id is the smallest doc_id reachable over links."""
+def _linked(docs: DataFrame, id_column: str, text_column: str, most_pairwise: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, fp) of every row; (fp, first, bare) of every fingerprint, ``bare`` if a null id has it; (node, root) of linked ones."""
     own = materialize(fingerprints(docs, id_column, text_column))
-    fps = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    fps = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("first"), F.max(F.col("doc_id").isNull()).alias("bare")))
     roots = components(links(fps.select("fp"), most_pairwise))
     # a root is in no row of its own; only linked fingerprints pass through here
     linked = materialize(roots.union(roots.select("root", "root")).distinct())
+    return own, fps, linked
+
+
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", most_pairwise: int = 16) -> DataFrame:
+    """(doc_id, fp, component_id) for every row; component_id is the smallest doc_id reachable over links."""
+    own, fps, linked = _linked(docs, id_column, text_column, most_pairwise)
     firsts = linked.join(fps, linked["node"] == fps["fp"]).select("fp", "root", "first")
     named = materialize(firsts.groupBy("root").agg(F.min("first").alias("component")))
     moved = linked.join(named, "root").select(F.col("node").alias("fp"), "component")
@@ -143,15 +152,41 @@ def as_hex(column: str):
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
-def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def _with_fingerprint(docs: DataFrame, column: str, text_column: str) -> DataFrame:
+    """``docs`` with the fingerprint of every row's text as its last column."""
+    bound_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = pa.array([fingerprint(t) for t in as_bytes(batch.column(text_column))], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, column])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(column, LongType())]))
+
+
+def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", most_pairwise: int = 16) -> DataFrame:
     """One row of every group of near duplicates: that with the smallest doc_id, all columns as they are.
 
-    Rows with a null doc_id can't be told apart by it and stay.
+    A row is told by its doc_id and fingerprint, so different texts under one
+    doc_id are judged each in its own group. Of a group's rows with a null
+    doc_id one stays as well, that with the least fingerprint.
     """
-    found = near_duplicates(docs, id_column, text_column)
-    key, turn = fresh(docs, "_sw_first"), fresh(docs, "_sw_turn")
-    firsts = found.filter("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
-    named = docs.join(materialize(firsts), F.col(f"`{id_column}`") == F.col(key), "left_semi")
-    once = Window.partitionBy(id_column).orderBy(F.xxhash64(text_column))
-    single = named.withColumn(turn, F.row_number().over(once)).filter(F.col(turn) == 1).drop(turn)
-    return single.union(docs.filter(F.col(id_column).isNull()))
+    _, fps, linked = _linked(docs, id_column, text_column, most_pairwise)
+    grouped = fps.join(linked, fps["fp"] == linked["node"], "left").withColumn("group", F.coalesce("root", "fp"))
+    group = materialize(grouped.select("group", "fp", "first", "bare"))
+    key, mark, own, turn = (fresh(docs, f"_sw_{c}") for c in ("first", "mark", "own", "turn"))
+    named = group.filter(F.col("first").isNotNull()).groupBy("group").agg(F.min(F.struct("first", "fp")).alias("x"))
+    named = materialize(named.select(F.col("x.first").alias(key), F.col("x.fp").alias(mark)))
+    bare = materialize(group.filter("bare").groupBy("group").agg(F.min("fp").alias(mark)).select(mark))
+
+    def once(rows: DataFrame, *columns: str) -> DataFrame:
+        order = Window.partitionBy(*columns).orderBy(F.xxhash64(f"`{text_column}`"))
+        return rows.withColumn(turn, F.row_number().over(order)).filter(F.col(turn) == 1).drop(turn)
+
+    known = F.col(f"`{id_column}`").isNotNull()
+    told = _with_fingerprint(docs.filter(known), own, text_column)
+    told = told.join(named, (F.col(f"`{id_column}`") == F.col(key)) & (F.col(own) == F.col(mark)), "left_semi")
+    # copies without an id can be many: all but one go before they are shuffled
+    untold = once(_with_fingerprint(docs.filter(~known), own, text_column), own)
+    untold = untold.join(bare, F.col(own) == F.col(mark), "left_semi")
+    return once(told, f"`{id_column}`", own).union(untold).drop(own)

@@ -121,3 +121,12 @@ def test_near_duplicates_equal_brute_force(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == expected
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
     assert simhash.keep_first(docs.limit(0)).count() == 0
+
+
+def test_survivors_are_told_by_id_and_text(spark):
+    text = lambda seed: " ".join(f"w{random.Random(seed).randrange(5000)}x{i}" for i in range(80))
+    one, two, three, four = (text(seed) for seed in range(4))
+    rows = [(1, one), (1, two), (2, two), (1, one), (None, three), (None, three), (None, three), (None, four), (5, four)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, simhash.keep_first(docs).collect()), key=str)
+    assert kept == sorted([(1, one), (1, two), (None, three), (None, four), (5, four)], key=str)
