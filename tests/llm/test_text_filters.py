@@ -161,3 +161,20 @@ def test_mix_without_rows_or_words(spark):
     docs = spark.createDataFrame([(1, None, None), (2, " \t", "a")], "doc_id long, text string, source string")
     assert [(r.mix.target, r.mix.copies) for r in mixing.with_copies(docs).collect()] == [(0.0, 0), (0.0, 0)]
     assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_each_repetition_limit_rejects_by_itself():
+    """Texts that pass the base rule and exceed one limit only."""
+    plain = iter(f"w{i:04}" for i in range(9999))
+    some = lambda n: [next(plain) for _ in range(n)]
+    phrases = [some(5) for _ in range(10)]
+    five = " ".join(w for p in phrases + phrases for w in [*p, *some(6)])
+    twice = some(20)
+    ten = " ".join([*twice, *some(160), *twice])
+    lines = "\n".join(x for w in some(40) for x in ("a-long-word-in-a-line", w))
+    lower = repetition.RepetitionRules(ngram_limits=((5, 40), (7, 40), (10, 15)))
+    verdicts = lambda rules: list(zip(*repetition._verdicts([t.encode() for t in (five, ten, lines)], rules)[-2:], strict=True))
+    assert verdicts(repetition.RULES) == [(False, False), (False, True), (False, False)]
+    assert verdicts(lower) == [(False, False), (False, False), (False, False)]
+    measured = [repetition.measure(t.encode(), (5, 7, 10)) for t in (five, ten, lines)]
+    assert [[x > 0 for x in m[5:]] for m in measured] == [[False, True, False, False], [False, True, True, True], [True, False, False, False]]
