@@ -13,11 +13,13 @@ from sievewright.llm import (
     hmm,
     language_id,
     line_dedup,
+    minhash,
     mixing,
     repetition,
     simhash,
     toxicity,
     url_rules,
+    vector_codes,
 )
 from sievewright.llm.common import is_fold, ship
 
@@ -209,3 +211,42 @@ def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
     return found.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
+
+
+@query("op11_minhash")
+def op11_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, folder, "documents"), minhash.MinHashRules(shingle=2))
+
+
+def _lloyd_sql(rules: vector_codes.CodeRules) -> str:
+    """Every part against its whole codebook, once per round."""
+    most = vector_codes.MOST
+    steps = []
+    for n in range(rules.rounds + 1):
+        steps.append(f"""
+    near{n} AS MATERIALIZED (SELECT vec_id, label, p, x, min((list_inner_product(x, x) - 2 * list_inner_product(x, c)
+        + list_inner_product(c, c))::BIGINT * {rules.entries} + e) AS best FROM pieces JOIN book{n} USING (p) GROUP BY ALL),
+    mean{n} AS (SELECT p, e, list(m ORDER BY i) AS c FROM (SELECT p, (best % {rules.entries}) AS e, i, floor(sum(x[i]) / count(*)) AS m
+        FROM near{n}, LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i) GROUP BY ALL) GROUP BY ALL),
+    book{n + 1} AS MATERIALIZED (SELECT p, e, coalesce(mean{n}.c, book{n}.c) AS c FROM book{n} LEFT JOIN mean{n} USING (p, e))""")
+    last = rules.rounds
+    return f"""
+    WITH kept AS (SELECT vec_id, label, list_transform(embedding, x -> greatest(least(floor({rules.scale} * x::DOUBLE), {most}), -{most})) AS v
+        FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    pieces AS MATERIALIZED (SELECT vec_id, label, p, v[p * len(v) // {rules.parts} + 1 : (p + 1) * len(v) // {rules.parts}] AS x
+        FROM kept, range({rules.parts}) t(p)),
+    book0 AS MATERIALIZED (SELECT p, e, x AS c FROM (SELECT p, x, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM pieces)
+        WHERE e < {rules.entries}), {",".join(steps)},
+    numbers AS (SELECT p, e, unnest(c)::BIGINT AS c, generate_subscripts(c, 1) AS i FROM book{last}),
+    books AS (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, i)) AS h FROM numbers),
+    codes AS (SELECT vec_id, label, string_agg(printf('%02x', best % {rules.entries}), '' ORDER BY p) AS code,
+        sum(best // {rules.entries})::BIGINT AS error FROM near{last} GROUP BY vec_id, label)
+    SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, h AS codebooks_sha256 FROM codes, books
+    """
+
+
+@query("op13_vector_codes", _lloyd_sql(vector_codes.RULES))
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = vector_codes.encode(_table(spark, folder, "embeddings"))
+    done = vector_codes.with_label_errors(coded).select("vec_id", "code", "error", "label_error")
+    return done.withColumn("codebooks_sha256", F.lit(vector_codes.books_sha256(books)))
