@@ -17,6 +17,7 @@ from sievewright.llm import (
     mixing,
     repetition,
     simhash,
+    token_alignment,
     toxicity,
     url_rules,
     vector_codes,
@@ -218,6 +219,11 @@ def op11_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"), minhash.MinHashRules(shingle=2))
 
 
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.align_tokenizers(_table(spark, folder, "documents"))[0]
+
+
 def _lloyd_sql(rules: vector_codes.CodeRules) -> str:
     """Every part against its whole codebook, once per round."""
     most = vector_codes.MOST
@@ -231,8 +237,8 @@ def _lloyd_sql(rules: vector_codes.CodeRules) -> str:
     book{n + 1} AS MATERIALIZED (SELECT p, e, coalesce(mean{n}.c, book{n}.c) AS c FROM book{n} LEFT JOIN mean{n} USING (p, e))""")
     last = rules.rounds
     return f"""
-    WITH kept AS (SELECT vec_id, label, list_transform(embedding, x -> greatest(least(floor({rules.scale} * x::DOUBLE), {most}), -{most})) AS v
-        FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: greatest(least(floor({rules.scale} * x::DOUBLE), {most}), -{most})) AS v
+        FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     pieces AS MATERIALIZED (SELECT vec_id, label, p, v[p * len(v) // {rules.parts} + 1 : (p + 1) * len(v) // {rules.parts}] AS x
         FROM kept, range({rules.parts}) t(p)),
     book0 AS MATERIALIZED (SELECT p, e, x AS c FROM (SELECT p, x, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM pieces)
