@@ -1,8 +1,10 @@
 """Rule validation. It only counts; the input is never changed.
 
 Row rules (nulls, values, types) of a table share one aggregation, so the table
-is scanned once for them however many rules there are. Key rules aggregate to
-the key first, so a hot key costs one partial sum per task.
+is scanned once for them however many rules there are. Key rules, unique keys
+and references of all tables alike, share another: every table gives its keys,
+tagged with the rule, in a second scan, the union is counted per key in one
+shuffle, and a hot key costs one partial sum per task.
 
 ``scope`` names columns, such as the dataset version, that split the table:
 every rule then holds within each scope value and is reported per value.
@@ -11,6 +13,7 @@ every rule then holds within each scope value and is reported per value.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -134,6 +137,118 @@ def broken_references(
     return keys.join(parents, [*scope, reference.column], "left_anti")
 
 
+@dataclass(frozen=True)
+class _KeyRule:
+    """A unique key, or a reference of ``table`` to ``parent``; ``types`` are those its columns are compared in."""
+
+    check: str
+    table: str
+    columns: tuple[str, ...]
+    types: tuple[str, ...]
+    parent: str | None = None
+    parent_column: str | None = None
+
+
+def _family(dtype: str) -> str:
+    return "bigint" if dtype in X.INTEGRAL else "double" if dtype in X.FRACTIONAL else "string"
+
+
+def _common(child: str, parent: str) -> str:
+    """The type both sides of a reference are compared in."""
+    pair = {_family(child), _family(parent)}
+    if len(pair) == 1:
+        return pair.pop()
+    return "double" if pair == {"bigint", "double"} else _family(parent)
+
+
+def _key_rules(names: Sequence[str], rules: Mapping[str, TableRules], tables: Mapping[str, DataFrame]) -> list[_KeyRule]:
+    found = []
+    for name in names:
+        held, types = rules.get(name), dict(tables[name].dtypes)
+        if held is None:
+            continue
+        if held.unique_key and all(c in types for c in held.unique_key):
+            found.append(_KeyRule("duplicate_key", name, tuple(held.unique_key), tuple(_family(types[c]) for c in held.unique_key)))
+        for r in held.references:
+            parent = tables.get(r.parent)
+            if r.column in types and parent is not None and r.parent_column in parent.columns:
+                common = _common(types[r.column], dict(parent.dtypes)[r.parent_column])
+                found.append(_KeyRule("reference", name, (r.column,), (common,), r.parent, r.parent_column))
+    return found
+
+
+def _slots(rules: Sequence[_KeyRule]) -> list[tuple[str, str]]:
+    """(name, type) of the columns that hold any rule's key: as many of a type as the widest key has."""
+    widest = {t: max((r.types.count(t) for r in rules), default=0) for t in ("bigint", "double", "string")}
+    return [(f"_{t}_{i}", t) for t, n in widest.items() for i in range(n)]
+
+
+def _tagged(slots: list[tuple[str, str]], rule: int, own: bool, values: list[Column], types: Sequence[str], present: Column) -> Column:
+    """One key of one rule as a struct; ``own`` rows are the parents of a reference."""
+    filled, taken = {}, {}
+    for value, dtype in zip(values, types, strict=True):
+        n = taken[dtype] = taken.get(dtype, -1) + 1
+        filled[f"_{dtype}_{n}"] = value.try_cast(dtype)
+    columns = [filled.get(name, F.lit(None).cast(dtype)).alias(name) for name, dtype in slots]
+    return F.struct(F.lit(rule).alias("_rule"), F.lit(own).alias("_own"), present.alias("_present"), *columns)
+
+
+def key_checks(
+    names: Sequence[str], rules: Mapping[str, TableRules], tables: Mapping[str, DataFrame], scope: Sequence[str] = ()
+) -> DataFrame | None:
+    """Violations of the unique keys and references of the tables ``names``; None if there are no such rules.
+
+    Each table is scanned once for all rules it takes part in, as child or as
+    parent, and all their keys are counted in one group-by. A null reference is
+    no violation. Texts and numbers are compared as what the parent holds; a text
+    that is no number has no parent. Equal rows count on either side of a key.
+    """
+    found = _key_rules(names, rules, tables)
+    if not found:
+        return None
+    slots, parts = _slots(found), []
+    for name, df in tables.items():
+        keys = []
+        for i, rule in enumerate(found):
+            if rule.table == name:
+                present = F.lit(True) if rule.check == "duplicate_key" else df[rule.columns[0]].isNotNull()
+                keys.append(_tagged(slots, i, False, [df[c] for c in rule.columns], rule.types, present))
+            if rule.parent == name:
+                keys.append(_tagged(slots, i, True, [df[rule.parent_column]], rule.types, df[rule.parent_column].isNotNull()))
+        if keys:
+            parts.append(df.select(*scope, F.inline(F.array(*keys))).filter("_present"))
+    keys = reduce(DataFrame.unionByName, parts).groupBy(*scope, "_rule", *[name for name, _ in slots])
+    counted = keys.agg(F.count_if(~F.col("_own")).alias("_rows"), F.count_if("_own").alias("_parents"))
+    unique = F.array(*[F.lit(r.check == "duplicate_key") for r in found])[F.col("_rule")]
+    broken = (unique & (F.col("_rows") > 1)) | (~unique & (F.col("_rows") > 0) & (F.col("_parents") == 0))
+    totals = counted.filter(broken).groupBy(*scope, "_rule").agg(F.sum("_rows").cast("bigint").alias("violations"))
+    texts = {"table": [r.table for r in found], "check": [r.check for r in found], "column": [",".join(r.columns) for r in found]}
+    named = [F.array(*map(F.lit, values))[F.col("_rule")].alias(c) for c, values in texts.items()]
+    return totals.select(*scope, *named, "violations")
+
+
+def _report(
+    names: Sequence[str],
+    rules: Mapping[str, TableRules],
+    tables: Mapping[str, DataFrame],
+    schemas: Mapping[str, CanonicalSchema],
+    scope: Sequence[str],
+) -> DataFrame:
+    parts = []
+    for name in names:
+        df = tables[name]
+        if name in rules:
+            parts.append(row_checks(df, name, rules[name], schemas.get(name), scope))
+            continue
+        counts = df.groupBy(*scope).agg(F.count(F.lit(1)).alias("_rows"))
+        entries = F.array(_entry("rows", None, F.col("_rows")), _entry("no_rules", None, F.lit(0)))
+        parts.append(counts.select(*scope, F.lit(name).alias("table"), F.inline(entries)))
+    keys = key_checks(names, rules, tables, scope)
+    # zero rows are dropped after the union, so each part stays a plain aggregate
+    report = reduce(DataFrame.unionByName, parts if keys is None else [*parts, keys])
+    return report.filter((F.col("violations") > 0) | F.col("check").isin("rows", "no_rules"))
+
+
 def table_report(
     df: DataFrame,
     table: str,
@@ -146,28 +261,8 @@ def table_report(
 
     Every table has a ``rows`` entry; a table without rules has ``no_rules``.
     """
-    if rules is None:
-        counts = df.groupBy(*scope).agg(F.count(F.lit(1)).alias("_rows"))
-        entries = F.array(_entry("rows", None, F.col("_rows")), _entry("no_rules", None, F.lit(0)))
-        return counts.select(*scope, F.lit(table).alias("table"), F.inline(entries))
-    # zero rows are dropped after the union, so each part stays a plain aggregate
-    parts = [row_checks(df, table, rules, schema, scope)]
-    if rules.unique_key and all(c in df.columns for c in rules.unique_key):
-        parts.append(_total(duplicate_keys(df, rules.unique_key, scope), table, "duplicate_key", ",".join(rules.unique_key), scope))
-    for reference in rules.references:
-        parent = tables.get(reference.parent)
-        if reference.column in df.columns and parent is not None and reference.parent_column in parent.columns:
-            broken = broken_references(df, parent, reference, scope)
-            parts.append(_total(broken, table, "reference", reference.column, scope))
-    report = reduce(DataFrame.unionByName, parts)
-    return report.filter((F.col("violations") > 0) | (F.col("check") == "rows"))
-
-
-def _total(counted: DataFrame, table: str, check: str, column: str, scope: Sequence[str]) -> DataFrame:
-    total = counted.groupBy(*scope).agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("violations"))
-    return total.select(
-        *scope, F.lit(table).alias("table"), F.lit(check).alias("check"), F.lit(column).alias("column"), "violations"
-    )
+    schemas = {table: schema} if schema else {}
+    return _report([table], {table: rules} if rules else {}, {**tables, table: df}, schemas, scope)
 
 
 def skipped_references(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules]) -> list[tuple[str, str]]:
@@ -188,9 +283,7 @@ def validate(
     scope: Sequence[str] = (),
 ) -> DataFrame:
     """Report over all tables; see :func:`table_report`."""
-    schemas = schemas or {}
-    reports = [table_report(df, name, rules.get(name), tables, schemas.get(name), scope) for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, reports)
+    return _report(list(tables), rules, tables, schemas or {}, scope)
 
 
 def table_verdicts(report: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
