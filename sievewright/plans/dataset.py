@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from sievewright import defaults
 from sievewright.operators import align, clean, features, fingerprint, master, split, target, validate
-from sievewright.sources import readers, writers
+from sievewright.plans import incremental
+from sievewright.sources import readers, snapshots, writers
 from sievewright.specs import (
     BridgeJoin,
     CanonicalSchema,
@@ -111,7 +112,12 @@ def _join(tables: Mapping[str, DataFrame], plan: DatasetPlan) -> master.Joined:
 
 
 def run_dataset(
-    spark: SparkSession, root: str, output: str, dataset_id: str, plan: DatasetPlan = DEFAULT_PLAN
+    spark: SparkSession,
+    root: str,
+    output: str,
+    dataset_id: str,
+    plan: DatasetPlan = DEFAULT_PLAN,
+    changed_only: bool = False,
 ) -> DataFrame:
     """Ingest a dump and write its reports, master table and feature store.
 
@@ -121,61 +127,127 @@ def run_dataset(
     Aligned tables, cleaned tables and the master are written and read back, so
     each is computed once although several outputs need it. The written copy also
     fixes the ingest ids: a lost task cannot renumber rows.
-    """
-    versions = readers.load_all(spark, root, plan.mandatory_files, plan.optional_files)
-    combined, alignments = align_versions(versions, plan)
-    found = [
-        align.alignment_report(versions[version][name], name, alignment).withColumn(readers.VERSION, F.lit(version))
-        for version, tables in alignments.items()
-        for name, alignment in tables.items()
-    ]
-    writers.write_report(reduce(DataFrame.unionByName, found), f"{output}/reports/alignment")
-    aligned = {
-        name: writers.write_parquet(df, f"{output}/aligned/{name}", partition_by=SCOPE)
-        for name, df in combined.items()
-    }
-    report = validate.validate(aligned, plan.validation, plan.schemas, SCOPE)
-    writers.write_report(report, f"{output}/reports/validation")
-    validate.enforce(validate.summary(spark.read.schema(report.schema).json(f"{output}/reports/validation"), SCOPE), plan.gate)
-
-    tables: dict[str, DataFrame] = {}
-    reports: list[DataFrame] = []
-    failed: list[tuple[str, str]] = []
-    for name in clean.parents_first(list(aligned), plan.cleaning):
-        rule, schema = plan.cleaning.get(name, CleaningRule()), plan.schemas.get(name)
-        try:
-            cleaned = clean.clean_table(aligned[name], name, rule, tables, schema, ORDER, SCOPE)
-        except (AnalysisException, ValueError) as error:
-            # a table that cannot be cleaned is left out; without the fact there is nothing to build
-            if name == plan.fact:
-                raise
-            failed.append((name, str(error)))
-            continue
-        tables[name] = writers.write_parquet(cleaned.result, f"{output}/cleaned/{name}", partition_by=SCOPE)
-        # the written result is counted, not the plan that made it
-        reports.append(clean.cleaning_report(replace(cleaned, result=tables[name])))
-    writers.write_report(reduce(DataFrame.unionByName, reports), f"{output}/reports/cleaning")
-    writers.write_report(
-        spark.createDataFrame(failed, "table string, error string"), f"{output}/reports/cleaning_failures"
-    )
 
-    # the match flags are stored with a working copy, so the joins run once
-    joined = _join(tables, plan)
-    flagged = writers.write_parquet(joined.df, f"{output}/joined", partition_by=SCOPE)
-    joined = replace(joined, df=flagged)
-    writers.write_report(master.match_statistics(joined, SCOPE), f"{output}/reports/matches")
-    writers.write_report(master.column_coverage(joined, SCOPE), f"{output}/reports/coverage")
-    master.enforce_integrity(master.integrity_counts(tables[plan.fact], flagged, plan.fact_key, SCOPE))
-    stored = writers.write_parquet(joined.result, f"{output}/master_dataset", dataset_id, partition_by=SCOPE)
-    writers.write_report(master.master_summary(stored, joined), f"{output}/reports/master")
-
-    build = features.build_features(stored, plan.features)
-    written = writers.write_parquet(build.result, f"{output}/feature_store", dataset_id, partition_by=SCOPE)
+    With ``changed_only`` only versions whose files or plan differ from the last
+    run are read and built. Versions that are gone are dropped, and all other
+    partitions of tables and reports stay as they are. Rules, joins and reports
+    hold within a version, so the result is that of a full run; a column that
+    only dropped rows had stays, as nulls. The feature store fills gaps with
+    medians and modes of all versions, so it is built from the whole master
+    table. A table that no version had before makes all versions changed.
+    """
+    paths = readers.list_files(spark, root)
+    names = readers.discover_versions(paths)
+    chosen = {v: readers.resolve_files(paths, v, plan.mandatory_files, plan.optional_files)[0] for v in names}
+    known = sorted({table for tables in chosen.values() for table in tables})
+    files = fingerprint.content_fingerprint(readers.source_files(spark, root), SCOPE, hash_of((plan, known)))
+    found = incremental.find_changes(files, f"{output}/master_dataset", readers.VERSION)
+    if changed_only and not found.to_build and not found.to_drop:
+        return snapshots.read(spark, f"{output}/feature_store")
+    if changed_only:
+        run = _VersionRun(spark, output, plan, found.to_build, sorted({*found.to_build, *found.to_drop}))
+    else:
+        run = _VersionRun(spark, output, plan, names, None)
+    state = [list(row) for row in found.state]
+    if run.build:
+        joined = run.joined(paths, known)
+        run.store(joined.result, "master_dataset", dataset_id, state)
+    else:
+        run.drop(known, state)
+    whole = snapshots.read(spark, f"{output}/master_dataset")
+    if run.build:
+        writers.write_report(master.master_summary(whole, joined), f"{output}/reports/master")
+
+    made = features.build_features(whole, plan.features)
+    written = writers.write_parquet(made.result, f"{output}/feature_store", dataset_id, partition_by=SCOPE)
     features.validate_features(written, plan.features)
-    writers.write_report(features.feature_summary(replace(build, result=written)), f"{output}/reports/features")
+    writers.write_report(features.feature_summary(replace(made, result=written)), f"{output}/reports/features")
     return written
 
 
+@dataclass(frozen=True)
+class _VersionRun:
+    """The stages up to the joined table, over the versions ``build``; ``replaced`` (None: all) make room for them."""
+
+    spark: SparkSession
+    output: str
+    plan: DatasetPlan
+    build: list[str]
+    replaced: list[str] | None
+
+    def store(self, df: DataFrame, name: str, dataset_id: str | None = None, state: object = None) -> DataFrame:
+        """Publish the rows of the versions built, and return them alone."""
+        root = f"{self.output}/{name}"
+        if self.replaced is None:
+            return snapshots.write(df, root, SCOPE, dataset_id, state)
+        return snapshots.replace(df, root, readers.VERSION, self.replaced, dataset_id, state)
+
+    def report(self, found: list[DataFrame], name: str) -> str:
+        path = f"{self.output}/reports/{name}"
+        writers.write_report(reduce(DataFrame.unionByName, found), path, SCOPE, self.replaced)
+        return path
+
+    def joined(self, paths: list[str], known: list[str]) -> master.Joined:
+        """Align, validate, clean and join."""
+        spark, plan = self.spark, self.plan
+        versions = {
+            v: readers.load_version(spark, paths, v, plan.mandatory_files, plan.optional_files) for v in self.build
+        }
+        combined, alignments = align_versions(versions, plan)
+        found = [
+            align.alignment_report(versions[version][name], name, alignment).withColumn(readers.VERSION, F.lit(version))
+            for version, tables in alignments.items()
+            for name, alignment in tables.items()
+        ]
+        self.report(found, "alignment")
+        aligned = {name: self.store(df, f"aligned/{name}") for name, df in combined.items()}
+        for name in sorted(set(known) - set(aligned)):
+            # only other versions have this table: its joins give these versions no match rather than no columns
+            aligned[name] = spark.createDataFrame([], snapshots.current(spark, f"{self.output}/aligned/{name}").schema)
+        report = validate.validate(aligned, plan.validation, plan.schemas, SCOPE)
+        path = self.report([report], "validation")
+        written = spark.read.schema(report.schema).json(path).filter(F.col(readers.VERSION).isin(self.build))
+        validate.enforce(validate.summary(written, SCOPE), plan.gate)
+
+        tables: dict[str, DataFrame] = {}
+        reports: list[DataFrame] = []
+        failed: list[tuple[str, str]] = []
+        for name in clean.parents_first(list(aligned), plan.cleaning):
+            rule, schema = plan.cleaning.get(name, CleaningRule()), plan.schemas.get(name)
+            try:
+                cleaned = clean.clean_table(aligned[name], name, rule, tables, schema, ORDER, SCOPE)
+            except (AnalysisException, ValueError) as error:
+                # a table that cannot be cleaned is left out; without the fact there is nothing to build
+                if name == plan.fact:
+                    raise
+                failed.append((name, str(error)))
+                continue
+            tables[name] = self.store(cleaned.result, f"cleaned/{name}")
+            # the written result is counted, not the plan that made it
+            reports.append(clean.cleaning_report(replace(cleaned, result=tables[name])))
+        self.report(reports, "cleaning")
+        failures = spark.createDataFrame(failed, "table string, error string")
+        writers.write_report(failures, f"{self.output}/reports/cleaning_failures")
+
+        # the match flags are stored with a working copy, so the joins run once
+        joined = _join(tables, plan)
+        flagged = self.store(joined.df, "joined")
+        joined = replace(joined, df=flagged)
+        self.report([master.match_statistics(joined, SCOPE)], "matches")
+        self.report([master.column_coverage(joined, SCOPE)], "coverage")
+        master.enforce_integrity(master.integrity_counts(tables[plan.fact], flagged, plan.fact_key, SCOPE))
+        return joined
+
+    def drop(self, known: list[str], state: object) -> None:
+        """Take the versions that are gone out of every table and report; nothing is built."""
+        for name in [f"{stage}/{n}" for n in known for stage in ("aligned", "cleaned")] + ["joined"]:
+            if snapshots.current(self.spark, f"{self.output}/{name}"):
+                snapshots.replace(None, f"{self.output}/{name}", readers.VERSION, self.replaced)
+        for name in ("alignment", "validation", "cleaning", "matches", "coverage"):
+            writers.drop_report_parts(self.spark, f"{self.output}/reports/{name}", readers.VERSION, self.replaced)
+        snapshots.replace(None, f"{self.output}/master_dataset", readers.VERSION, self.replaced, state=state)
+
+
 @dataclass(frozen=True)
 class SalaryRun:
     table: DataFrame
@@ -206,7 +278,7 @@ def run_salary(
     state = f"{output}/state"
     if not force_rebuild and _is_current(spark, current, state, by):
         return SalaryRun(
-            spark.read.parquet(f"{output}/salary/latest"), spark.read.parquet(f"{output}/split/latest"), False
+            snapshots.read(spark, f"{output}/salary"), snapshots.read(spark, f"{output}/split"), False
         )
     built = target.build_salary_table(feature_store, config)
     table = writers.write_parquet(built.result, f"{output}/salary", dataset_id)

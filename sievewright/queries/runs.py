@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from sievewright.operators import align, features, validate
 from sievewright.queries.quality import _CORPUS_FINDINGS, CUSTOMER_SCHEMA, ORDERS_SCHEMA, _corpus_report
 from sievewright.queries.registry import query, table
-from sievewright.sources import readers, writers
+from sievewright.plans import incremental
+from sievewright.sources import readers, snapshots, writers
 from sievewright.specs import QualityGate
 
 
@@ -89,8 +90,50 @@ def _scratch(spark: SparkSession) -> str:
 def written_and_read_back(spark: SparkSession, folder: str) -> DataFrame:
     root = _scratch(spark)
     writers.write_parquet(table(spark, folder, "orders"), root, "run_1", partition_by=["o_orderstatus"])
-    latest = readers.read_parquet(spark, f"{root}/latest").groupBy("o_orderstatus").agg(
+    latest = readers.read_table(spark, root).groupBy("o_orderstatus").agg(
         F.count("*").alias("rows"), F.count("o_orderkey").alias("keys"), F.round(F.sum("o_totalprice"), 2).alias("total")
     )
     archived = readers.read_parquet(spark, f"{root}/archive/run_1").groupBy("o_orderstatus").agg(F.count("*").alias("archived"))
     return latest.join(archived, "o_orderstatus")
+
+
+_VERSION_OF_ORDERS = "CASE WHEN year(o_orderdate) < 1997 THEN 'Version_1' WHEN year(o_orderdate) < 1999 THEN 'Version_2' ELSE 'Version_3' END"
+
+
+def _totals_by_segment(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    joined = orders.join(customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
+    return joined.groupBy("dataset_version", "c_mktsegment").agg(
+        F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total")
+    )
+
+
+@query(
+    "rebuilt_versions",
+    f"""
+    WITH first_run AS (SELECT *, {_VERSION_OF_ORDERS} AS dataset_version FROM orders),
+    dump AS (
+      SELECT o_custkey, o_totalprice, dataset_version, 'unchanged' AS status FROM first_run WHERE dataset_version = 'Version_1'
+      UNION ALL SELECT o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END, 'Version_2', 'changed'
+        FROM first_run WHERE dataset_version = 'Version_2'
+      UNION ALL SELECT o_custkey, o_totalprice, 'Version_4', 'new' FROM first_run WHERE o_orderstatus = 'F')
+    SELECT dataset_version, status, c_mktsegment, count(*) AS orders, round(sum(o_totalprice), 2) AS total
+    FROM dump JOIN customer ON o_custkey = c_custkey GROUP BY ALL
+    """,
+)
+def rebuilt_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals of three versions, brought up to date after one changed, one went and one came."""
+    root, customer = _scratch(spark), table(spark, folder, "customer")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.expr(_VERSION_OF_ORDERS).alias("dataset_version"))
+    snapshots.write(orders, f"{root}/dump", ["dataset_version"])
+
+    def refresh() -> tuple[DataFrame, dict[str, str]]:
+        return incremental.rebuild_from(f"{root}/dump", spark, f"{root}/totals", "dataset_version", lambda changed: _totals_by_segment(changed, customer))
+
+    refresh()
+    raised = F.when(F.col("o_orderkey") % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    second = orders.filter("dataset_version = 'Version_2'").withColumn("o_totalprice", raised)
+    fourth = orders.filter("o_orderstatus = 'F'").withColumn("dataset_version", F.lit("Version_4"))
+    snapshots.replace(second.unionByName(fourth), f"{root}/dump", "dataset_version", ["Version_3"])
+    totals, status = refresh()
+    told = F.create_map(*[F.lit(x) for part, what in status.items() for x in (part.split("=")[1], what)])
+    return totals.withColumn("status", told[F.col("dataset_version")])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from sievewright.functions import columns as X
+from sievewright.sources import snapshots
 from sievewright.specs import CanonicalSchema
 
 VERSION = "dataset_version"
@@ -60,6 +61,14 @@ def list_files(spark: SparkSession, root: str, pattern: str = "{Version_*/*,Vers
         raise SourceError(f"no files found in {root}: {error}") from error
 
 
+def source_files(spark: SparkSession, root: str) -> DataFrame:
+    """``(dataset_version, path, bytes, changed_at)`` of every file of every version; no file is opened."""
+    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{{Version_*/*,Version_*/*.csv/*}}")
+    version = F.regexp_extract("path", r"/(Version_\d+)/", 1)
+    inside = F.regexp_extract("path", r"/Version_\d+/(.*)$", 1)
+    return files.select(version.alias(VERSION), inside.alias("path"), F.col("length").alias("bytes"), F.col("modificationTime").alias("changed_at"))
+
+
 def discover_versions(paths: Sequence[str]) -> list[str]:
     """``Version_<n>`` directories in the order of their number."""
     found = {m.group(1) for p in paths if (m := re.search(r"/(Version_\d+)/", p))}
@@ -171,9 +180,17 @@ def combine_versions(versions: Mapping[str, Mapping[str, DataFrame]]) -> dict[st
     return combined
 
 
+def read_table(spark: SparkSession, root: str) -> DataFrame:
+    """A published table; NaN in double columns becomes null."""
+    return _without_nan(snapshots.read(spark, root))
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table; NaN in double columns becomes null."""
-    df = spark.read.parquet(path)
+    """A Parquet folder; NaN in double columns becomes null."""
+    return _without_nan(spark.read.parquet(path))
+
+
+def _without_nan(df: DataFrame) -> DataFrame:
     doubles = {c: X.nan_to_null(F.col(f"`{c}`")) for c, t in df.dtypes if t == "double"}
     return df.withColumns(doubles) if doubles else df
 

@@ -1,45 +1,44 @@
-"""Writing results. A new ``latest`` is written beside the old one and then takes its place."""
+"""Writing results. Parquet tables are published as snapshots, see :mod:`sievewright.sources.snapshots`."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sievewright.sources import snapshots
+
 
 def write_parquet(
     df: DataFrame, root: str, dataset_id: str | None = None, partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Write ``<root>/latest`` and, with an id, ``<root>/archive/<id>``.
+    """Write a table once and publish it under ``root``; with an id it lies in ``<root>/archive/<id>``.
 
-    The plan runs once: the archive is written from it and ``latest`` is copied
-    from the archive. Returns the table read back.
+    Returns the written copy. ``readers.read_table`` reads what is published.
     """
-    spark = df.sparkSession
-    if dataset_id is not None:
-        archive = f"{root}/archive/{dataset_id}"
-        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(archive)
-        df = spark.read.schema(df.schema).parquet(archive)
-    latest, new = f"{root}/latest", f"{root}/_latest_{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(new)
-    _replace(spark, new, latest)
-    return spark.read.schema(df.schema).parquet(latest)
-
-
-def _replace(spark: SparkSession, new: str, old: str) -> None:
-    """Move the folder ``new`` to ``old``; a write that fails leaves ``old`` as it was."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(new).getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(path(old), True)
-    if not files.rename(path(new), path(old)):
-        raise OSError(f"{new} could not be moved to {old}")
+    return snapshots.write(df, root, partition_by, dataset_id)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    """A report as JSON lines, null fields included."""
-    report.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+def write_report(
+    report: DataFrame, path: str, partition_by: Sequence[str] = (), replaced: Collection[object] | None = None
+) -> None:
+    """A report as JSON lines, null fields included.
+
+    With ``replaced`` values of its only partition column, those partitions make
+    room for the ones it has, and the others stay.
+    """
+    writer = report.write.mode("overwrite").option("ignoreNullFields", False).partitionBy(*partition_by)
+    if replaced is not None:
+        drop_report_parts(report.sparkSession, path, partition_by[0], replaced)
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.json(path)
+
+
+def drop_report_parts(spark: SparkSession, path: str, column: str, values: Collection[object]) -> None:
+    for value in values:
+        files, folder = snapshots.file_system(spark, f"{path}/{snapshots.part_folder(spark, column, value)}")
+        files.delete(folder, True)

@@ -143,8 +143,8 @@ def test_dataset_run(spark, store):
     assert reports <= {p.name for p in (output / "reports").iterdir()}
     aligned = spark.read.json(str(output / "reports" / "alignment"))
     assert {r[0] for r in aligned.select("dataset_version").distinct().collect()} == {"Version_2", "Version_10"}
-    assert not [p for p in (output / "feature_store").iterdir() if p.name.startswith("_latest")]
-    master = spark.read.parquet(str(output / "master_dataset" / "latest"))
+    assert {p.name for p in (output / "feature_store").iterdir()} == {"_published", "archive"}
+    master = readers.read_table(spark, str(output / "master_dataset"))
     # 150 and 200 postings, minus those without or with an unknown company
     expected = {v: sum(1 for i in range(n) if i % 19 != 7 and i % 23 != 5) for v, n in (("Version_2", 150), ("Version_10", 200))}
     assert {r[0]: r[1] for r in master.groupBy("dataset_version").count().collect()} == expected
@@ -217,10 +217,10 @@ def test_gate_stops_the_run(spark, dump, tmp_path):
 
 def test_lazy_plan_matches_the_run(spark, store):
     output, _ = store
-    tables = {p.name: spark.read.parquet(str(p / "latest")) for p in (output / "aligned").iterdir()}
+    tables = {p.name: readers.read_table(spark, str(p)) for p in (output / "aligned").iterdir()}
     run = dataset.plan_dataset(tables)
     assert not run.failed
-    assert run.master.result.count() == spark.read.parquet(str(output / "master_dataset" / "latest")).count()
+    assert run.master.result.count() == readers.read_table(spark, str(output / "master_dataset")).count()
     assert dataset.validation_by_version(run).count() == 13
 
 
@@ -252,7 +252,7 @@ def test_sinks(spark, tmp_path):
     assert {"k": 2, "v": None} in lines
     writers.write_parquet(df, str(tmp_path / "pq"), "one")
     writers.write_parquet(df.filter("k = 1"), str(tmp_path / "pq"), "two")
-    assert spark.read.parquet(str(tmp_path / "pq" / "latest")).count() == 1
+    assert readers.read_table(spark, str(tmp_path / "pq")).count() == 1
     assert spark.read.parquet(str(tmp_path / "pq" / "archive" / "one")).count() == 2
 
 
@@ -260,3 +260,72 @@ def test_nan_is_null_after_reading(spark, tmp_path):
     spark.createDataFrame([(float("nan"),), (1.0,)], "x double").write.parquet(str(tmp_path / "n"))
     assert readers.read_parquet(spark, str(tmp_path / "n")).filter("x is null").count() == 1
 
+
+
+# ------------------------------------------------------------ rebuilding what changed
+
+
+def compared(df):
+    """Rows without the ids that follow the files' place."""
+    columns = sorted(c for c in df.columns if c != readers.INGEST_ID)
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
+
+
+def three_versions(root):
+    for version, n, shift in (("Version_1", 40, 0), ("Version_2", 50, 10), ("Version_3", 30, 20)):
+        write(root / version / "postings.csv", POSTING_HEADER, postings(n, shift))
+        write(root / version / "companies.csv", ["company_id", "name"], [[c, f"Company {c}"] for c in range(1, 10)])
+        write(root / version / "industries.csv", ["industry_id", "industry_name"], [[1, "Tech"]])
+        write(root / version / "job_industries.csv", ["job_id", "industry_id"], [[1000 + shift + i, 1] for i in range(n)])
+    skills = root / "Version_1"
+    write(skills / "job_skills.csv", ["job_id", "skill_abr"], [[1000 + i, "ENG"] for i in range(40)])
+    write(skills / "skills.csv", ["skill_abr", "skill_name"], [["ENG", "Engineering"]])
+    write(skills / "benefits.csv", ["job_id", "inferred", "type"], [[1000, 0, "401(K)"]])
+    write(skills / "company_specialities.csv", ["company_id", "speciality"], [[1, "AI"]])
+
+
+def test_only_changed_versions_are_built(spark, tmp_path, monkeypatch):
+    import shutil
+
+    root, output = tmp_path / "dump", str(tmp_path / "out")
+    three_versions(root)
+    dataset.run_dataset(spark, str(root), output, "r1")
+    loaded, plain = [], readers.load_version
+    monkeypatch.setattr(readers, "load_version", lambda s, p, v, *rest: loaded.append(v) or plain(s, p, v, *rest))
+
+    def run(name):
+        loaded.clear()
+        return dataset.run_dataset(spark, str(root), output, name, changed_only=True)
+
+    before = dataset.snapshots.current(spark, f"{output}/master_dataset")
+    assert compared(run("r2")) and loaded == []
+    assert dataset.snapshots.current(spark, f"{output}/master_dataset") == before
+
+    # one version changes, one goes, one comes
+    write(root / "Version_2" / "postings.csv", POSTING_HEADER, postings(45, 300))
+    shutil.rmtree(root / "Version_3")
+    shutil.copytree(root / "Version_2", root / "Version_4")
+    store = run("r3")
+    assert loaded == ["Version_2", "Version_4"]
+    after = dataset.snapshots.current(spark, f"{output}/master_dataset")
+    assert {(p.snapshot, p.folder) for p in after.parts} == {
+        ("archive/r1", "dataset_version=Version_1"),
+        ("archive/r3", "dataset_version=Version_2"),
+        ("archive/r3", "dataset_version=Version_4"),
+    }
+    full = str(tmp_path / "full")
+    assert compared(store) == compared(dataset.run_dataset(spark, str(root), full, "r1"))
+    for name in ("master_dataset", "joined", "aligned/postings", "cleaned/companies"):
+        assert compared(readers.read_table(spark, f"{output}/{name}")) == compared(readers.read_table(spark, f"{full}/{name}"))
+    for name in ("alignment", "validation", "cleaning", "matches", "coverage"):
+        found, expected = (spark.read.json(f"{o}/reports/{name}") for o in (output, full))
+        assert compared(found) == compared(expected)
+
+    # a version goes and nothing is to be built
+    shutil.rmtree(root / "Version_4")
+    store = run("r4")
+    assert loaded == [] and {r[0] for r in store.select("dataset_version").distinct().collect()} == {"Version_1", "Version_2"}
+    # a table that no version had changes them all
+    write(root / "Version_2" / "employee_counts.csv", ["company_id", "employee_count", "follower_count", "time_recorded"], [[1, 5, 6, 7]])
+    run("r5")
+    assert loaded == ["Version_1", "Version_2"]
