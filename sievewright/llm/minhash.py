@@ -15,10 +15,12 @@ Pairs inside a band's group are not all written out. Every member is first
 compared with the least and the largest member of its group, which settles
 groups of copies in rows linear in their members. Groups that then still hold
 several components are cut into blocks of about ``block`` members; a task gets
-two blocks at a time, compares members of different components in numpy and
-passes on only pairs that survive the batches. Groups of any size are compared
-completely. A large group of texts that are all alike but not linked costs
-comparisons, though neither memory nor rows, in the square of its members.
+two blocks at a time with their full sets, compares members of components that
+are still apart, verifies the survivors at once and passes on only links that
+join two components. A pair that shares several bands is verified under the
+first. Groups of any size are compared completely. A large group of texts that
+are all alike but not linked costs comparisons, though neither memory nor rows,
+in the square of its members.
 
 Defined results: null and empty texts and texts of white space have an empty
 set, are linked with nothing and are kept. Texts with fewer words than a
@@ -48,6 +50,7 @@ from sievewright.llm.components import components
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
 _PART = 1024
+_RESIDUES = 1 << 25
 
 
 @dataclass(frozen=True)
@@ -207,23 +210,47 @@ def _likely(pairs: DataFrame, sets: DataFrame, rules: MinHashRules) -> DataFrame
     return pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "of_a", "of_b").mapInArrow(run, "a bigint, b bigint")
 
 
+def _marked(needed: DataFrame) -> np.ndarray:
+    """A bit per residue of the sets' hashes, set for those needed: 4 MB, whatever the number of sets."""
+    residue = F.conv(F.hex(F.substring("set", 1, 4)), 16, 10).cast("bigint") % _RESIDUES
+    words = needed.groupBy((residue / 32).cast("bigint").alias("word"))
+    held = words.agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (residue % 32).cast("int"))).alias("bits")).toArrow()
+    marked = np.zeros(_RESIDUES // 32, np.uint32)
+    marked[held.column("word").to_numpy()] = held.column("bits").to_numpy().astype(np.uint32)
+    return marked
+
+
 def _elements(docs: DataFrame, sets: DataFrame, members: DataFrame, rules: MinHashRules, *columns: str) -> DataFrame:
-    """(node, elements): the full set of every node that shares a band, from the whole text of its first document."""
+    """(node, elements): the full set of every node that shares a band, from the whole text of its first document.
+
+    Most documents share no band. A bit table of fixed size, sent to all tasks,
+    keeps nearly all of their sets out of the shuffle; the join decides.
+    """
     texts = texts_of(docs, *columns)
-    needed = members.select("node").distinct().join(sets.select("node", "set", "first"), "node")
+    needed = materialize(members.select("node").distinct().join(sets.select("node", "set", "first"), "node"))
+    sent = docs.sparkSession.sparkContext.broadcast(_marked(needed))
     needed = needed.select("node", F.col("set").alias("needed"), "first")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_set(data, rules.shingle) for data in as_bytes(batch.column("text"))]
-            names = pa.array([xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in found], pa.binary())
-            lists = pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))
-            columns = [batch.column("doc_id"), names, lists]
+            rows, names, lists = [], [], []
+            for i, data in enumerate(as_bytes(batch.column("text"))):
+                elements = shingle_set(data, rules.shingle)
+                if not len(elements):
+                    continue
+                name = xxhash.xxh3_128_digest(elements.tobytes())
+                residue = int.from_bytes(name[:4], "big") % _RESIDUES
+                if sent.value[residue // 32] >> np.uint32(residue % 32) & np.uint32(1):
+                    rows.append(i)
+                    names.append(name)
+                    lists.append(elements.view(np.int64))
+            columns = [batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(names, pa.binary()), pa.array(lists, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "set", "elements"])
 
     made = texts.mapInArrow(run, f"doc_id {dict(texts.dtypes)['doc_id']}, set binary, elements array<bigint>")
     # by id as well, so that the copies of a text do not meet in one task
-    met = made.join(sized(materialize(needed)), F.col("set").eqNullSafe(F.col("needed")) & F.col("doc_id").eqNullSafe(F.col("first")))
+    same = F.col("set").eqNullSafe(F.col("needed")) & F.col("doc_id").eqNullSafe(F.col("first"))
+    met = made.join(sized(needed), same)
     return materialize(met.groupBy("node").agg(F.first("elements").alias("elements")))
 
 
@@ -237,35 +264,61 @@ def _confirmed(pairs: DataFrame, elements: DataFrame, rules: MinHashRules) -> Da
     return materialize(found.filter(F.lit(100) * F.col("shared") >= F.lit(rules.percent) * (F.col("total") - F.col("shared"))).select("a", "b"))
 
 
-def _block_pairs(members: DataFrame, rules: MinHashRules) -> DataFrame:
-    """Pairs (a, b) of different roots inside a group, (key, n, node, root, signature), that no batch drops.
+class _Block:
+    """Members of one or two blocks of a group, and which of their components have been joined so far."""
+
+    def __init__(self, rows: list[pa.RecordBatch], rules: MinHashRules):
+        table = pa.Table.from_batches(rows).combine_chunks()
+        self.rules, self.steps, self.key = rules, _steps(rules), table.column("key")[0].as_py()
+        self.own, self.node, self.root = (table.column(c).to_numpy() for c in ("own", "node", "root"))
+        self.across = table.column("lo")[0].as_py() != table.column("hi")[0].as_py()
+        self.marks = _matrix(table.column("signature").combine_chunks(), rules.values)
+        self.bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(self.node), rules.bands)
+        lists = table.column("elements").combine_chunks()
+        self.elements, self.starts = lists.flatten().to_numpy().view(np.uint64), np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
+
+    def links(self) -> pa.RecordBatch:
+        found = [link for i in range(len(self.node) - 1) for link in self._links_of(i)]
+        ends = [pa.array([link[i] for link in found], pa.int64()) for i in (0, 1)]
+        return pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+
+    def _links_of(self, i: int) -> Iterator[tuple[int, int]]:
+        """Links of member ``i`` to later ones that join two components."""
+        sizes = np.diff(self.starts)
+        others = np.arange(i + 1, len(self.node))
+        apart = (self.root[others] != self.root[i]) & ((self.own[others] != self.own[i]) | (not self.across))
+        # sets of too different sizes cannot be alike
+        apart &= 100 * np.minimum(sizes[others], sizes[i]) >= self.rules.percent * np.maximum(sizes[others], sizes[i])
+        others = others[apart]
+        others = others[survivors(np.broadcast_to(self.marks[i], (len(others), self.rules.values)), self.marks[others], self.steps)]
+        shared = self.bands[others] == self.bands[i]
+        others = others[self.bands[others, shared.argmax(axis=1)] == self.key]
+        if not len(others):
+            return
+        mine = self.elements[self.starts[i] : self.starts[i + 1]]
+        theirs = np.concatenate([self.elements[self.starts[j] : self.starts[j + 1]] for j in others])
+        hits = mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs
+        common = np.add.reduceat(hits.astype(np.int64), np.append(0, np.cumsum(sizes[others])[:-1]))
+        linked = 100 * common >= self.rules.percent * (sizes[i] + sizes[others] - common)
+        for j in others[linked]:
+            if self.root[j] != self.root[i]:
+                self.root = np.where(self.root == self.root[j], self.root[i], self.root)
+                yield int(min(self.node[i], self.node[j])), int(max(self.node[i], self.node[j]))
+
+
+def _block_links(members: DataFrame, rules: MinHashRules) -> DataFrame:
+    """Links (a, b) that join different roots inside a group, (key, n, node, root, signature, bands, elements).
 
     Every member goes to each pair of blocks its own belongs to; the rows of a
     pair of blocks are neighbours in one task.
     """
-    steps, values = _steps(rules), rules.values
     blocks = F.ceil(F.col("n") / rules.block)
     own = F.pmod(F.xxhash64("node"), blocks)
     dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
     dealt = dealt.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
-    columns = ["key", "lo", "hi", "own", "node", "root", "signature"]
+    columns = ["key", "lo", "hi", "own", "node", "root", "signature", "bands", "elements"]
     tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.select(*columns).repartition(tasks, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-
-    def compare(own: np.ndarray, node: np.ndarray, root: np.ndarray, marks: np.ndarray, across: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for i in range(len(node) - 1):
-            others = np.arange(i + 1, len(node))
-            others = others[(root[i + 1 :] != root[i]) & ((own[i + 1 :] != own[i]) | (not across))]
-            others = others[survivors(np.broadcast_to(marks[i], (len(others), values)), marks[others], steps)]
-            yield np.minimum(node[others], node[i]), np.maximum(node[others], node[i])
-
-    def flush(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(rows).combine_chunks()
-        own, node, root = (table.column(c).to_numpy() for c in ("own", "node", "root"))
-        across = table.column("lo")[0].as_py() != table.column("hi")[0].as_py()
-        found = list(compare(own, node, root, _matrix(table.column("signature"), values), across))
-        ends = [np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1)]
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ends], names=["a", "b"])
+    dealt = dealt.select(*columns).repartition(tasks, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, now = [], None
@@ -277,12 +330,12 @@ def _block_pairs(members: DataFrame, rules: MinHashRules) -> DataFrame:
                     continue
                 name = tuple(names[start])
                 if rows and name != now:
-                    yield flush(rows)
+                    yield _Block(rows, rules).links()
                     rows = []
                 now = name
                 rows.append(batch.slice(start, stop - start))
         if rows:
-            yield flush(rows)
+            yield _Block(rows, rules).links()
 
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
@@ -299,10 +352,10 @@ def links(docs: DataFrame, sets: DataFrame, rules: MinHashRules, *columns: str)
     larger = members.filter("n > 2").join(roots.hint("merge"), F.col("node") == F.col("moved"), "left")
     placed = materialize(larger.select("key", "n", "node", F.coalesce("root", "node").alias("root")))
     spread = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    unsettled = placed.join(sized(materialize(spread.select("key"))), "key")
-    marked = unsettled.join(sets.select("node", "signature").hint("merge"), "node")
-    rest = materialize(_block_pairs(marked, rules).distinct())
-    return edges.union(_confirmed(rest, elements, rules))
+    unsettled = materialize(placed.join(sized(materialize(spread.select("key"))), "key"))
+    marked = unsettled.join(sets.select("node", "signature", "bands").hint("merge"), "node")
+    marked = marked.join(elements.hint("merge"), "node")
+    return edges.union(materialize(_block_links(marked, rules).distinct()))
 
 
 def near_duplicates(
