@@ -242,6 +242,64 @@ def key_overlap(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
+_WORD_BITS = 62  # of a long, so that no mask is negative
+
+
+def version_masks(df: DataFrame, key: Sequence[str], version: str) -> tuple[DataFrame, list]:
+    """``(*key, mask_0, ...)`` with a bit per version that holds the key, and the versions in the order of their bits.
+
+    One partial ``bit_or`` per key and task, whatever the number of versions;
+    a mask has as many words as needed. Null keys and versions are left out.
+    The versions are listed by a job.
+    """
+    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*key, version)])
+    rows = df.filter(present)
+    versions = sorted(r[0] for r in rows.select(version).distinct().collect())
+    place = F.array_position(F.array(*map(F.lit, versions)), F.col(version)) - 1 if versions else F.lit(0)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("_sw_place") % _WORD_BITS).cast("int"))
+    words = range(max(1, -(-len(versions) // _WORD_BITS)))
+    masks = [F.bit_or(F.when(F.floor(F.col("_sw_place") / _WORD_BITS) == w, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"mask_{w}") for w in words]
+    return rows.select(*key, place.cast("bigint").alias("_sw_place")).groupBy(*key).agg(*masks), versions
+
+
+def mask_histogram(masks: DataFrame) -> DataFrame:
+    """``(mask_0, ..., keys)``: keys per set of versions. All overlaps follow from it."""
+    words = [c for c in masks.columns if c.startswith("mask_")]
+    return masks.groupBy(*words).agg(F.count(F.lit(1)).alias("keys"))
+
+
+def versions_of_masks(histogram: DataFrame, versions: Sequence) -> DataFrame:
+    """The histogram with the versions of each set as an array."""
+    flags = []
+    for i, v in enumerate(versions):
+        bit = F.call_function("shiftright", F.col(f"mask_{i // _WORD_BITS}"), F.lit(i % _WORD_BITS)).bitwiseAND(F.lit(1))
+        flags.append(F.when(bit == 1, F.lit(v)))
+    return histogram.withColumn("versions", F.array_compact(F.array(*flags)))
+
+
+def overlap_matrix(df: DataFrame, key: Sequence[str], version: str) -> DataFrame:
+    """``(version_a, version_b, keys_a, keys_b, common, a_in_b_percent)`` for every ordered pair that shares a key.
+
+    The keys are shuffled once for all versions; pairs are formed from the sets
+    of versions that occur, not from keys.
+    """
+    masks, versions = version_masks(df, key, version)
+    if not versions:
+        kind = dict(df.dtypes)[version]
+        return df.sparkSession.createDataFrame(
+            [], f"version_a {kind}, version_b {kind}, keys_a bigint, keys_b bigint, common bigint, a_in_b_percent double"
+        )
+    sets = versions_of_masks(mask_histogram(masks), versions).select("versions", "keys")
+    firsts = sets.select(F.explode("versions").alias("version_a"), "versions", "keys")
+    pairs = firsts.select("version_a", F.explode("versions").alias("version_b"), "keys")
+    common = pairs.groupBy("version_a", "version_b").agg(F.sum("keys").alias("common"))
+    # a version's own keys are those it shares with itself: no second pass, one row per version
+    own = [F.max(F.when(F.col("version_a") == F.col("version_b"), F.col("common"))).over(Window.partitionBy(c)) for c in ("version_a", "version_b")]
+    sized = common.withColumns({"keys_a": own[0], "keys_b": own[1]}).filter("version_a <> version_b")
+    contained = X.ratio(F.col("common"), F.col("keys_a"))
+    return sized.select("version_a", "version_b", "keys_a", "keys_b", "common", contained.alias("a_in_b_percent"))
+
+
 def date_ranges(df: DataFrame, version: str, column: str) -> DataFrame:
     return df.groupBy(version).agg(
         F.count("*").alias("rows"), F.min(column).alias("earliest"), F.max(column).alias("latest")

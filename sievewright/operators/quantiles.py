@@ -5,8 +5,8 @@ a group is cut into value ranges instead, by one plan for all sizes:
 
 1. count each ``(group, value)`` (partial sums per task),
 2. take range bounds per group from a bounded sketch (``percentile_approx``),
-   and place the values by them; both sides are dealt out by group and salt, so
-   a group's values meet its bounds in :data:`SALTS` tasks,
+   and place the values by them; the few groups with a large share of all values
+   are dealt out by salt, so theirs meet their bounds in :data:`SALTS` tasks,
 3. sum the counts per ``(group, range)`` and run them up: at most ``RANGES``
    small rows per group,
 4. order only inside ``(group, range)``, which spreads one hot group over many tasks.
@@ -25,10 +25,12 @@ from pyspark.sql.window import Window
 
 # ranges per group: a power of two, found by binary search in the bounds
 RANGES = 128
-# tasks in which the values of one group meet its bounds
+# tasks in which the values of a heavy group meet its bounds
 SALTS = 32
+# share of all distinct values from which a group is heavy: there are fewer than 200 such groups
+HEAVY_SHARE = 0.005
 _N, _TOTAL, _BELOW = "_sw_n", "_sw_total", "_sw_below"
-_BOUNDS, _RANGE, _START, _SALT = "_sw_bounds", "_sw_range", "_sw_start", "_sw_salt"
+_BOUNDS, _RANGE, _START, _SALT, _HEAVY = "_sw_bounds", "_sw_range", "_sw_start", "_sw_salt", "_sw_heavy"
 
 
 def value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
@@ -53,6 +55,13 @@ def _locate(df: DataFrame, value: str, ranges: int) -> DataFrame:
     return df
 
 
+def _heavy_groups(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Groups with more than :data:`HEAVY_SHARE` of the distinct values; bounded by that share, so it may be broadcast."""
+    sizes = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("_sw_values"))
+    total = sizes.agg(F.sum("_sw_values").cast("double")).scalar()
+    return F.broadcast(sizes.filter(F.col("_sw_values") > total * HEAVY_SHARE).select(*by, F.lit(True).alias(_HEAVY)))
+
+
 def _ranged(counts: DataFrame, by: Sequence[str], value: str, ranges: int) -> tuple[DataFrame, DataFrame]:
     """Counts with their range number and group total, and the start and size of each range."""
     shares = [(i + 1) / ranges for i in range(ranges - 1)]
@@ -60,8 +69,11 @@ def _ranged(counts: DataFrame, by: Sequence[str], value: str, ranges: int) -> tu
     sketch = F.array_distinct(F.percentile_approx(value, shares, F.lit(20 * ranges))).alias(_BOUNDS)
     bounds = counts.groupBy(*by).agg(sketch, F.sum(_N).alias(_TOTAL))
     if by:
-        salted = counts.withColumn(_SALT, F.pmod(F.hash(value), F.lit(SALTS)))
-        copies = bounds.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        heavy = _heavy_groups(counts, by)
+        salt = F.when(F.col(_HEAVY), F.pmod(F.hash(value), F.lit(SALTS))).otherwise(F.lit(0))
+        salted = counts.join(heavy, list(by), "left").withColumn(_SALT, salt).drop(_HEAVY)
+        last = F.when(F.col(_HEAVY), F.lit(SALTS - 1)).otherwise(F.lit(0))
+        copies = bounds.join(heavy, list(by), "left").withColumn(_SALT, F.explode(F.sequence(F.lit(0), last))).drop(_HEAVY)
         placed = salted.join(copies, [*by, _SALT]).drop(_SALT)
     else:
         one = bounds.select(F.struct(_BOUNDS, _TOTAL)).scalar()

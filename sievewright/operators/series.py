@@ -1,5 +1,11 @@
 """Time series of counts. Rows are counted per period before anything else, so
-windows and spines only see one row per period (and category)."""
+windows and spines only see one row per period (and category).
+
+Series of days, weeks and months fit one task. Series of minutes or seconds can
+be long: :func:`counts_per_step` and the functions on its result cut them into
+blocks of consecutive places. A window reaches into its neighbours by copies of
+their boundary rows, so no task gets more than a block and its halo.
+"""
 
 from __future__ import annotations
 
@@ -174,3 +180,80 @@ def autocorrelation(series: DataFrame, lags: int) -> DataFrame:
     # lag 0 is the sum of squares
     square = F.first(F.when(F.col("lag") == 0, F.col("p")), ignorenulls=True).over(Window.partitionBy())
     return products.select("lag", F.try_divide(F.col("p"), square).alias("acf"))
+
+
+# ------------------------------------------------------------------ long series
+
+#: Places of a long series that one window partition holds.
+BLOCK = 1 << 16
+
+
+def counts_per_step(df: DataFrame, time: str, seconds: int = 60) -> DataFrame:
+    """``(place, at, rows)`` for every step from the first to the last, ``place`` from 0. Runs a job for both ends.
+
+    The steps are a distributed range, not an array in one row. Without times
+    there are no steps.
+    """
+    step = F.floor(X.wall_micros(F.col(time)) / F.lit(1_000_000 * seconds)).cast("bigint")
+    counts = df.filter(F.col(time).isNotNull()).groupBy(step.alias("_sw_step")).agg(F.count("*").alias("rows"))
+    ends = df.filter(F.col(time).isNotNull()).agg(F.min(step), F.max(step)).first()
+    first, last = ends if ends[0] is not None else (0, -1)
+    steps = df.sparkSession.range(first, last + 1).withColumnRenamed("id", "_sw_step")
+    joined = steps.join(counts, "_sw_step", "left")
+    place = (F.col("_sw_step") - F.lit(first)).alias("place")
+    return joined.select(place, F.timestamp_seconds(F.col("_sw_step") * seconds).alias("at"), F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
+def with_halo(series: DataFrame, before: int, after: int, block: int = BLOCK) -> DataFrame:
+    """The rows under ``_sw_block``, the blocks whose windows they are in, and ``_sw_own``, whether it is their block.
+
+    ``before`` and ``after`` say how many places a window reaches. A row goes to
+    every block with a place that reaches it, so the copies are a window's width
+    per block.
+    """
+    first = F.floor((F.col("place") - after) / F.lit(block)).cast("bigint")
+    last = F.floor((F.col("place") + before) / F.lit(block)).cast("bigint")
+    own = F.floor(F.col("place") / F.lit(block)).cast("bigint")
+    dealt = series.withColumn("_sw_block", F.explode(F.sequence(first, last)))
+    return dealt.withColumn("_sw_own", F.col("_sw_block") == own)
+
+
+def _own(df: DataFrame) -> DataFrame:
+    return df.filter("_sw_own").drop("_sw_own", "_sw_block")
+
+
+def rolling_mean_of_steps(series: DataFrame, size: int, block: int = BLOCK) -> DataFrame:
+    """:func:`rolling_mean` of a long dense series ``(place, at, rows)``."""
+    window = Window.partitionBy("_sw_block").orderBy("place").rowsBetween(-(size - 1), 0)
+    mean = F.when(F.count("rows").over(window) == size, F.avg("rows").over(window))
+    return _own(with_halo(series, size - 1, 0, block).withColumn("rolling_mean", mean))
+
+
+def decompose_steps(series: DataFrame, period: int, block: int = BLOCK) -> DataFrame:
+    """:func:`decompose` of a long dense series ``(place, at, rows)``."""
+    if period % 2 == 0:
+        raise ValueError("the period must be odd")
+    half = period // 2
+    around = Window.partitionBy("_sw_block").orderBy("place").rowsBetween(-half, half)
+    trend = F.when(F.count("rows").over(around) == period, F.avg("rows").over(around))
+    placed = _own(with_halo(series, half, half, block).withColumn("trend", trend))
+    placed = placed.withColumn("position", F.col("place") % period)
+    # sums of whole numbers and of the trend, one row per position
+    by_position = placed.groupBy("position").agg(F.avg(F.col("rows") - F.col("trend")).alias("raw"))
+    seasonal = by_position.withColumn("seasonal", F.col("raw") - by_position.agg(F.avg("raw")).scalar())
+    joined = placed.join(seasonal.select("position", "seasonal"), "position")
+    residual = F.col("rows") - F.col("trend") - F.col("seasonal")
+    return joined.select("place", "at", "rows", "trend", "seasonal", residual.alias("residual"))
+
+
+def autocorrelation_of_steps(series: DataFrame, lags: int, block: int = BLOCK) -> DataFrame:
+    """:func:`autocorrelation` of a long dense series ``(place, at, rows)``: products per block, added up."""
+    mean = series.agg(F.avg("rows")).scalar()
+    centred = series.select("place", (F.col("rows") - mean).alias("x"))
+    earlier = Window.partitionBy("_sw_block").orderBy("place")
+    dealt = with_halo(centred, lags, 0, block)
+    # the halo holds the last rows before the block, so a lag that is null lies before the series
+    products = [(F.col("x") * F.lag("x", i).over(earlier)).alias(f"_{i}") for i in range(lags + 1)]
+    sums = _own(dealt.select("_sw_own", "_sw_block", *products)).agg(*[F.sum(f"_{i}").alias(f"_{i}") for i in range(lags + 1)])
+    entries = [F.struct(F.lit(i).alias("lag"), F.try_divide(F.col(f"_{i}"), F.col("_0")).alias("acf")) for i in range(lags + 1)]
+    return sums.select(F.inline(F.array(*entries)))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -84,6 +86,42 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*entries)))
 
 
+def gram_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """:func:`correlation_matrix` for many columns: three matrix products per Arrow batch in place of an aggregate per pair.
+
+    With missing values as 0 and masks of what is present, the products of values
+    by values, values by masks, squares by masks and masks by masks hold all sums
+    of every pairwise complete pair. A task adds them up and gives a row per pair.
+    Values are taken from the column's mean, known by a first pass, so that the
+    sums are well conditioned. NaN is missing; infinite values make r NaN.
+    """
+    names, p = list(columns), len(columns)
+    numbers = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)).alias(f"_{i}") for i, c in enumerate(names)])
+    means = numbers.agg(*[F.avg(c).alias(c) for c in numbers.columns]).first()  # one row
+    centre = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in means])
+    upper = np.triu_indices(p, 1)
+    sums = ("n", "sx", "sy", "sxx", "syy", "sxy")
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, p, p))
+        for batch in batches:
+            raw = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(np.float64)
+            present = ~np.isnan(raw)
+            x, mask = np.where(present, raw - centre, 0.0), present.astype(np.float64)
+            total += np.stack([mask.T @ mask, x.T @ mask, (x * x).T @ mask, x.T @ x])
+        n, s, q, c = total
+        i, j = upper
+        values = [n[i, j], s[i, j], s[j, i], q[i, j], q[j, i], c[i, j]]
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), *map(pa.array, values)], names=["i", "j", *sums])
+
+    schema = "i int, j int, " + ", ".join(f"{c} double" for c in sums)
+    totals = numbers.mapInArrow(products, schema).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in sums])
+    n, sx, sy, sxx, syy, sxy = map(F.col, sums)
+    spread = F.sqrt(n * sxx - sx * sx) * F.sqrt(n * syy - sy * sy)
+    labels = F.array(*map(F.lit, names))
+    return totals.select(labels[F.col("i")].alias("a"), labels[F.col("j")].alias("b"), F.try_divide(n * sxy - sx * sy, spread).alias("r"))
+
+
 def strong_pairs(df: DataFrame, columns: Sequence[str], threshold: float) -> DataFrame:
     return correlation_matrix(df, columns).filter(F.abs("r") > threshold)
 

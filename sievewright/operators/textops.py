@@ -82,6 +82,38 @@ def top_unigrams(df: DataFrame, text: str, stop_words: Sequence[str], n: int) ->
     return counts.orderBy(F.desc("rows"), "term").limit(n)
 
 
+def top_by_bounds(terms: DataFrame, term: str, n: int, buckets: int = 1 << 16, first: int = 16) -> DataFrame:
+    """:func:`top_unigrams` of a column of terms that shuffles few of them. Runs two jobs.
+
+    Terms are counted per hash bucket first, ``buckets`` rows per task however
+    many terms there are; a bucket's count bounds the count of every term in it.
+    The terms of the ``first * n`` fullest buckets are counted, and the n-th of
+    them bounds the n-th of all from below. Only terms of buckets that reach this
+    bound can be among the first n, and the others never leave their tasks. The
+    source is read three times. Exact, ties by term; null terms are no terms.
+    """
+    placed = terms.select(term, F.pmod(F.xxhash64(term), F.lit(buckets)).alias("_sw_bucket")).filter(F.col(term).isNotNull())
+    bounds = placed.groupBy("_sw_bucket").agg(F.count(F.lit(1)).alias("rows"))
+    ranked = bounds.orderBy(F.desc("rows"), "_sw_bucket").collect()  # one row per bucket
+
+    def counted(chosen: Sequence[int]) -> DataFrame:
+        keys = terms.sparkSession.createDataFrame([(b,) for b in chosen], "_sw_bucket bigint")
+        kept = placed.join(F.broadcast(keys), "_sw_bucket", "left_semi")  # no more rows than buckets
+        return kept.groupBy(term).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), term).limit(n)
+
+    found = counted([r["_sw_bucket"] for r in ranked[: first * n]]).collect()  # n rows
+    least = found[-1]["rows"] if len(found) == n else 0
+    return counted([r["_sw_bucket"] for r in ranked if r["rows"] >= least])
+
+
+def bigrams(df: DataFrame, text: str, stop_words: Sequence[str]) -> DataFrame:
+    """``(term)``: every pair of neighbours after stop words are gone."""
+    split = df.select(tokens(F.col(text), stop_words).alias("t"))
+    last = F.greatest(F.size("t") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("t", F.lit(1), last), F.slice("t", F.lit(2), last), lambda a, b: F.concat_ws(" ", a, b))
+    return split.select(F.explode(pairs).alias("term"))
+
+
 def top_bigrams(df: DataFrame, text: str, stop_words: Sequence[str], n: int) -> DataFrame:
     """Most frequent neighbours after stop words are gone (linear in the text)."""
     split = df.select(tokens(F.col(text), stop_words).alias("t"))

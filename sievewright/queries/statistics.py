@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -149,6 +151,24 @@ def correlation_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(stats.correlation_matrix(table(spark, folder, "lineitem"), _NUMBERS))
 
 
+_MANY = {f"m{i}": (a, k) for i, (a, k) in enumerate((a, k) for a in ("l_quantity", "l_extendedprice", "l_discount", "l_tax") for k in range(2, 7))}
+
+
+def _many_sql() -> str:
+    """Powers of four columns, each with gaps of its own."""
+    made = ", ".join(f"CASE WHEN (l_partkey + {i}) % {k + 1} <> 0 THEN pow({a}, 1.0 / {k}) END AS {m}" for i, (m, (a, k)) in enumerate(_MANY.items()))
+    pairs = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM many" for a, b in combinations(_MANY, 2))
+    return f"WITH many AS MATERIALIZED (SELECT {made} FROM lineitem) {pairs}"
+
+
+@query("correlation_of_many_columns", _many_sql())
+def correlation_of_many_columns(spark: SparkSession, folder: str) -> DataFrame:
+    made = [
+        F.when((F.col("l_partkey") + i) % (k + 1) != 0, F.pow(a, F.lit(1.0 / k))).alias(m) for i, (m, (a, k)) in enumerate(_MANY.items())
+    ]
+    return rounded(stats.gram_correlations(table(spark, folder, "lineitem").select(*made), list(_MANY)))
+
+
 @query("correlation_strong_pairs", f"SELECT * FROM ({_PAIRS}) WHERE abs(r) > 0.001")
 def correlation_strong_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(stats.strong_pairs(table(spark, folder, "lineitem"), _NUMBERS, 0.001))

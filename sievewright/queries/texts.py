@@ -127,14 +127,20 @@ def text_top_unigrams(spark: SparkSession, folder: str) -> DataFrame:
     return textops.top_unigrams(table(spark, folder, "documents"), "text", defaults.TITLE_STOP_WORDS, 25)
 
 
-@query(
-    "text_top_bigrams",
-    f"""
+_TOP_BIGRAMS = f"""
     WITH {_TOKENS},
     pairs AS (SELECT unnest(list_zip(t[1:len(t) - 1], t[2:])) AS p FROM tokens WHERE len(t) > 1)
     SELECT p[1] || ' ' || p[2] AS term, count(*) AS rows FROM pairs GROUP BY 1 ORDER BY rows DESC, term LIMIT 25
-    """,
-)
+"""
+
+
+@query("text_top_bigrams_by_bounds", _TOP_BIGRAMS)
+def text_top_bigrams_by_bounds(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = textops.bigrams(table(spark, folder, "documents"), "text", defaults.TITLE_STOP_WORDS)
+    return textops.top_by_bounds(pairs, "term", 25, buckets=1 << 14)
+
+
+@query("text_top_bigrams", _TOP_BIGRAMS)
 def text_top_bigrams(spark: SparkSession, folder: str) -> DataFrame:
     return textops.top_bigrams(table(spark, folder, "documents"), "text", defaults.TITLE_STOP_WORDS, 25)
 

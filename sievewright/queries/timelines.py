@@ -262,3 +262,57 @@ def series_decomposition(spark: SparkSession, folder: str) -> DataFrame:
 def series_autocorrelation(spark: SparkSession, folder: str) -> DataFrame:
     daily = series.counts_per_period(table(spark, folder, "orders"), "o_orderdate")
     return rounded(series.autocorrelation(daily, 30))
+
+
+_MINUTES = """
+    steps AS (SELECT floor(epoch_us(ts) / 60000000)::BIGINT AS m, count(*) AS n FROM events GROUP BY 1),
+    spine AS (SELECT unnest(range((SELECT min(m) FROM steps), (SELECT max(m) + 1 FROM steps))) AS m),
+    minutes AS (SELECT row_number() OVER (ORDER BY m) - 1 AS place, coalesce(n, 0) AS rows FROM spine LEFT JOIN steps USING (m))
+"""
+
+
+def _minutes(spark: SparkSession, folder: str) -> DataFrame:
+    return series.counts_per_step(table(spark, folder, "events"), "ts", 60)
+
+
+@query(
+    "series_rolling_mean_by_minute",
+    f"""
+    WITH {_MINUTES}
+    SELECT place, rows, coalesce(CASE WHEN count(*) OVER w = 90 THEN round(avg(rows) OVER w, 6) END, -1) AS rolling_mean
+    FROM minutes WINDOW w AS (ORDER BY place ROWS BETWEEN 89 PRECEDING AND CURRENT ROW)
+    """,
+)
+def series_rolling_mean_by_minute(spark: SparkSession, folder: str) -> DataFrame:
+    rolled = series.rolling_mean_of_steps(_minutes(spark, folder), 90, block=4096)
+    return rounded(rolled.drop("at")).fillna(-1.0, subset=["rolling_mean"])
+
+
+@query(
+    "series_decomposition_by_minute",
+    f"""
+    WITH {_MINUTES},
+    t AS (SELECT place, rows, place % 61 AS pos, CASE WHEN count(*) OVER w = 61 THEN avg(rows) OVER w END AS trend
+          FROM minutes WINDOW w AS (ORDER BY place ROWS BETWEEN 30 PRECEDING AND 30 FOLLOWING)),
+    p AS (SELECT pos, avg(rows - trend) AS raw FROM t GROUP BY pos),
+    s AS (SELECT pos, raw - (SELECT avg(raw) FROM p) AS seasonal FROM p)
+    SELECT place, rows, round(coalesce(trend, -1), 6) AS trend, round(seasonal, 6) AS seasonal,
+           round(coalesce(rows - trend - seasonal, -999), 6) AS residual FROM t JOIN s USING (pos)
+    """,
+)
+def series_decomposition_by_minute(spark: SparkSession, folder: str) -> DataFrame:
+    parts = series.decompose_steps(_minutes(spark, folder), 61, block=4096).drop("at")
+    return rounded(parts.fillna({"trend": -1.0, "residual": -999.0}))
+
+
+@query(
+    "series_autocorrelation_by_minute",
+    f"""
+    WITH {_MINUTES},
+    x AS (SELECT place, rows - (SELECT avg(rows) FROM minutes) AS x FROM minutes)
+    SELECT lag::INT AS lag, round(sum(a.x * b.x) / (SELECT sum(x * x) FROM x), 6) AS acf
+    FROM range(31) AS l(lag) JOIN x a ON true JOIN x b ON b.place = a.place + lag GROUP BY lag
+    """,
+)
+def series_autocorrelation_by_minute(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(series.autocorrelation_of_steps(_minutes(spark, folder), 30, block=4096))
