@@ -58,35 +58,42 @@ class _Right:
     flag: str
 
 
-def _heavy_keys(fact: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Values of ``by`` that hold more than :data:`HEAVY_SHARE` of the rows: a bounded table.
+def _heavy_keys(fact: DataFrame, by: Sequence[str]) -> DataFrame | None:
+    """Values of ``by`` that hold more than :data:`HEAVY_SHARE` of the rows, null keys aside; None if there are none.
 
-    Counted in partial aggregates over the key columns alone.
+    Runs a job: partial counts over the key columns alone. The values, fewer than
+    the inverse of the share, become a literal table, so the plans of the fact and
+    of every table joined on the key do not each find them again.
     """
-    rows = fact.agg(F.count(F.lit(1)).alias("n")).scalar()
     counts = fact.groupBy(*by).agg(F.count(F.lit(1)).alias("_sw_n"))
-    return counts.filter(F.col("_sw_n") > rows * HEAVY_SHARE).select(*by)
+    rows = counts.agg(F.sum("_sw_n")).scalar()
+    found = counts.filter((F.col("_sw_n") > rows * HEAVY_SHARE) & F.col(by[-1]).isNotNull()).select(*by)
+    keys = found.collect()
+    return fact.sparkSession.createDataFrame(keys, found.schema) if keys else None
 
 
-def _with_salt(df: DataFrame, heavy: DataFrame, by: Sequence[str], salt: str) -> DataFrame:
-    """``df`` with a salt: spread for heavy keys and for null ones, 0 for all others."""
+def _marked(df: DataFrame, heavy: DataFrame | None, by: Sequence[str]) -> DataFrame:
+    """``df`` with ``_sw_wide``, true where the key is heavy or null."""
+    bare = F.col(by[-1]).isNull()
+    if heavy is None:
+        return df.withColumn("_sw_wide", bare)
     mark = heavy.select(*[F.col(c).alias(f"_sw_heavy_{i}") for i, c in enumerate(by)], F.lit(True).alias("_sw_is_heavy"))
     on = reduce(lambda a, b: a & b, [df[c].eqNullSafe(mark[f"_sw_heavy_{i}"]) for i, c in enumerate(by)])
     marked = df.join(F.broadcast(mark), on, "left")
+    return marked.withColumn("_sw_wide", F.coalesce("_sw_is_heavy", F.lit(False)) | bare).drop(*mark.columns)
+
+
+def _with_salt(df: DataFrame, heavy: DataFrame | None, by: Sequence[str], salt: str) -> DataFrame:
+    """``df`` with a salt: spread for heavy keys and for null ones, 0 for all others."""
     # any value of the row will do, as long as a repeated task finds the same
     spread = F.pmod(F.xxhash64(*[c for c, t in df.dtypes if "map" not in t]), F.lit(SALTS)).cast("int")
-    wide = F.col("_sw_is_heavy") | F.col(by[-1]).isNull()
-    return marked.withColumn(salt, F.when(wide, spread).otherwise(0)).drop(*mark.columns)
+    return _marked(df, heavy, by).withColumn(salt, F.when(F.col("_sw_wide"), spread).otherwise(0)).drop("_sw_wide")
 
 
-def _copies(rows: DataFrame, heavy: DataFrame, by: Sequence[str], salt: str) -> DataFrame:
-    """``rows`` with the salt 0, and with every salt where the key is heavy."""
-    mark = heavy.withColumn("_sw_is_heavy", F.lit(True))
-    on = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(mark[c]) for c in by])
-    marked = rows.join(F.broadcast(mark), on, "left").select(*[rows[c] for c in rows.columns], "_sw_is_heavy")
-    wide = F.col("_sw_is_heavy") | F.col(by[-1]).isNull()
-    salts = F.when(wide, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    return marked.withColumn(salt, F.explode(salts)).drop("_sw_is_heavy")
+def _copies(rows: DataFrame, heavy: DataFrame | None, by: Sequence[str], salt: str) -> DataFrame:
+    """``rows`` with the salt 0, and with every salt where the key is heavy or null."""
+    salts = F.when(F.col("_sw_wide"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return _marked(rows, heavy, by).withColumn(salt, F.explode(salts)).drop("_sw_wide")
 
 
 def _join_on_key(
@@ -252,7 +259,8 @@ def build_master(
 
     Disabled specs and absent tables are recorded as skipped. Null keys match
     nothing unless ``null_safe``. With ``scope`` (the version column) all versions
-    are joined in one plan.
+    are joined in one plan. Runs one small job per key joined on, for its heavy
+    values; the joins themselves are lazy.
     """
     rights, skipped = _rights(fact, tables, dimensions, snapshots, bridges, order_by, scope)
     df = fact

@@ -92,7 +92,7 @@ def align_versions(
 
 
 def plan_dataset(aligned: Mapping[str, DataFrame], plan: DatasetPlan = DEFAULT_PLAN) -> DatasetRun:
-    """Lazy plans of all stages over aligned tables; runs no job.
+    """Lazy plans of all stages over aligned tables; only the heavy keys of the joins are counted at once.
 
     The tables carry ``dataset_version`` and ``_ingest_id``. Keys, joins and
     checks hold within a version.

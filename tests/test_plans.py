@@ -107,3 +107,23 @@ def test_hot_and_null_keys_are_dealt_to_many_tasks(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def scans(df) -> int:
+    """Table scans of the plan that ran."""
+    df.collect()
+    return physical(df).split("== Initial Plan ==")[0].count("FileScan parquet")
+
+
+@needs_tables
+def test_heavy_keys_are_found_once_per_key(spark):
+    """Three tables on two keys of a fact: one scan of the fact, and no scan per table to find its heavy keys."""
+    assert scans(catalog.QUERIES["master_full"](spark, FOLDER)) <= 10
+
+
+@needs_tables
+def test_validation_scans_each_table_twice_at_most(spark):
+    """Four tables: row rules in one pass, all unique keys and references in another."""
+    plan = catalog.QUERIES["validate_summary"](spark, FOLDER)
+    assert scans(plan) <= 8
+    assert physical(plan).split("== Initial Plan ==")[0].count("Join") == 0
