@@ -10,9 +10,10 @@ end, and a class by shape for all others. A word's probability within its
 class follows its count. The parameters start from the plain frequencies of the
 symbols with seeded noise; then every round of Baum-Welch runs over all
 training documents, in segments of at most ``segment`` tokens, and its expected
-counts are summed across partitions. Documents are written once as symbols, so
-that rounds do not read texts. A document's likelihood is exact: the scaled
-forward recursion runs over its whole sequence, many documents at a time.
+counts are summed across partitions. Documents are written once as symbols, with
+the sums over their words; rounds and scores read those and no texts. A
+document's likelihood is exact: the scaled forward recursion runs over its whole
+sequence, many documents at a time.
 
 Null and empty texts are the end alone. Null doc_ids are learned from. Without
 training documents all counts are 0 and every symbol is as likely as any
@@ -27,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.llm.common import as_bytes, bound_batches, materialize
@@ -44,17 +45,10 @@ class HmmRules:
     symbols: int = 1 << 14
     frequent: int = 1 << 18  # at most
     segment: int = 256
-    sample_documents: int = 1500  # no longer read: no round is held to a sample
-    # rounds over all training documents: the sum of both
-    sample_iterations: int = 12
-    iterations: int = 2
+    rounds: int = 14  # of Baum-Welch, each over all training documents
     smoothing: float = 50.0
     seed: int = 5
 
-    @property
-    def rounds(self) -> int:
-        return self.sample_iterations + self.iterations
-
 
 RULES = HmmRules()
 #: Different words a task holds before it hands their counts on.
@@ -286,18 +280,39 @@ def _first_model(plain: np.ndarray, rules: HmmRules) -> Hmm:
     return Hmm(np.full(k, 1 / k), np.full((k, k), 0.2 / k) + 0.8 * np.eye(k), emit / emit.sum(axis=0))
 
 
-def _encoded(training: DataFrame, words: Vocabulary) -> DataFrame:
-    """(symbols): every document of ``training`` (text) as the bytes of its symbols' numbers; written once for all rounds."""
-    shared = training.sparkSession.sparkContext.broadcast(words)
+def encode_documents(docs: DataFrame, words: Vocabulary) -> DataFrame:
+    """Every row of ``docs`` (doc_id, text) as the bytes of its symbols' numbers, and what its score needs beside them.
+
+    Written once for all rounds and scores: (row, doc_id, symbols, n_tokens,
+    n_frequent, logs, inside, rare, times). ``logs`` and ``inside`` are sums of
+    log10 over its frequent words; ``rare`` are its other words.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(words)
     kind = _number(words.symbols)
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, symbols binary, n_tokens long, n_frequent long, logs double, inside double, rare array<binary>, times array<int>"
+    names = [part.split()[0] for part in schema.split(", ")]
+    types = [pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
         for batch in batches:
-            made = [words.encode(t)[0].astype(kind).tobytes() for t in as_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["symbols"])
+            rows = []
+            for data in as_bytes(batch.column("text")):
+                symbols, places, rare = words.encode(data)
+                frequent = places[places >= 0]
+                outside = symbols >= words.own
+                own = words.log_counts[places]
+                # log10(count + 0.5) of frequent words, and of those among them that are no symbols
+                logs, classed = own[places >= 0].sum(), own[(places >= 0) & outside].sum()
+                inside = classed - words.log_class[symbols[outside]].sum()
+                known, held = int(words.known[frequent].sum()), Counter(rare)
+                rows.append((symbols.astype(kind).tobytes(), len(symbols), known, float(logs), float(inside), list(held), list(held.values())))
+            columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=names)
 
-    written = materialize(training.select("text").mapInArrow(run, "symbols binary"))
+    made = docs.select("doc_id", "text").mapInArrow(run, schema)
+    # the number of a row is fixed once it is written
+    written = materialize(made.withColumn("row", F.monotonically_increasing_id()))
     shared.unpersist()
     return written
 
@@ -337,62 +352,65 @@ def _iteration(encoded: DataFrame, model: Hmm, plain: np.ndarray, rules: HmmRule
     return _maximize(start, moves, emit, plain, rules.smoothing)
 
 
+def learn(encoded: DataFrame, words: Vocabulary, rules: HmmRules = RULES) -> Hmm:
+    """The model from the symbols of the training documents."""
+    plain = (words.counts + 0.5) / (words.counts + 0.5).sum()
+    model = _first_model(plain, rules)
+    for _ in range(rules.rounds if words.total else 0):
+        model = _iteration(encoded.select("symbols"), model, plain, rules)
+    return model
+
+
 def train(training: DataFrame, rules: HmmRules = RULES) -> tuple[DataFrame, Vocabulary, Hmm]:
     """Counts of all words, the vocabulary and the model, from ``training`` (doc_id, text)."""
     bound_batches(training.sparkSession)
     counts = materialize(count_words(training))
     words = vocabulary(counts, rules)
-    plain = (words.counts + 0.5) / (words.counts + 0.5).sum()
-    model = _first_model(plain, rules)
-    if words.total:
-        encoded = _encoded(training, words)
-        for _ in range(rules.rounds):
-            model = _iteration(encoded, model, plain, rules)
-    return counts, words, model
+    return counts, words, learn(encode_documents(training, words), words, rules)
 
 
 def score(docs: DataFrame, counts: DataFrame, words: Vocabulary, model: Hmm) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) for every row of ``docs`` (doc_id, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast((words, model))
-    kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, n_tokens long, n_frequent long, logs double, inside double, chain double, rare array<binary>, times array<int>"
-    names = [part.split()[0] for part in schema.split(", ")]
+    return score_encoded(encode_documents(docs, words), counts, words, model)
+
+
+def train_and_score(docs: DataFrame, held_out: Column, rules: HmmRules = RULES) -> tuple[DataFrame, Vocabulary, Hmm]:
+    """The scores of every row of ``docs`` (doc_id, text), learned from those that ``held_out`` (of doc_id) leaves.
+
+    All texts are encoded once; rounds read the training rows of that table, and
+    scores read all of it.
+    """
+    bound_batches(docs.sparkSession)
+    counts = materialize(count_words(docs.filter(~held_out)))
+    words = vocabulary(counts, rules)
+    encoded = encode_documents(docs, words)
+    model = learn(encoded.filter(~held_out), words, rules)
+    return score_encoded(encoded, counts, words, model), words, model
+
+
+def score_encoded(encoded: DataFrame, counts: DataFrame, words: Vocabulary, model: Hmm) -> DataFrame:
+    """:func:`score` of encoded documents."""
+    shared = encoded.sparkSession.sparkContext.broadcast(model)
+    kind, types = _number(words.symbols), dict(encoded.dtypes)
+    kept = ["row", "doc_id", "n_tokens", "n_frequent", "logs", "inside"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, model = shared.value
         for batch in batches:
-            sequences, rows = [], []
-            for data in as_bytes(batch.column("text")):
-                symbols, places, rare = words.encode(data)
-                sequences.append(symbols)
-                frequent = places[places >= 0]
-                outside = symbols >= words.own
-                own = words.log_counts[places]
-                # log10(count + 0.5) of frequent words, and of those among them that are no symbols
-                logs, classed = own[places >= 0].sum(), own[(places >= 0) & outside].sum()
-                inside = classed - words.log_class[symbols[outside]].sum()
-                held = Counter(rare)
-                rows.append((len(symbols), int(words.known[frequent].sum()), float(logs), float(inside), list(held), list(held.values())))
-            if not rows:
-                continue
-            chain = model.log10(sequences)
-            n, known, logs, inside, rare, times = zip(*rows, strict=True)
-            arrays = [
-                batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(logs), pa.array(inside),
-                pa.array(chain), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32())),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    # the number of a row is fixed once it is written
-    local = materialize(docs.select("doc_id", "text").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()))
-    pairs = local.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
+            sequences = [np.frombuffer(s, kind) for s in batch.column("symbols").to_pylist()]
+            if sequences:
+                chain = pa.array(shared.value.log10(sequences))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), chain], names=[*kept, "chain"])
+
+    schema = ", ".join(f"{c} {types[c]}" for c in kept) + ", chain double"
+    local = encoded.select(*kept, "symbols").mapInArrow(run, schema)
+    pairs = encoded.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
     n = F.coalesce("n", F.lit(0))
     found = pairs.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(n + 0.5)).alias("rare_logs"),
         F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("rare_known"),
     )
     divisor = float(np.log10(words.total + 0.5 * (words.distinct + 1)))
-    joined = local.drop("rare", "times").join(found, "row", "left").na.fill(0, ["rare_logs", "rare_known"])
+    joined = local.join(found, "row", "left").na.fill(0, ["rare_logs", "rare_known"])
     return joined.select(
         "doc_id",
         "n_tokens",

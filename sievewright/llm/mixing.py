@@ -59,14 +59,15 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return levels.select("source", "source_size", target.alias("target"), rate.alias("rate"))
 
 
-def draw(key: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) from the text of ``key``."""
-    text = F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("")))
+def draw(key: Column, otherwise: Column, seed: str = SEED) -> Column:
+    """A number in [0, 1) from the text of ``key``, or from the text ``otherwise`` where there is no key."""
+    instead = F.concat(F.lit("text:"), F.coalesce(otherwise, F.lit("")))
+    text = F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), instead))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, _HASH_DIGITS), 16, 10).cast("double") / float(16**_HASH_DIGITS)
 
 
-def copies(rate: Column, key: Column, seed: str = SEED) -> Column:
-    extra = draw(key, seed) < rate - F.floor(rate)
+def copies(rate: Column, key: Column, otherwise: Column, seed: str = SEED) -> Column:
+    extra = draw(key, otherwise, seed) < rate - F.floor(rate)
     return (F.floor(rate) + F.when(extra, 1).otherwise(0)).cast("long")
 
 
@@ -92,7 +93,7 @@ def with_copies(
         F.col(f"{share}.source_size").alias("source_size"),
         F.col(f"{share}.target").alias("target"),
         rate.alias("rate"),
-        copies(rate, F.col(f"`{id_column}`"), seed).alias("copies"),
+        copies(rate, F.col(f"`{id_column}`"), F.col(f"`{text_column}`"), seed).alias("copies"),
     )
     return joined.withColumn(result, made).drop(source, share)
 

@@ -154,7 +154,7 @@ def mixed_sql(documents: str = "documents") -> str:
     rates AS (SELECT source, source_size, least(most::DOUBLE, level * weight) AS target,
         CASE WHEN source_size > 0 THEN least(most::DOUBLE, level * weight) / source_size ELSE 0.0 END AS rate FROM levels),
     mixed AS (SELECT d.*, source_size, target, rate, (floor(rate) + CASE WHEN
-        CAST('0x' || md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, ''))[1:{mixing._HASH_DIGITS}] AS BIGINT)::DOUBLE / {float(16**mixing._HASH_DIGITS)!r}
+        CAST('0x' || md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'text:' || coalesce(text, '')))[1:{mixing._HASH_DIGITS}] AS BIGINT)::DOUBLE / {float(16**mixing._HASH_DIGITS)!r}
         < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS copies
         FROM sized d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source)
     """
@@ -202,8 +202,7 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_lm_scoring")
 def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    counts, words, model = hmm.train(docs.filter(~is_fold("doc_id", 5, 1)))
-    scored = hmm.score(docs, counts, words, model)
+    scored, words, _ = hmm.train_and_score(docs, is_fold("doc_id", 5, 1))
     held, total = is_fold("doc_id", 5, 1).alias("held_out"), F.lit(words.total).cast("long").alias("train_tokens")
     return scored.select("doc_id", held, "n_tokens", "n_known", total, "base_score", "score")
 

@@ -29,12 +29,16 @@ _BASE = np.uint64(0xD6E8FEB86659FD93)
 
 @dataclass(frozen=True)
 class RepetitionRules:
-    """Limits in percent of the characters that stand in words."""
+    """Limits in percent of the characters that stand in words.
+
+    They fall with the length of the n-gram, as a repeated long one is the surer
+    sign; those of published rules for web corpora.
+    """
 
     min_words: int = 50
     max_repeat_words: int = 50
-    ngram_limits: tuple[tuple[int, int], ...] = ((5, 40), (7, 40), (10, 40))
-    max_line_characters: int = 40
+    ngram_limits: tuple[tuple[int, int], ...] = ((5, 15), (7, 13), (10, 10))
+    max_line_characters: int = 20
 
 
 RULES = RepetitionRules()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from sievewright.llm import hmm
 from sievewright.llm.common import is_fold
 
-RULES = hmm.HmmRules(states=2, symbols=6, frequent=9, segment=5, sample_documents=20, sample_iterations=3, iterations=1, smoothing=1.0)
+RULES = hmm.HmmRules(states=2, symbols=6, frequent=9, segment=5, rounds=4, smoothing=1.0)
 
 
 def model(k=3, symbols=5, seed=1):
@@ -106,6 +106,17 @@ def test_scores_equal_plain_python(spark):
         assert found[:3] == wanted[:3] and found[3:] == pytest.approx(wanted[3:], rel=1e-9)
 
 
+def test_one_encoding_serves_training_and_scores(spark):
+    docs = spark.createDataFrame(rows(), "doc_id long, text string")
+    held = is_fold("doc_id", 5, 1)
+    counts, words, trained = hmm.train(docs.filter(~held), RULES)
+    found, _, model = hmm.train_and_score(docs, held, RULES)
+    assert np.allclose(model.emit, trained.emit) and np.allclose(model.moves, trained.moves)
+    order = lambda r: (str(r[0]), r[1], r[3])
+    pairs = zip(sorted(map(tuple, found.collect()), key=order), sorted(map(tuple, hmm.score(docs, counts, words, trained).collect()), key=order), strict=True)
+    assert all(a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], rel=1e-9) for a, b in pairs)
+
+
 def test_all_symbols_of_a_state_sum_to_one(spark):
     docs = spark.createDataFrame(rows(), "doc_id long, text string")
     _, words, trained = hmm.train(docs, RULES)
@@ -121,7 +132,7 @@ def test_every_round_covers_all_training_documents(spark):
     plain = (words.counts + 0.5) / (words.counts + 0.5).sum()
     emit = plain[:, None] * np.random.default_rng(RULES.seed).gamma(2.0, size=(len(plain), 2))
     m = hmm.Hmm(np.full(2, 0.5), np.array([[0.9, 0.1], [0.1, 0.9]]), emit / emit.sum(axis=0))
-    for _ in range(RULES.sample_iterations + RULES.iterations):
+    for _ in range(RULES.rounds):
         counts = hmm.Expected(m)
         counts.add(sequences, RULES.segment)
         m = hmm._maximize(counts.start, counts.moves, counts.emit, plain, RULES.smoothing)

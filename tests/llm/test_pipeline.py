@@ -26,8 +26,9 @@ def kept_by_rules(text):
             lines += sum(map(len, words_of(line)))
         elif words_of(line):
             seen.add(line)
-    inside = max(sum(len(words[i]) for i in covered(words, n)) for n in (5, 7, 10))
-    return 100 * lines <= 40 * chars and 100 * inside <= 40 * chars
+    inside = {n: sum(len(words[i]) for i in covered(words, n)) for n in (5, 7, 10)}
+    within = all(100 * inside[n] <= most * chars for n, most in ((5, 15), (7, 13), (10, 10)))
+    return within and 100 * lines <= 20 * chars
 
 
 def leaked(text, items):

@@ -167,14 +167,35 @@ def test_each_repetition_limit_rejects_by_itself():
     """Texts that pass the base rule and exceed one limit only."""
     plain = iter(f"w{i:04}" for i in range(9999))
     some = lambda n: [next(plain) for _ in range(n)]
-    phrases = [some(5) for _ in range(10)]
-    five = " ".join(w for p in phrases + phrases for w in [*p, *some(6)])
-    twice = some(20)
-    ten = " ".join([*twice, *some(160), *twice])
+
+    def repeating(length, phrases, filler):
+        twice = [some(length) for _ in range(phrases)]
+        return " ".join(w for p in twice + twice for w in [*p, *some(filler // (2 * phrases))])
+
+    # 45 % in 5-grams, 14 % in 7-grams, 12 % in 10-grams
+    five, seven, ten = repeating(5, 10, 120), repeating(7, 2, 172), repeating(12, 1, 176)
     lines = "\n".join(x for w in some(40) for x in ("a-long-word-in-a-line", w))
-    lower = repetition.RepetitionRules(ngram_limits=((5, 40), (7, 40), (10, 15)))
-    verdicts = lambda rules: list(zip(*repetition._verdicts([t.encode() for t in (five, ten, lines)], rules)[-2:], strict=True))
-    assert verdicts(repetition.RULES) == [(False, False), (False, True), (False, False)]
-    assert verdicts(lower) == [(False, False), (False, False), (False, False)]
-    measured = [repetition.measure(t.encode(), (5, 7, 10)) for t in (five, ten, lines)]
-    assert [[x > 0 for x in m[5:]] for m in measured] == [[False, True, False, False], [False, True, True, True], [True, False, False, False]]
+    fine = repeating(9, 1, 182)
+    texts = [t.encode() for t in (five, seven, ten, lines, fine)]
+    limits = repetition.RULES.ngram_limits
+    assert [most for _, most in limits] == [15, 13, 10] and repetition.RULES.max_line_characters == 20
+    for measured, over in zip((repetition.measure(t, (5, 7, 10)) for t in texts), (0, 1, 2, None, None), strict=True):
+        characters = measured[1]
+        assert [100 * n > most * characters for n, (_, most) in zip(measured[6:], limits, strict=True)] == [i == over for i in range(3)]
+        assert (100 * measured[5] > 20 * characters) == (measured is not None and measured[5] > 0)
+    verdicts = list(zip(*repetition._verdicts(texts, repetition.RULES)[-2:], strict=True))
+    assert verdicts == [(False, False)] * 4 + [(False, True)]
+
+
+@pytest.mark.parametrize("known", [0, 2])
+def test_mix_meets_its_targets_without_ids(spark, known):
+    """Null ids, or half of them: the draw follows the text, so rows of different texts are drawn apart."""
+    number = F.col("id")
+    docs = spark.range(20_000).select(
+        F.when(number % 2 < known // 2, number).alias("doc_id"),
+        F.concat(F.lit("some words of "), number).alias("text"),
+        F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c"), F.lit("c")), (number % 4 + 1).cast("int")).alias("source"),
+    )
+    mixed = mixing.with_copies(docs).groupBy("source").agg(F.sum(F.col("mix.size") * F.col("mix.copies")).alias("taken"), F.max("mix.target").alias("target"))
+    for r in mixed.collect():
+        assert abs(r.taken - r.target) <= 0.03 * r.target
