@@ -75,6 +75,18 @@ def test_bytes_of_all_ids(both):
         assert (b < 0 and both.a_bytes[a] not in set(both.b_bytes[:3])) or both.a_bytes[a] == both.b_bytes[b]
 
 
+def test_both_implementations_of_a_agree(both):
+    """Every code point in several places, random texts, and runs that only the slower one takes."""
+    points = [c for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    texts = [f" a{c}b {c} {c}{c}1{c}\n{c}'{c}s {c}  {c}   x" for c in map(chr, points)]
+    rng = random.Random(8)
+    texts += ["".join(chr(rng.choice(points)) if rng.random() < 0.3 else rng.choice("aE 's\n19.é") for _ in range(300)) for _ in range(300)]
+    plain = both.a.encode_batch_fast(texts, add_special_tokens=False)
+    assert all(e.ids == both.fast.encode_ordinary(t) for t, e in zip(texts, plain, strict=True))
+    for text in (" " + "ab" * 60_000, " x" + " " * 100_000 + "y", "\n" * 50_000):
+        assert both.a_ids(text) == both.a.encode(text, add_special_tokens=False).ids
+
+
 def test_parts_hold_all_texts_in_order():
     texts = [b"a" * n if n else None for n in (5, 0, 3, 9, 1, 1)] + [b"", b"\xff"]
     for most in (1, 4, 100):
