@@ -202,11 +202,12 @@ def clean_table(
     )
 
 
-def cleaning_report(cleaned: CleanedTable) -> DataFrame:
+def cleaning_report(cleaned: CleanedTable, rows_after: DataFrame | None = None) -> DataFrame:
     """Long report ``(*scope, table, metric, value)`` of one table.
 
     Row-local metrics come from one pass over the source; duplicates from a count
-    per key; orphans from the size of the result.
+    per key; orphans from the size of the result. ``rows_after``, ``(*scope,
+    rows_after)``, is that size if it is known already.
     """
     scope, rule = cleaned.scope, cleaned.rule
     typed_keys = [*scope, *(rule.key or [c for c in cleaned.bounded.columns if c not in cleaned.keep])]
@@ -247,7 +248,9 @@ def cleaning_report(cleaned: CleanedTable) -> DataFrame:
     if rule.duplicates != DuplicatePolicy.DROP_ALL:
         surplus = F.col("_sw_n") - 1
     parts.append(metrics(per_key, duplicates_removed=F.sum(surplus), _sw_bounded=F.sum("_sw_n")))
-    parts.append(metrics(cleaned.result, rows_after=ones))
+    known = rows_after is not None
+    after = F.sum("rows_after") if known else ones
+    parts.append(metrics(rows_after if known else cleaned.result, rows_after=after))
 
     long = reduce(DataFrame.unionByName, parts)
     by_metric = {m: F.sum(F.when(F.col("metric") == m, F.col("value")).otherwise(0)) for m in _METRICS}

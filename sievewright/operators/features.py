@@ -17,20 +17,26 @@ from sievewright.operators import quantiles
 from sievewright.specs import FeatureConfig
 
 
-def column_groups(df: DataFrame, config: FeatureConfig) -> dict[str, list[str]]:
-    """Configured columns that exist, by kind; other numeric ones are numbers."""
-    present = {
-        "datetime": [c for c in dict.fromkeys((*config.epoch_ms, *config.datetimes)) if c in df.columns],
-        "boolean": [c for c in config.booleans if c in df.columns],
-        "category": [c for c in config.categories if c in df.columns],
-        "text": [c for c in config.texts if c in df.columns],
-        "list": [c for c in config.lists if c in df.columns],
-        "identifier": [c for c in config.identifiers if c in df.columns],
-        "number": [c for c in config.numbers if c in df.columns],
-    }
-    taken = {c for names in present.values() for c in names}
-    present["number"] += [c for c, t in df.dtypes if c not in taken and X.is_numeric(t)]
-    return present
+# what the fields of a config declare their columns to be; of several fields the first one counts
+_DECLARED = {
+    "identifiers": "identifier",
+    "lists": "list",
+    "epoch_ms": "datetime",
+    "datetimes": "datetime",
+    "booleans": "boolean",
+    "categories": "category",
+    "texts": "text",
+    "numbers": "number",
+}
+
+
+def column_kinds(df: DataFrame, config: FeatureConfig) -> dict[str, str]:
+    """What each column of ``df`` is treated as: as declared, else by its type (``number`` or ``other``)."""
+    declared: dict[str, str] = {}
+    for field, kind in _DECLARED.items():
+        for name in getattr(config, field):
+            declared.setdefault(name, kind)
+    return {name: declared.get(name, "number" if X.is_numeric(dtype) else "other") for name, dtype in df.dtypes}
 
 
 def schema_fingerprint(df: DataFrame, form: str = "sorted_pairs") -> str:
@@ -60,7 +66,7 @@ def to_numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def drop_identifiers(df: DataFrame, config: FeatureConfig) -> DataFrame:
-    return df.drop(*config.identifiers)
+    return df.drop(*[c for c, kind in column_kinds(df, config).items() if kind == "identifier"])
 
 
 def to_datetimes(df: DataFrame, config: FeatureConfig) -> DataFrame:
@@ -102,8 +108,9 @@ def fill_plan(df: DataFrame, config: FeatureConfig) -> dict[str, str]:
     Times are filled like texts, unless their strategy is named.
     """
     chosen: dict[str, str] = {}
+    kinds = column_kinds(df, config)
     for name, dtype in df.dtypes:
-        if name in config.lists or _slot(dtype) is None:
+        if kinds[name] == "list" or _slot(dtype) is None:
             continue
         default = config.numeric_strategy if X.is_numeric(dtype) else config.text_strategy
         strategy = config.fill_strategies.get(name, default)
@@ -324,12 +331,16 @@ def null_total(df: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, [F.col(f"`{c}`").isNull().cast("int") for c in df.columns])
 
 
-def feature_summary(build: FeatureBuild) -> DataFrame:
-    """One row: rows and nulls before and after, cells filled, copies removed."""
+def feature_summary(build: FeatureBuild, after: DataFrame | None = None) -> DataFrame:
+    """One row: rows and nulls before and after, cells filled, copies removed.
+
+    ``after`` is one row ``(rows, nulls)`` of the result, if it is known already.
+    """
     before = build.source.agg(F.count(F.lit(1)).alias("rows"), F.sum(null_total(build.source)).alias("nulls"))
     unfilled = build.filled_from.agg(F.sum(null_total(build.filled_from)).alias("nulls"))
     filled = build.filled.agg(F.sum(null_total(build.filled)).alias("nulls"))
-    after = build.result.agg(F.count(F.lit(1)).alias("rows"), F.sum(null_total(build.result)).alias("nulls"))
+    if after is None:
+        after = build.result.agg(F.count(F.lit(1)).alias("rows"), F.sum(null_total(build.result)).alias("nulls"))
     source = before.select(F.struct("rows", "nulls")).scalar()
     return (
         after.withColumns({"_b": source, "_u": unfilled.scalar(), "_f": filled.scalar()})

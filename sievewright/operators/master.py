@@ -288,8 +288,13 @@ def match_statistics(state: Joined, scope: Sequence[str] = ()) -> DataFrame:
     counts = state.df.groupBy(*scope).agg(
         F.count(F.lit(1)).alias("rows_total"), *[F.count(flag).alias(name) for name, flag in flags.items()]
     )
+    return match_report(counts, state, scope)
+
+
+def match_report(counts: DataFrame, state: Joined, scope: Sequence[str] = ()) -> DataFrame:
+    """The statistics from ``counts``, ``(*scope, rows_total, a column of matched rows per join)``."""
     kinds = F.create_map(*[F.lit(x) for pair in state.kinds.items() for x in pair])
-    long = counts.unpivot([*scope, "rows_total"], list(flags), "table", "rows_matched")
+    long = counts.unpivot([*scope, "rows_total"], list(state.matches), "table", "rows_matched")
     return long.select(
         *scope,
         "table",

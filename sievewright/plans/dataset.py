@@ -12,7 +12,7 @@ from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright import defaults
@@ -159,9 +159,12 @@ def run_dataset(
         writers.write_report(master.master_summary(whole, joined), f"{output}/reports/master")
 
     made = features.build_features(whole, plan.features)
-    written = writers.write_parquet(made.result, f"{output}/feature_store", dataset_id, partition_by=SCOPE)
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(features.null_total(made.result)), F.lit(0)).alias("nulls")]
+    written = writers.write_parquet(made.result.observe(seen, *counts), f"{output}/feature_store", dataset_id, partition_by=SCOPE)
     features.validate_features(written, plan.features)
-    writers.write_report(features.feature_summary(replace(made, result=written)), f"{output}/reports/features")
+    after = spark.createDataFrame([(seen.get["rows"], seen.get["nulls"])], "rows bigint, nulls bigint")
+    writers.write_report(features.feature_summary(replace(made, result=written), after), f"{output}/reports/features")
     return written
 
 
@@ -182,6 +185,23 @@ class _VersionRun:
             return snapshots.write(df, root, SCOPE, dataset_id, state)
         return snapshots.replace(df, root, readers.VERSION, self.replaced, dataset_id, state)
 
+    def store_counted(self, df: DataFrame, name: str, counts: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
+        """:meth:`store`, and ``(dataset_version, *counts)``: sums over each version's rows, taken by the writing tasks.
+
+        The sums are observed behind the last shuffle, in the stage that ends the
+        job, where a task that is repeated counts once.
+        """
+        seen, names = Observation(), list(counts)
+        sums = [
+            F.coalesce(F.sum(F.when(F.col(readers.VERSION) == v, counts[c])), F.lit(0)).cast("bigint").alias(f"{i}_{j}")
+            for i, v in enumerate(self.build)
+            for j, c in enumerate(names)
+        ]
+        stored = self.store(df.observe(seen, *sums), name)
+        found = [(v, *(seen.get[f"{i}_{j}"] for j in range(len(names)))) for i, v in enumerate(self.build)]
+        schema = ", ".join([f"{readers.VERSION} string", *(f"`{c}` bigint" for c in names)])
+        return stored, self.spark.createDataFrame(found, schema)
+
     def report(self, found: list[DataFrame], name: str) -> str:
         path = f"{self.output}/reports/{name}"
         writers.write_report(reduce(DataFrame.unionByName, found), path, SCOPE, self.replaced)
@@ -222,19 +242,31 @@ class _VersionRun:
                     raise
                 failed.append((name, str(error)))
                 continue
-            tables[name] = self.store(cleaned.result, f"cleaned/{name}")
-            # the written result is counted, not the plan that made it
-            reports.append(clean.cleaning_report(replace(cleaned, result=tables[name])))
+            # the rows are counted as they are written
+            tables[name], after = self.store_counted(cleaned.result, f"cleaned/{name}", {"rows_after": F.lit(1)})
+            after = after.filter("rows_after > 0")
+            reports.append(clean.cleaning_report(replace(cleaned, result=tables[name]), after))
         self.report(reports, "cleaning")
         failures = spark.createDataFrame(failed, "table string, error string")
         writers.write_report(failures, f"{self.output}/reports/cleaning_failures")
 
         # the match flags are stored with a working copy, so the joins run once
         joined = _join(tables, plan)
-        flagged = self.store(joined.df, "joined")
+        flagged, counts = self.store_counted(
+            joined.df,
+            "joined",
+            {
+                "rows_total": F.lit(1),
+                **{table: F.col(flag).isNotNull().cast("int") for table, flag in joined.matches.items()},
+                **{f"coverage.{c}": F.col(f"`{c}`").isNotNull().cast("int") for c in joined.created},
+            },
+        )
+        counts = counts.filter("rows_total > 0")
         joined = replace(joined, df=flagged)
-        self.report([master.match_statistics(joined, SCOPE)], "matches")
-        self.report([master.column_coverage(joined, SCOPE)], "coverage")
+        matched = counts.select(*SCOPE, "rows_total", *[f"`{table}`" for table in joined.matches])
+        self.report([master.match_report(matched, joined, SCOPE)], "matches")
+        shares = [(F.col(f"`coverage.{c}`") * F.lit(100.0) / F.col("rows_total")).alias(c) for c in joined.created]
+        self.report([counts.select(*SCOPE, *shares).unpivot(list(SCOPE), list(joined.created), "column", "coverage")], "coverage")
         master.enforce_integrity(master.integrity_counts(tables[plan.fact], flagged, plan.fact_key, SCOPE))
         return joined
 

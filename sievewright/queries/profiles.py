@@ -288,7 +288,7 @@ def compare_key_overlap(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(profile.key_overlap(a, b, ["o_custkey"]))
 
 
-_FOUR_VERSIONS = """
+FOUR_VERSIONS = """
     four AS (
       SELECT o_custkey, 'Version_' || v AS dataset_version FROM orders, range(1, 5) t(v)
       WHERE year(o_orderdate) BETWEEN 1994 + v AND 1996 + v AND o_custkey % (v + 2) <> 0),
@@ -296,7 +296,7 @@ _FOUR_VERSIONS = """
 """
 
 
-def _four_versions(spark: SparkSession, folder: str) -> DataFrame:
+def four_versions(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_custkey", F.year("o_orderdate").alias("year"))
     return master.union_versions(
         {f"Version_{v}": orders.filter(f"year BETWEEN {1994 + v} AND {1996 + v} AND o_custkey % {v + 2} <> 0") for v in range(1, 5)}
@@ -306,7 +306,7 @@ def _four_versions(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "compare_overlap_matrix",
     f"""
-    WITH {_FOUR_VERSIONS},
+    WITH {FOUR_VERSIONS},
     sizes AS (SELECT dataset_version AS v, count(*) AS n FROM pairs GROUP BY 1)
     SELECT a.dataset_version AS version_a, b.dataset_version AS version_b, max(x.n) AS keys_a, max(y.n) AS keys_b,
            count(*) AS common, round(100.0 * count(*) / max(x.n), 6) AS a_in_b_percent
@@ -315,19 +315,19 @@ def _four_versions(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def compare_overlap_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(profile.overlap_matrix(_four_versions(spark, folder), ["o_custkey"], "dataset_version"))
+    return rounded(profile.overlap_matrix(four_versions(spark, folder), ["o_custkey"], "dataset_version"))
 
 
 @query(
     "compare_version_sets",
     f"""
-    WITH {_FOUR_VERSIONS},
+    WITH {FOUR_VERSIONS},
     sets AS (SELECT o_custkey, string_agg(dataset_version, '|' ORDER BY dataset_version) AS versions FROM pairs GROUP BY 1)
     SELECT versions, count(*) AS keys FROM sets GROUP BY 1
     """,
 )
 def compare_version_sets(spark: SparkSession, folder: str) -> DataFrame:
-    masks, versions = profile.version_masks(_four_versions(spark, folder), ["o_custkey"], "dataset_version")
+    masks, versions = profile.version_masks(four_versions(spark, folder), ["o_custkey"], "dataset_version")
     sets = profile.versions_of_masks(profile.mask_histogram(masks), versions)
     return sets.select(F.array_join("versions", "|").alias("versions"), "keys")
 

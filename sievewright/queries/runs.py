@@ -8,12 +8,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.operators import align, features, validate
+from sievewright.operators import align, features, sketches, validate
+from sievewright.queries.profiles import FOUR_VERSIONS, four_versions
 from sievewright.queries.quality import _CORPUS_FINDINGS, CUSTOMER_SCHEMA, ORDERS_SCHEMA, _corpus_report
 from sievewright.queries.registry import query, table
 from sievewright.plans import incremental
 from sievewright.sources import readers, snapshots, writers
-from sievewright.specs import QualityGate
+from sievewright.specs import FeatureConfig, QualityGate
 
 
 @query(
@@ -137,3 +138,74 @@ def rebuilt_versions(spark: SparkSession, folder: str) -> DataFrame:
     totals, status = refresh()
     told = F.create_map(*[F.lit(x) for part, what in status.items() for x in (part.split("=")[1], what)])
     return totals.withColumn("status", told[F.col("dataset_version")])
+
+
+@query(
+    "distinct_values_by_stored_sketches",
+    f"""
+    WITH {FOUR_VERSIONS},
+    shared AS (SELECT o_custkey FROM pairs GROUP BY 1 HAVING count(*) = 4)
+    SELECT dataset_version AS scope, count(*) AS "distinct", true AS estimate_within_3_percent FROM pairs GROUP BY 1
+    UNION ALL SELECT 'any', count(DISTINCT o_custkey), true FROM pairs
+    UNION ALL SELECT 'all', count(*), true FROM shared
+    """,
+)
+def distinct_values_by_stored_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers per version, of all versions and common to them: exact, and estimated from sketches written per version."""
+    four, root = four_versions(spark, folder), _scratch(spark)
+    made = sketches.distinct_sketches(four, ["o_custkey"], ["dataset_version"])
+    stored = snapshots.write(made, root, ["dataset_version"])
+    one = sketches.distinct_estimates(stored, ["dataset_version"]).withColumnRenamed("dataset_version", "scope")
+    union = sketches.distinct_estimates(stored, ["column"]).select(F.lit("any").alias("scope"), "estimate")
+    common = sketches.common_estimates(stored, ["column"]).select(F.lit("all").alias("scope"), "estimate")
+    keys = four.select("o_custkey", "dataset_version").distinct()
+    held = keys.groupBy("o_custkey").agg(F.count("*").alias("n"))
+    exact = keys.groupBy(F.col("dataset_version").alias("scope")).agg(F.count("*").alias("distinct"))
+    totals = held.agg(F.count("*").alias("any"), F.count_if(F.col("n") == 4).alias("all")).unpivot([], ["any", "all"], "scope", "distinct")
+    # an intersection is estimated within a share of the union it is cut from
+    whole = held.agg(F.count("*")).scalar()
+    both = exact.unionByName(totals).join(one.union(union).union(common), "scope").withColumn("whole", whole)
+    base = F.when(F.col("scope") == "all", F.col("whole")).otherwise(F.col("distinct"))
+    return both.select("scope", "distinct", (F.abs(F.col("estimate") - F.col("distinct")) <= 0.03 * base).alias("estimate_within_3_percent"))
+
+
+@query(
+    "quantiles_of_merged_sketches",
+    """
+    SELECT q AS quantile, (SELECT count(*) FROM lineitem) AS "values", true AS rank_within_1_percent
+    FROM (VALUES ('p10'), ('p50'), ('p90')) t(q)
+    """,
+)
+def quantiles_of_merged_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Quantiles of all line prices from a sketch written per year, held against their exact ranks."""
+    lines, root, probs = table(spark, folder, "lineitem"), _scratch(spark), {"p10": 0.1, "p50": 0.5, "p90": 0.9}
+    made = sketches.value_sketches(lines.withColumn("year", F.year("l_shipdate")), "l_extendedprice", ["year"])
+    merged = sketches.merged_quantiles(snapshots.write(made, root, ["year"]), [], probs).select(F.struct("values", *probs)).scalar()
+    placed = lines.select("l_extendedprice").withColumn("_sw_q", merged)
+    below = [F.count_if(F.col("l_extendedprice") <= F.col(f"_sw_q.{name}")).alias(name) for name in probs]
+    ranks = placed.agg(F.max("_sw_q.values").alias("values"), *below)
+    entries = [
+        F.struct(F.lit(name).alias("quantile"), "values", (F.abs(F.col(name) / F.col("values") - p) <= 0.01).alias("rank_within_1_percent"))
+        for name, p in probs.items()
+    ]
+    return ranks.select(F.inline(F.array(*entries)))
+
+
+@query(
+    "features_column_kinds",
+    """
+    SELECT 'o_orderkey' AS "column", 'identifier' AS kind, count(o_orderkey) AS present FROM orders
+    UNION ALL SELECT 'o_custkey', 'number', count(o_custkey) FROM orders
+    UNION ALL SELECT 'o_orderstatus', 'category', count(o_orderstatus) FROM orders
+    UNION ALL SELECT 'o_totalprice', 'number', count(o_totalprice) FROM orders
+    UNION ALL SELECT 'o_orderdate', 'datetime', count(o_orderdate) FROM orders
+    UNION ALL SELECT 'o_orderpriority', 'other', count(o_orderpriority) FROM orders
+    """,
+)
+def features_column_kinds(spark: SparkSession, folder: str) -> DataFrame:
+    orders = table(spark, folder, "orders")
+    config = FeatureConfig(identifiers=("o_orderkey",), datetimes=("o_orderdate",), categories=("o_orderstatus",))
+    kinds = features.column_kinds(orders, config)
+    wide = orders.agg(*[F.count(c).alias(c) for c in kinds])
+    told = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
+    return wide.unpivot([], list(kinds), "column", "present").select("column", told[F.col("column")].alias("kind"), "present")

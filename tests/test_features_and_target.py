@@ -14,11 +14,14 @@ from sievewright.specs import FeatureConfig, SalaryConfig
 # ------------------------------------------------------------------- features
 
 
-def test_column_groups(spark):
-    df = spark.createDataFrame([(1, 1.0, "a", 5)], "job_id long, listed_time double, title string, views long")
-    groups = features.column_groups(df, defaults.FEATURES)
-    assert groups["identifier"] == ["job_id"] and groups["number"] == ["views"]
-    assert groups["datetime"] == ["listed_time"] and groups["text"] == ["title"]
+def test_column_kinds(spark):
+    df = spark.createDataFrame([(1, 1.0, "a", 5, "x")], "job_id long, listed_time double, title string, views long, note string")
+    kinds = features.column_kinds(df, defaults.FEATURES)
+    assert kinds == {"job_id": "identifier", "listed_time": "datetime", "title": "text", "views": "number", "note": "other"}
+    # the first declaration counts, and declarations go before types
+    both = FeatureConfig(lists=("views",), numbers=("views", "note"))
+    assert features.column_kinds(df, both)["views"] == "list" and features.column_kinds(df, both)["note"] == "number"
+    assert "views" not in features.fill_plan(df, both)
 
 
 def test_schema_fingerprints(spark):
