@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.operators import align, features, sketches, validate
+from sievewright.operators import align, features, sketches, split, target, validate
+from sievewright.queries import modelling
 from sievewright.queries.profiles import FOUR_VERSIONS, four_versions
 from sievewright.queries.quality import _CORPUS_FINDINGS, CUSTOMER_SCHEMA, ORDERS_SCHEMA, _corpus_report
 from sievewright.queries.registry import query, table
@@ -209,3 +211,104 @@ def features_column_kinds(spark: SparkSession, folder: str) -> DataFrame:
     wide = orders.agg(*[F.count(c).alias(c) for c in kinds])
     told = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
     return wide.unpivot([], list(kinds), "column", "present").select("column", told[F.col("column")].alias("kind"), "present")
+
+
+@query(
+    "dump_loaded_again",
+    """
+    WITH dump AS (
+      SELECT 'customer' AS "table", 'Version_1' AS dataset_version, c_custkey AS key, c_acctbal AS amount FROM customer
+      UNION ALL SELECT 'customer', 'Version_2', c_custkey, c_acctbal FROM customer WHERE c_custkey % 2 = 0
+      UNION ALL SELECT 'orders', 'Version_1', o_orderkey, o_totalprice FROM orders
+      UNION ALL SELECT 'orders', 'Version_2', CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey END, o_totalprice FROM orders)
+    SELECT "table", dataset_version, count(*) AS rows, count(*) AS ids, count(key) AS keys, round(sum(amount), 2) AS total,
+           max(CASE "table" WHEN 'customer' THEN (SELECT count(*) FROM customer) ELSE (SELECT count(*) FROM orders) END) AS source_rows
+    FROM dump GROUP BY ALL
+    """,
+)
+def dump_loaded_again(spark: SparkSession, folder: str) -> DataFrame:
+    """A dump of two versions written as CSV, found, read and united: other file names, gaps, an absent table."""
+    root = _scratch(spark)
+    customer = table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    gap = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey"))
+    writers.write_csv(customer, f"{root}/Version_1/customer.csv")
+    writers.write_csv(orders, f"{root}/Version_1/orders.csv")
+    writers.write_csv(customer.filter("c_custkey % 2 = 0"), f"{root}/Version_2/clients.csv")
+    writers.write_csv(orders.withColumn("o_orderkey", gap), f"{root}/Version_2/orders.csv")
+    accepted = {"customer": ("customer.csv", "clients.csv"), "orders": ("orders.csv",)}
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")  # that the optional table is absent
+        versions = readers.load_all(spark, root, accepted, {"notes": ("notes.csv",)})
+    columns = {"customer": ("c_custkey", "c_acctbal"), "orders": ("o_orderkey", "o_totalprice")}
+    parts = []
+    for name, df in readers.combine_versions(versions).items():
+        key, amount = columns[name]
+        sums = df.groupBy(readers.VERSION).agg(
+            F.count("*").alias("rows"),
+            F.count_distinct(readers.INGEST_ID).alias("ids"),
+            F.count(key).alias("keys"),
+            F.round(F.sum(F.col(amount).cast("double")), 2).alias("total"),
+        )
+        before = table(spark, folder, name).agg(F.count("*")).scalar()
+        parts.append(sums.withColumns({"table": F.lit(name), "source_rows": before}))
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    "report_written_and_read_back",
+    """
+    SELECT CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS segment, count(*) AS customers, round(sum(c_acctbal), 2) AS balance,
+           round(100.0 * count(*) / (SELECT count(*) FROM customer), 6) AS share
+    FROM customer GROUP BY 1
+    """,
+)
+def report_written_and_read_back(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{_scratch(spark)}/report"
+    segment = F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("segment")
+    report = table(spark, folder, "customer").groupBy(segment).agg(F.count("*").alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+    writers.write_report(report, path)
+    whole = table(spark, folder, "customer").agg(F.count("*")).scalar()
+    share = F.round(F.col("customers") * F.lit(100.0) / whole, 6)
+    return spark.read.schema(report.schema).json(path).withColumn("share", share)
+
+
+@query(
+    "verdicts_of_checks",
+    """
+    WITH n AS (SELECT count(*) AS rows FROM orders)
+    SELECT * FROM n, (VALUES ('columns of the target', 'passed'), ('columns of the target, one absent', 'failed'),
+      ('features', 'passed'), ('features, one flag absent', 'failed'), ('features, no rows', 'failed'),
+      ('leakage', 'passed'), ('leakage, a salary as predictor', 'failed'),
+      ('schemas of the parts', 'passed'), ('schemas of the parts, one retyped', 'failed')) t("check", verdict)
+    """,
+)
+def verdicts_of_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """What the checks that stop a run say about orders, whole and spoilt."""
+    posted, orders = modelling.postings(spark, folder), table(spark, folder, "orders")
+    flagged = orders.withColumn("has_total", F.col("o_totalprice").isNotNull())
+    config = FeatureConfig(presence_flags={"has_total": ("o_totalprice",)})
+    labelled = split.group_split(orders.withColumn("log_price", F.log("o_totalprice")), modelling.BY_CUSTOMER)
+    parts = {name: labelled.filter(F.col(split.SPLIT) == name) for name in ("train", "test")}
+    retyped = {**parts, "test": parts["test"].withColumn("o_custkey", F.col("o_custkey").cast("string"))}
+    checks = {
+        "columns of the target": lambda: target.check_columns(posted, modelling.CONFIG),
+        "columns of the target, one absent": lambda: target.check_columns(posted.drop("max_salary"), modelling.CONFIG),
+        "features": lambda: features.validate_features(flagged, config),
+        "features, one flag absent": lambda: features.validate_features(orders, config),
+        "features, no rows": lambda: features.validate_features(flagged.filter("o_orderkey is null"), config),
+        "leakage": lambda: target.check_leakage(["priority", "followers"], modelling.CONFIG),
+        "leakage, a salary as predictor": lambda: target.check_leakage(["priority", "max_salary"], modelling.CONFIG),
+        "schemas of the parts": lambda: split.same_schema(parts),
+        "schemas of the parts, one retyped": lambda: split.same_schema(retyped),
+    }
+    found = []
+    for name, check in checks.items():
+        try:
+            check()
+        except (features.FeatureStoreInvalid, target.SalaryTableInvalid, split.SplitInvalid):
+            found.append((name, "failed"))
+        else:
+            found.append((name, "passed"))
+    verdicts = spark.createDataFrame(found, "check string, verdict string")
+    return verdicts.withColumn("rows", orders.agg(F.count("*")).scalar())
