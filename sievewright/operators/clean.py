@@ -205,7 +205,7 @@ def clean_table(
 def cleaning_report(cleaned: CleanedTable, rows_after: DataFrame | None = None) -> DataFrame:
     """Long report ``(*scope, table, metric, value)`` of one table.
 
-    Row-local metrics come from one pass over the source; duplicates from a count
+    Row-local metrics and duplicates come from one pass over the source, counted
     per key; orphans from the size of the result. ``rows_after``, ``(*scope,
     rows_after)``, is that size if it is known already.
     """
@@ -232,22 +232,31 @@ def cleaning_report(cleaned: CleanedTable, rows_after: DataFrame | None = None)
     # rows are flagged here, not dropped, so that one pass over the source counts every step
     fill_only = {c: p for c, p in rule.null_policies.items() if p != NullPolicy.DROP_ROW}
     staged = convert_types(handle_nulls(staged, replace(rule, null_policies=fill_only)), cleaned.schema)
-    parts = [
-        metrics(
-            staged.withColumn("_sw_invalid", _invalid_values(staged, rule)),
-            rows_before=ones,
-            strings_modified=F.sum("_sw_changed"),
-            null_rows_dropped=F.count_if(~F.col("_sw_kept")),
-            nulls_filled=F.coalesce(F.sum(F.when(F.col("_sw_kept"), F.col("_sw_filled"))), F.lit(0)),
-            invalid_values_handled=F.coalesce(F.sum(F.when(F.col("_sw_kept"), F.col("_sw_invalid"))), F.lit(0)),
-        )
-    ]
+    staged = staged.withColumn("_sw_invalid", _invalid_values(staged, rule).cast("bigint"))
+    dropped = F.lit(False)
+    if rule.invalid_values == InvalidValuePolicy.DROP_ROW:
+        dropped = F.col("_sw_invalid") > 0
+    staged = staged.withColumn("_sw_stays", F.col("_sw_kept") & ~dropped)
+    if rule.invalid_values != InvalidValuePolicy.DROP_ROW:
+        staged = handle_invalid(staged, rule)
+
+    def of_kept(name: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("_sw_kept"), F.col(name))), F.lit(0))
+
+    # one scan: the row-local counts of a key travel with the number of its rows
+    per_key = staged.groupBy(*typed_keys).agg(
+        ones.alias("rows_before"),
+        F.sum("_sw_changed").alias("strings_modified"),
+        F.count_if(~F.col("_sw_kept")).alias("null_rows_dropped"),
+        of_kept("_sw_filled").alias("nulls_filled"),
+        of_kept("_sw_invalid").alias("invalid_values_handled"),
+        F.count_if("_sw_stays").alias("_sw_bounded"),
+    )
     # copies beyond the first (or all copies) of each key
-    per_key = cleaned.bounded.groupBy(*typed_keys).agg(F.count(F.lit(1)).alias("_sw_n"))
-    surplus = F.when(F.col("_sw_n") > 1, F.col("_sw_n")).otherwise(0)
-    if rule.duplicates != DuplicatePolicy.DROP_ALL:
-        surplus = F.col("_sw_n") - 1
-    parts.append(metrics(per_key, duplicates_removed=F.sum(surplus), _sw_bounded=F.sum("_sw_n")))
+    n = F.col("_sw_bounded")
+    surplus = F.when(n > 1, n if rule.duplicates == DuplicatePolicy.DROP_ALL else n - 1).otherwise(0)
+    summed = [c for c in per_key.columns if c not in typed_keys]
+    parts = [metrics(per_key, **{c: F.sum(c) for c in summed}, duplicates_removed=F.sum(surplus))]
     known = rows_after is not None
     after = F.sum("rows_after") if known else ones
     parts.append(metrics(rows_after if known else cleaned.result, rows_after=after))
