@@ -148,7 +148,9 @@ def judge(pages: DataFrame, rules: list[UrlRule], mining: MiningRules = MINING,
     mined = mine(told.select("tokens", "told.verdict"), mining)
     found = materialize(matches(told.filter("told is null"), mined))
     key, best = fresh(pages, "_sw_url"), fresh(pages, "_sw_mined")
-    joined = pages.join(found.select(F.col("url").alias(key), F.col("mined").alias(best)), F.col(f"`{url_column}`") == F.col(key), "left")
+    # a row per url that a mined rule matches: it grows with the pages
+    judged = sized(found.select(F.col("url").alias(key), F.col("mined").alias(best)))
+    joined = pages.join(judged, F.col(f"`{url_column}`") == F.col(key), "left")
     own = F.col(f"`{url_column}`")
     host, path = host_of(own), path_of(own)
     fixed = explicit(host, path, rules)
