@@ -165,20 +165,17 @@ def vocabulary(counts: DataFrame, rules: HmmRules) -> Vocabulary:
     return Vocabulary(words, numbers, own, sums.n or 0, sums.v, class_sums, class_words)
 
 
-def _layout(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sequences side by side, longest first: tokens step by step, each token's sequence, sequences per step, their order."""
+def _layout(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sequences side by side, longest first: tokens step by step, sequences per step, their order."""
     lengths = np.array([len(s) for s in sequences])
     order = np.argsort(-lengths, kind="stable")
     lengths = lengths[order]
     active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # how many are longer than t
     offsets = np.concatenate(([0], np.cumsum(active)))
     tokens = np.empty(offsets[-1], np.int32)
-    owner = np.empty(offsets[-1], np.int32)
     for place, number in enumerate(order):
-        at = offsets[: lengths[place]] + place
-        tokens[at] = sequences[number]
-        owner[at] = place
-    return tokens, owner, active, order
+        tokens[offsets[: lengths[place]] + place] = sequences[number]
+    return tokens, active, order
 
 
 @dataclass
@@ -189,19 +186,19 @@ class Hmm:
 
     def log10(self, sequences: list[np.ndarray]) -> np.ndarray:
         """Exact log10 likelihood of every sequence, by the scaled forward recursion."""
-        tokens, owner, active, order = _layout(sequences)
+        tokens, active, order = _layout(sequences)
         emit, moves = np.ascontiguousarray(self.emit.T), np.ascontiguousarray(self.moves.T)
-        scale = np.empty(len(tokens))
+        logs = np.zeros(len(sequences))
         at, forward = 0, None
         for n in active:
             seen = emit.take(tokens[at : at + n], axis=1)
             forward = self.start[:, None] * seen if forward is None else (moves @ forward[:, :n]) * seen
             total = forward.sum(axis=0)
-            scale[at : at + n] = total
+            logs[:n] += np.log10(total)
             forward /= total
             at += n
         found = np.empty(len(sequences))
-        found[order] = np.bincount(owner, np.log10(scale), len(sequences))
+        found[order] = logs
         return found
 
 
@@ -224,7 +221,7 @@ class Expected:
 
     def _add(self, parts: list[np.ndarray], opens: np.ndarray) -> None:
         model = self.model
-        tokens, _, active, order = _layout(parts)
+        tokens, active, order = _layout(parts)
         opens = opens[order]
         k = len(model.start)
         moves = np.ascontiguousarray(model.moves.T)

@@ -6,8 +6,9 @@ times, plus one copy if a hash of its id, seeded, falls below the fraction.
 Only DataFrame functions are used.
 
 Null texts have size 0. Null sources are one source, the last. Without any
-words every rate is 0. Rows with a null or repeated doc_id share one draw
-with their like. Reruns and other partitionings give the same copies.
+words every rate is 0. The draw follows the doc_id, and the text where there is
+none: rows of one doc_id share a draw, and so do rows of one text without ids.
+Reruns and other partitionings give the same copies.
 """
 
 from __future__ import annotations
