@@ -8,8 +8,7 @@ against all documents:
 2. A randomised SVD of TF-IDF passages gives the latent space. Tasks sketch
    their passages with one Gaussian test matrix, the sketches are summed by
    term, and the singular vectors follow from the sum (Nystroem form). The
-   passages are all items of the block and those of a bounded sample of
-   documents (``sample_documents``); everything else covers all documents.
+   passages are all items of the block and those of all documents.
 3. Windows of every document are projected by differences of running sums and
    compared with the items by cosine. Windows overlap so that any span as long
    as an item lies inside one.
@@ -44,7 +43,6 @@ _LOWER = bytes(ord(" ") if chr(i) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else i
 class LeakRules:
     passage_words: int = 64
     latent: int = 64
-    sample_documents: int = 4000
     block_items: int = 2000
     cosine: float = 0.35
     projection: float = 0.5
@@ -56,6 +54,8 @@ class LeakRules:
 RULES = LeakRules()
 #: Words projected at a time; a multiple of every block of a span.
 _CHUNK = 1 << 13
+#: Passages sketched at a time; their rows of the test matrix stay in the cache.
+_PASSAGES = 256
 
 
 def words_of(data: bytes | None) -> list[bytes]:
@@ -131,20 +131,26 @@ def _frequencies(texts: DataFrame, block: Block, rules: LeakRules) -> tuple[np.n
 
 def _sketch_rows(coded: list[np.ndarray], rules: LeakRules, idf: np.ndarray, test: np.ndarray) -> np.ndarray:
     """AᵀA times the test matrix, for the passages of ``coded``; rows of A have length 1."""
-    passage, term, count, n = _passage_terms(coded, rules.passage_words, len(idf))
+    passage, term, count, _ = _passage_terms(coded, rules.passage_words, len(idf))
     total = np.zeros_like(test)
     if not len(term):
         return total
     value = count * idf[term]
-    norm = np.sqrt(np.bincount(passage, value * value, n))
-    value = value / norm[passage]
     starts = np.flatnonzero(np.concatenate(([True], passage[1:] != passage[:-1])))
-    projected = np.zeros((n, test.shape[1]))
-    projected[passage[starts]] = np.add.reduceat(value[:, None] * test[term], starts)
-    order = np.argsort(term, kind="stable")
-    ranked = term[order]
-    starts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-    total[ranked[starts]] = np.add.reduceat((value[:, None] * projected[passage])[order], starts)
+    terms = np.diff(np.append(starts, len(term)))
+    value /= np.repeat(np.sqrt(np.add.reduceat(value * value, starts)), terms)
+    for at in range(0, len(starts), _PASSAGES):
+        first = starts[at : at + _PASSAGES]
+        part = slice(first[0], first[-1] + terms[at + len(first) - 1])
+        rows = test[term[part]]
+        rows *= value[part, None]
+        projected = np.add.reduceat(rows, first - first[0])
+        order = np.argsort(term[part], kind="stable")
+        rows = projected[np.repeat(np.arange(len(first)), terms[at : at + _PASSAGES])[order]]
+        rows *= value[part][order, None]
+        ranked = term[part][order]
+        firsts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+        total[ranked[firsts]] += np.add.reduceat(rows, firsts)
     return total
 
 
@@ -153,9 +159,6 @@ def _latent_space(texts: DataFrame, block: Block, idf: np.ndarray, rules: LeakRu
     terms = len(idf)
     width = min(terms, rules.latent + 8)
     test = np.random.default_rng(rules.seed).standard_normal((terms, width))
-    documents = max(texts.count(), 1)
-    share = min(1.0, rules.sample_documents / documents)
-    sample = texts.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30)))
     shared = texts.sparkSession.sparkContext.broadcast((block, idf, test))
     columns = [f"c{i}" for i in range(width)]
 
@@ -169,13 +172,13 @@ def _latent_space(texts: DataFrame, block: Block, idf: np.ndarray, rules: LeakRu
         yield pa.RecordBatch.from_arrays(arrays, names=["term", *columns])
 
     schema = ", ".join(["term int", *(f"{c} double" for c in columns)])
-    summed = sample.select("text").mapInArrow(run, schema).groupBy("term").agg(*[F.sum(c).alias(c) for c in columns])
+    summed = texts.select("text").mapInArrow(run, schema).groupBy("term").agg(*[F.sum(c).alias(c) for c in columns])
     corpus = np.zeros_like(test)
     for term, *values in summed.collect():  # a row per term of the block
         corpus[term] = values
     shared.unpersist()
     own = _sketch_rows([np.array(ids, np.int32) for _, ids, _ in block.items], rules, idf, test)
-    # items and corpus weigh the same, else a large sample would leave no dimension to the items
+    # items and corpus weigh the same, else a large corpus would leave no dimension to the items
     weight = np.linalg.norm(corpus) / max(np.linalg.norm(own), 1e-12) if corpus.any() else 1.0
     sketch = corpus + weight * own
     shift = 1e-8 * max(np.linalg.norm(sketch), 1e-12)

@@ -99,6 +99,24 @@ def test_candidates_hold_what_brute_force_finds():
     assert good > 90 and lost <= good // 10
 
 
+def test_all_documents_shape_the_latent_space(spark):
+    """Documents of one passage, or of four in a row, hold the same passages: no other number of documents counts."""
+    rng = random.Random(6)
+    block = d.Block([(i, " ".join(f"w{rng.randrange(200)}" for _ in range(20))) for i in range(30)])
+    passages = [" ".join(f"w{min(rng.randrange(400), rng.randrange(400))}" for _ in range(64)) for _ in range(9000)]
+    rules = d.LeakRules(latent=8)
+    shapes = []
+    for run in (1, 4):
+        rows = [(i, " ".join(passages[i : i + run])) for i in range(0, len(passages), run)]
+        texts = spark.createDataFrame(rows, "doc_id long, text string")
+        frequency, total = d._frequencies(texts, block, rules)
+        assert total == len(passages)
+        idf = np.log1p((total - frequency + 0.5) / (frequency + 0.5))
+        vectors = d._latent_space(texts, block, idf, rules)
+        shapes.append(vectors @ vectors.T)
+    assert np.allclose(*shapes, atol=1e-6)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "some words")], "item_id long, text string")
