@@ -10,9 +10,9 @@ Unicode white space, so the patterns below switch Java's ``(?U)`` mode on.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
@@ -167,17 +167,30 @@ def elapsed_days(start: Column, end: Column) -> Column:
 # ------------------------------------------------------------------------ text
 
 
-@F.pandas_udf(StringType())
-def _nfkc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
+# Values of an Arrow batch that are Python objects at a time: a batch may hold 10,000 long texts.
+_SLICE = 32
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def _nfkc_items(lists: pd.Series) -> pd.Series:
-    def each(items):
-        return [None if t is None else unicodedata.normalize("NFKC", t) for t in items]
+def _by_slices(values: pa.Array, change: Callable) -> pa.Array:
+    done = []
+    for at in range(0, len(values), _SLICE):
+        part = values.slice(at, _SLICE).to_pylist()
+        done.append(pa.array([None if v is None else change(v) for v in part], values.type))
+    return pa.concat_arrays(done) if done else values
 
-    return lists.map(each, na_action="ignore")
+
+def _normal(text: str) -> str:
+    return unicodedata.normalize("NFKC", text)
+
+
+@F.arrow_udf(StringType())
+def _nfkc(texts: pa.Array) -> pa.Array:
+    return _by_slices(texts, _normal)
+
+
+@F.arrow_udf(ArrayType(StringType()))
+def _nfkc_items(lists: pa.Array) -> pa.Array:
+    return _by_slices(lists, lambda items: [None if t is None else _normal(t) for t in items])
 
 
 def nfkc(c: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from sievewright.functions import columns as X
 from sievewright.operators import quantiles
+from sievewright.session import bound_batches
 from sievewright.specs import FeatureConfig
 
 
@@ -210,6 +211,7 @@ def to_booleans(df: DataFrame, config: FeatureConfig) -> DataFrame:
 
 
 def clean_categories(df: DataFrame, config: FeatureConfig) -> DataFrame:
+    bound_batches(df.sparkSession)
     types = dict(df.dtypes)
     changes = {
         c: X.category(F.col(c)) if types[c] == "string" else X.category_token(F.col(c).cast("string"))
@@ -220,6 +222,7 @@ def clean_categories(df: DataFrame, config: FeatureConfig) -> DataFrame:
 
 
 def clean_texts(df: DataFrame, config: FeatureConfig) -> DataFrame:
+    bound_batches(df.sparkSession)
     types = dict(df.dtypes)
 
     def source(c: str) -> Column:
@@ -231,6 +234,7 @@ def clean_texts(df: DataFrame, config: FeatureConfig) -> DataFrame:
 
 
 def standardise_lists(df: DataFrame, config: FeatureConfig) -> DataFrame:
+    bound_batches(df.sparkSession)
     types = dict(df.dtypes)
     changes = {
         c: X.join_list(X.list_tokens(F.col(c), types[c]), config.list_delimiter) for c in config.lists if c in types

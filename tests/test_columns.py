@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import tracemalloc
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +83,20 @@ def test_normal_text(spark):
     assert apply(spark, texts, X.normal_text) == [expected(v) for v in texts]
 
 
+@pytest.mark.parametrize("lists", [False, True])
+def test_nfkc_holds_few_texts_of_a_batch_as_objects(lists):
+    texts = [None if i % 7 == 0 else f"{i} " + "ﬁé" * 2000 for i in range(2000)]
+    values = [t if t is None or not lists else [t, None] for t in texts]
+    batch = pa.array(values, pa.list_(pa.string()) if lists else pa.string())
+    tracemalloc.start()
+    done = (X._nfkc_items if lists else X._nfkc).func(batch)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 2_000_000 and done.type == batch.type
+    normal = [t and unicodedata.normalize("NFKC", t) for t in texts]
+    assert done.to_pylist() == [t if t is None or not lists else [t, None] for t in normal]
+
+
 def test_category_and_token(spark):
     assert apply(spark, [" Full-Time ", "NaN", "none", "", "<NA>", None], X.category) == [
         "full-time",
