@@ -117,6 +117,19 @@ def test_all_documents_shape_the_latent_space(spark):
     assert np.allclose(*shapes, atol=1e-6)
 
 
+def test_the_searcher_of_the_pipeline_comes_from_all_documents(spark):
+    """What ``clean`` sends to its tasks is the same for 8,000 documents and for the same passages in 1,000."""
+    rng = random.Random(8)
+    passages = [" ".join(f"w{min(rng.randrange(300), rng.randrange(300))}" for _ in range(64)) for _ in range(8000)]
+    benchmark = spark.createDataFrame([(i, " ".join(f"w{rng.randrange(300)}" for _ in range(20))) for i in range(30)], "item_id long, text string")
+    made = []
+    for run in (1, 8):
+        rows = [(i, "\n".join(passages[i : i + run])) for i in range(0, len(passages), run)]
+        (shared,) = d.searchers(spark.createDataFrame(rows, "doc_id long, text string"), benchmark, d.LeakRules(latent=8))
+        made.append(shared.value.terms @ shared.value.terms.T)
+    assert np.allclose(*made, rtol=1e-3, atol=1e-3)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "some words")], "item_id long, text string")
