@@ -53,8 +53,13 @@ class HmmRules:
 RULES = HmmRules()
 #: Different words a task holds before it hands their counts on.
 _HELD_WORDS = 400_000
-#: Segments computed side by side.
-_SIDE_BY_SIDE = 4096
+#: Segments computed side by side; about 36 MB, used again and again.
+_SIDE_BY_SIDE = 1024
+#: Steps of a recursion between two scalings. As emissions are shares of the largest of their symbol, a step leaves at least the
+#: share of the least likely move, which is over 1 / (tokens + states): 1e-80 in eight steps over 10 billion tokens.
+_UNSCALED = 8
+#: Rows turned into columns at a time, so that they stay in the cache.
+_TURNED = 4096
 
 
 def words_of(data: bytes | None) -> list[bytes]:
@@ -165,17 +170,9 @@ def vocabulary(counts: DataFrame, rules: HmmRules) -> Vocabulary:
     return Vocabulary(words, numbers, own, sums.n or 0, sums.v, class_sums, class_words)
 
 
-def _layout(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sequences side by side, longest first: tokens step by step, sequences per step, their order."""
-    lengths = np.array([len(s) for s in sequences])
-    order = np.argsort(-lengths, kind="stable")
-    lengths = lengths[order]
-    active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # how many are longer than t
-    offsets = np.concatenate(([0], np.cumsum(active)))
-    tokens = np.empty(offsets[-1], np.int32)
-    for place, number in enumerate(order):
-        tokens[offsets[: lengths[place]] + place] = sequences[number]
-    return tokens, active, order
+def _active(lengths: np.ndarray) -> np.ndarray:
+    """For sequences of falling ``lengths``: how many are longer than t, for every step t."""
+    return np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
 
 
 @dataclass
@@ -184,22 +181,37 @@ class Hmm:
     moves: np.ndarray
     emit: np.ndarray  # a row per symbol
 
+    def relative(self) -> tuple[np.ndarray, np.ndarray]:
+        """Emissions as shares of the largest of their symbol, and the largest of every symbol."""
+        top = np.maximum(self.emit.max(axis=1), np.finfo(float).tiny)
+        return np.ascontiguousarray(self.emit / top[:, None]), top
+
     def log10(self, sequences: list[np.ndarray]) -> np.ndarray:
         """Exact log10 likelihood of every sequence, by the scaled forward recursion."""
-        tokens, active, order = _layout(sequences)
-        emit, moves = np.ascontiguousarray(self.emit.T), np.ascontiguousarray(self.moves.T)
-        logs = np.zeros(len(sequences))
-        at, forward = 0, None
-        for n in active:
-            seen = emit.take(tokens[at : at + n], axis=1)
-            forward = self.start[:, None] * seen if forward is None else (moves @ forward[:, :n]) * seen
-            total = forward.sum(axis=0)
-            logs[:n] += np.log10(total)
-            forward /= total
-            at += n
+        lengths = np.array([len(s) for s in sequences])
+        tokens, firsts = np.concatenate(sequences), np.cumsum(lengths) - lengths
+        emit, top = self.relative()
+        ones, order = np.ones(len(self.start)), np.argsort(-lengths, kind="stable")
+        begins, active = firsts[order], _active(lengths[order])
+        logs, forward = np.zeros(len(sequences)), None
+        for t, n in enumerate(active.tolist()):
+            seen = emit.take(tokens[begins[:n] + t], axis=0)
+            forward = self.start * seen if forward is None else np.matmul(forward[:n], self.moves)
+            if t:
+                forward *= seen
+            scaled = _scaled_from(t, active)
+            if scaled < n:
+                total = forward[scaled:] @ ones
+                logs[scaled:n] += np.log10(total)
+                forward[scaled:] /= total[:, None]
         found = np.empty(len(sequences))
         found[order] = logs
-        return found
+        return found + np.add.reduceat(np.log10(top)[tokens], firsts)
+
+
+def _scaled_from(t: int, active: np.ndarray) -> int:
+    """The first sequence to scale at step ``t``: all of them at every ``_UNSCALED``-th step, else those that end."""
+    return 0 if t % _UNSCALED == _UNSCALED - 1 or t + 1 == len(active) else int(active[t + 1])
 
 
 class Expected:
@@ -212,52 +224,73 @@ class Expected:
         self.emit = np.zeros(model.emit.shape)
         # where a segment goes on in the middle of a document, states are as they are in the long run
         self.later = np.full(k, 1 / k) @ np.linalg.matrix_power(model.moves, 64)
+        # the largest emission of a symbol cancels out of all expected counts
+        self._emit, _ = model.relative()
+        self._grow(0)
+
+    def _grow(self, n: int) -> None:
+        """Arrays for ``n`` tokens, used by one group of segments after the other."""
+        k = len(self.start)
+        self._tokens, self._forward, self._seen = np.empty(n, np.intp), np.empty((n, k)), np.empty((n, k))
 
     def add(self, sequences: list[np.ndarray], segment: int) -> None:
-        parts = [(s[i : i + segment], i == 0) for s in sequences for i in range(0, len(s), segment)]
-        for i in range(0, len(parts), _SIDE_BY_SIDE):
-            chosen = parts[i : i + _SIDE_BY_SIDE]
-            self._add([p for p, _ in chosen], np.array([x for _, x in chosen]))
-
-    def _add(self, parts: list[np.ndarray], opens: np.ndarray) -> None:
-        model = self.model
-        tokens, active, order = _layout(parts)
-        opens = opens[order]
-        k = len(model.start)
-        moves = np.ascontiguousarray(model.moves.T)
-        # a row per state, so that steps run along memory
-        seen = np.ascontiguousarray(model.emit.T).take(tokens, axis=1)
-        forward = np.empty((k, len(tokens)))
-        scale = np.empty(len(tokens))
-        offsets = np.concatenate(([0], np.cumsum(active)))
-        for t, n in enumerate(active):
-            at = offsets[t]
-            if t == 0:
-                step = np.where(opens, model.start[:, None], self.later[:, None])
-            else:
-                step = moves @ forward[:, offsets[t - 1] : offsets[t - 1] + n]
-            step *= seen[:, at : at + n]
-            total = step.sum(axis=0)
-            scale[at : at + n] = total
-            np.divide(step, total, out=forward[:, at : at + n])
-        seen /= scale
-        backward = np.ones((k, active[-1]))
+        if not sequences:
+            return
+        lengths = np.array([len(s) for s in sequences])
+        pieces = -(-lengths // segment)
+        number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)  # of a segment in its sequence
+        firsts = np.repeat(np.cumsum(lengths) - lengths, pieces) + number * segment
+        sizes = np.minimum(np.repeat(lengths, pieces) - number * segment, segment)
+        # segments of like lengths side by side, the longest first
+        order, tokens = np.argsort(-sizes, kind="stable"), np.concatenate(sequences)
+        for i in range(0, len(order), _SIDE_BY_SIDE):
+            chosen = order[i : i + _SIDE_BY_SIDE]
+            self._add(tokens, firsts[chosen], sizes[chosen], number[chosen] == 0)
+
+    def _add(self, flat: np.ndarray, firsts: np.ndarray, sizes: np.ndarray, opens: np.ndarray) -> None:
+        """Segments of ``flat`` by falling size; a row per token, step by step."""
+        model, k = self.model, len(self.start)
+        active = _active(sizes)
+        offsets = np.concatenate(([0], np.cumsum(active))).tolist()
+        if offsets[-1] > len(self._tokens):
+            self._grow(offsets[-1])
+        tokens, forward, seen = (x[: offsets[-1]] for x in (self._tokens, self._forward, self._seen))
+        counts = active.tolist()
+        for t, n in enumerate(counts):
+            tokens[offsets[t] : offsets[t + 1]] = flat[firsts[:n] + t]
+        self._emit.take(tokens, axis=0, out=seen, mode="clip")  # other modes copy once more
+        ones = np.ones(k)
+        step = forward[: counts[0]]
+        step[:] = np.where(opens[:, None], model.start, self.later)
+        for t, n in enumerate(counts):
+            here = seen[offsets[t] : offsets[t + 1]]
+            if t:
+                before, step = step, forward[offsets[t] : offsets[t + 1]]
+                np.matmul(before[:n], model.moves, out=step)
+            step *= here
+            scaled = _scaled_from(t, active)
+            if scaled < n:
+                total = (step[scaled:] @ ones)[:, None]
+                step[scaled:] /= total
+                here[scaled:] /= total
+        turned = np.ascontiguousarray(model.moves.T)
+        backward = np.ones((counts[0], k))
         moved = np.zeros((k, k))
-        for t in range(len(active) - 1, -1, -1):
-            at, n = offsets[t], active[t]
-            here = forward[:, at : at + n]
-            if t + 1 < len(active):
-                following, m = offsets[t + 1], active[t + 1]
-                weighted = seen[:, following : following + m] * backward
-                moved += here[:, :m] @ weighted.T
-                backward = np.ones((k, n))
-                backward[:, :m] = model.moves @ weighted
+        for t in range(len(counts) - 2, -1, -1):
+            m = counts[t + 1]
+            here, weighted = forward[offsets[t] : offsets[t + 1]], seen[offsets[t + 1] : offsets[t + 2]]
+            weighted *= backward[:m]
+            moved += here[:m].T @ weighted
+            np.matmul(weighted, turned, out=backward[:m])
             # the posterior takes the forward value's place; it is not needed again
-            here *= backward
+            here *= backward[: counts[t]]
         self.moves += moved * model.moves
-        self.start += forward[:, : active[0]][:, opens].sum(axis=1)
+        self.start += forward[: counts[0]][opens].sum(axis=0)
+        by_state = seen.reshape(k, -1)  # these are not needed again either
+        for i in range(0, len(tokens), _TURNED):
+            by_state[:, i : i + _TURNED] = forward[i : i + _TURNED].T
         for state in range(k):
-            self.emit[:, state] += np.bincount(tokens, forward[state], len(self.emit))
+            self.emit[:, state] += np.bincount(tokens, by_state[state], len(self.emit))
 
 
 def _maximize(start: np.ndarray, moves: np.ndarray, emit: np.ndarray, plain: np.ndarray, smoothing: float) -> Hmm:
